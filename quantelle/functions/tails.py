@@ -7,9 +7,11 @@ Spark has no incomplete-beta function. The tail is evaluated directly (not as
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -91,3 +93,7 @@ def f_sf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     p = f_tail(f.to_numpy(float, na_value=np.nan), d1.to_numpy(float, na_value=np.nan),
                d2.to_numpy(float, na_value=np.nan))
     return pd.Series(p).astype("Float64").mask(np.isnan(p))
+
+
+# Ship this module's code with the function, so that executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
