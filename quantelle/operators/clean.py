@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..design import Design
 from ..functions.noise import gaussian
+from ..session import pin
 from .keys import key_list, null_safe_join
 from .process import keep_tested
 from .ranking import exact_quantiles
@@ -104,8 +105,12 @@ def impute_absent(df: DataFrame, mode: str = "draw", q: float = 0.25, seed: int
 
 def impute(df: DataFrame, mode: str = "draw", q: float = 0.25, seed: int = 123, id: str = "id",
            by: Sequence[str] = ()) -> DataFrame:
-    """Within-condition imputation followed by imputation of absent conditions."""
-    return impute_absent(impute_within(df, mode, seed, id, by), mode, q, seed, id, by)
+    """Within-condition imputation followed by imputation of absent conditions.
+
+    The second step takes a quantile of the first one's output, so it reads that
+    output three times: it is pinned rather than sorted and computed again.
+    """
+    return impute_absent(pin(impute_within(df, mode, seed, id, by)), mode, q, seed, id, by)
 
 
 def _spread(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:

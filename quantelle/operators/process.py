@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -123,17 +123,17 @@ def reduce_features(df: DataFrame, feature: str = "feature", sequence: str = "se
 
 
 def reduce_identifiers(df: DataFrame, samples: Sequence[str], identifier: str = "identifier", score: str = "score",
-                       ordinal: str = "ordinal", by: Sequence[str] = ()) -> DataFrame:
-    """One row per identifier: attributes of its best-scoring row (ties: input
-    order), abundances summed over all its rows (NULL if any is NULL).
+                       order: Sequence[str] = ("ordinal", "feature"), by: Sequence[str] = ()) -> DataFrame:
+    """One row per identifier: attributes of its best-scoring row (ties: first in
+    ``order``), abundances summed over all its rows (NULL if any is NULL).
 
     A single partially aggregated exchange, so popular identifiers are combined
-    before they are shuffled. Identifiers without any score disappear.
+    before they are shuffled. Rows without a score take no part.
     """
     keys = key_list(by, identifier)
     attributes = [c for c in df.columns if c not in samples and c not in keys]
-    best = F.max_by(F.struct(*attributes), F.struct(F.col(score), -F.col(ordinal)))
-    reduced = df.where(F.col(score).isNotNull() if score in df.columns else F.lit(True)).groupBy(*keys).agg(
+    best = F.min_by(F.struct(*attributes), F.struct(-F.col(score), *order))
+    reduced = df.where(F.col(score).isNotNull()).groupBy(*keys).agg(
         best.alias("_best"), *[strict_sum(F.col(f"`{s}`")).alias(s) for s in samples])
     return reduced.select(*keys, *[F.col(f"_best.`{a}`").alias(a) for a in attributes],
                           *[F.col(f"`{s}`") for s in samples])

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,10 @@ from ..session import pin
 from .keys import null_safe_join
 
 
+#: Largest per-slab table that is broadcast.
+MAX_BROADCAST_ROWS = 200_000
+
+
 def adjust_bh(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), tie: Sequence[str] = ("id",),
               out: str = "fdr", partitions: int | None = None) -> DataFrame:
     """Benjamini-Hochberg adjusted p-values within each family.
@@ -21,7 +26,8 @@ def adjust_bh(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), tie
     size and pinned. A row's rank is its rank inside the slab plus the row count
     of earlier slabs; the running minimum from the largest p down is the one
     inside the slab combined with the minimum of later slabs. Only one row per
-    (slab, family) is ever combined across slabs. Equal p-values are spread over
+    (slab, family) is ever combined across slabs, and that table is broadcast
+    only after counting it. Equal p-values are spread over
     slabs by the tie columns: the minimum gives all of them the value of the
     last rank, so their order does not matter.
 
@@ -29,21 +35,25 @@ def adjust_bh(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), tie
     """
     family = list(family)
     order = [*family, F.col(p).asc_nulls_last(), *tie]
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    rows = df.persist(StorageLevel.MEMORY_AND_DISK)  # sampled for the ranges, then placed
+    ranged = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
     slabs = pin(ranged.withColumn("_slab", F.spark_partition_id()))
+    rows.unpersist()
     where = [*family, "_slab"]
 
     earlier = Window.partitionBy(*family).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*family)
+    counts = slabs.groupBy(*where).agg(F.count(F.lit(1)).alias("_rows"))
+    few = counts.count() <= MAX_BROADCAST_ROWS
     sizes = (
-        slabs.groupBy(*where).agg(F.count(F.lit(1)).alias("_rows"))
+        counts
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .withColumn("_m", F.sum("_rows").over(whole))
     )
     down = Window.partitionBy(*where).orderBy(F.col(p).desc_nulls_first(), *[F.col(t).desc() for t in tie])
     from_top = F.row_number().over(down)
     ranked = (
-        null_safe_join(slabs, sizes, where)
+        null_safe_join(slabs, F.broadcast(sizes) if few else sizes, where)
         .withColumn("_rank", F.col("_before") + F.col("_rows") - from_top + 1)
         .withColumn("_raw", F.col(p) * F.col("_m") / F.col("_rank"))
     )
@@ -53,7 +63,7 @@ def adjust_bh(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), tie
         .select(*where, F.min("_slab_min").over(later).alias("_carry"))
     )
     running = F.min("_raw").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    adjusted = null_safe_join(ranked.withColumn("_running", running), carry, where)
+    adjusted = null_safe_join(ranked.withColumn("_running", running), F.broadcast(carry) if few else carry, where)
     value = F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.col("_running"), F.col("_carry")))
     return adjusted.select(*df.columns, value.alias(out))
 
@@ -80,10 +90,11 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Map
 
     ``probs`` maps an output column to a probability. A mergeable sketch brackets
     every requested rank first; a second pass counts what lies below a bracket
-    and groups only the values inside it. No group is collected or sorted as a
-    whole, and repeated values are combined before the shuffle. The sketch's
+    and groups only the values inside it. No large group is collected or sorted
+    as a whole, and repeated values are combined before the shuffle. The sketch's
     rank error is bounded by ``1/accuracy``; brackets are three times as wide,
     and a rank outside its bracket raises instead of returning a wrong value.
+    Groups of fewer than ``accuracy`` values use their full range as bracket.
 
     ``few_groups=True`` broadcasts the per-group brackets: pass it only when the
     groups come from a fixed list such as the conditions of a design.
@@ -97,14 +108,18 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Map
     sketch = values.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", [*lows, *highs], accuracy).alias("_q"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
     )
     placed = null_safe_join(values, F.broadcast(sketch) if few_groups else sketch, groups)
-    brackets = F.array(*[
-        F.struct(F.lit(i).alias("_i"), (F.col("_v") < F.col("_q")[i]).alias("_below"),
-                 F.when((F.col("_v") >= F.col("_q")[i]) & (F.col("_v") <= F.col("_q")[len(names) + i]),
-                        F.col("_v")).alias("_x"))
-        for i in range(len(names))
-    ])
+    small = F.col("_n") < accuracy
+
+    def bracket(i: int):
+        low = F.when(small, F.col("_min")).otherwise(F.col("_q")[i])
+        high = F.when(small, F.col("_max")).otherwise(F.col("_q")[len(names) + i])
+        return F.struct(F.lit(i).alias("_i"), (F.col("_v") < low).alias("_below"),
+                        F.when((F.col("_v") >= low) & (F.col("_v") <= high), F.col("_v")).alias("_x"))
+
+    brackets = F.array(*[bracket(i) for i in range(len(names))])
     counted = (
         placed.select(*groups, "_n", F.inline(brackets))
         .where(F.col("_below") | F.col("_x").isNotNull())

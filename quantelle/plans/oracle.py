@@ -78,6 +78,11 @@ view("imputed", """
   FROM within w JOIN (
     SELECT condition, quantile_cont(CASE WHEN abundance <> 0 THEN abundance END, 0.25) AS level
     FROM within GROUP BY condition) l ON w.condition = l.condition""", "within")
+view("sample_scaled", """
+  SELECT s.id, s.sample, (abundance - mu) / sd AS v
+  FROM (SELECT id, concat(condition, '-', replicate) AS sample, abundance FROM logged) s
+  JOIN (SELECT concat(condition, '-', replicate) AS sample, avg(abundance) AS mu, stddev_samp(abundance) AS sd
+        FROM logged GROUP BY condition, replicate) k ON s.sample = k.sample""", "logged")
 view("contrast", "SELECT * FROM (VALUES ('A', 'N'), ('A', 'R'), ('N', 'R')) v(a, b)")
 
 
@@ -311,15 +316,15 @@ def _wide(value: str, digits: int | None = None) -> str:
 SAMPLES = [f"{c}-{r}" for c in "ANR" for r in range(1, 5)]
 
 
-def _reduced(source: str, key: str, extra: str = "", score: str = "score", ordinal: str = "ordinal",
-             samples: tuple[str, ...] = ("s1", "s2", "s3"), where: str = "") -> str:
+def _reduced(source: str, key: str, extra: str = "", score: str = "score", ordinal: str = "ordinal, feature",
+             samples: tuple[str, ...] = ("s1", "s2", "s3"), digits: int = 2) -> str:
     """Attributes of the best row and summed samples per key."""
-    sums = ", ".join(f"round(sum({s}), 2) AS {s}" for s in samples)
+    sums = ", ".join(f"round(sum({s}), {digits}) AS {s}" for s in samples)
     attributes = "".join(f", b.{c}" for c in extra.split())
     return f"""
 SELECT a.{key}{attributes}, {', '.join('a.' + s for s in samples)}
-FROM (SELECT {key}, {sums} FROM {source} {where} GROUP BY {key}) a
-JOIN (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {score} DESC, {ordinal}) AS rn FROM {source} {where}) b
+FROM (SELECT {key}, {sums} FROM {source} GROUP BY {key}) a
+JOIN (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {score} DESC, {ordinal}) AS rn FROM {source}) b
   ON a.{key} = b.{key} AND b.rn = 1"""
 
 
@@ -399,13 +404,9 @@ PAIRS = """
   GROUP BY x.sample, y.sample"""
 check("sample_correlation", f"""
 SELECT x.sample AS sample1, y.sample AS sample2, round(corr(x.abundance, y.abundance), 6) AS r {PAIRS}""", "logged")
-check("sample_distance", f"""
-WITH s AS (SELECT id, concat(condition, '-', replicate) AS sample, abundance FROM ({LONG.format('abundance', 'logged')})),
-k AS (SELECT sample, avg(abundance) AS mu, stddev_samp(abundance) AS sd FROM s GROUP BY sample),
-z AS (SELECT s.id, s.sample, (abundance - mu) / sd AS v FROM s JOIN k ON s.sample = k.sample)
+check("sample_distance", """
 SELECT x.sample AS sample1, y.sample AS sample2, round(sqrt(sum((x.v - y.v) * (x.v - y.v))), 5) AS distance
-FROM z x JOIN z y ON x.id = y.id GROUP BY x.sample, y.sample""".replace("WITH s AS", "WITH s AS"))
-ORACLE_SQL["sample_distance"] = with_views("", "logged").rstrip() + ",\n" + ORACLE_SQL["sample_distance"].strip()[5:]
+FROM sample_scaled x JOIN sample_scaled y ON x.id = y.id GROUP BY x.sample, y.sample""", "sample_scaled")
 
 # ------------------------------------------------------------ result summaries
 
@@ -431,7 +432,7 @@ TYPE = """CASE WHEN {0} <= -{1} AND p < 0.05 THEN 'down' WHEN ({0} <= -{1} AND p
             WHEN {0} >= {1} AND p < 0.05 THEN 'up' WHEN ({0} >= {1} AND p < 0.05) IS NULL THEN NULL
             ELSE 'same' END"""
 check("volcano_change_ox", f"""
-SELECT t.id, t.comparison, round(fc, 6) AS change_ox, round(p, 6) AS significance, {TYPE.format('fc', '0.1')} AS type, label
+SELECT t.id, t.comparison, round(fc, 9) AS change_ox, round(p, 9) AS significance, {TYPE.format('fc', '0.1')} AS type, label
 FROM ox_tested t JOIN (SELECT comparison, {LABEL} AS label FROM ({_counts('ox_tested', 'fc', '0.1')})) l
   ON t.comparison = l.comparison""", "ox_tested")
 check("volcano_by_label", f"""
@@ -548,7 +549,7 @@ SELECT scan, label_identifier, CASE WHEN h_or_l = 1 THEN 'Reduced' ELSE 'Oxidize
 FROM stated WHERE redox_state = 1""", "stated")
 LABEL_ROWS = "(SELECT *, scan * 1000000 + cast(floor(s1) AS bigint) AS ordinal FROM stated)"
 check("reduce_label_identifiers", _reduced(LABEL_ROWS, "label_identifier", "scan lgp redox_state", "lgp", "ordinal",
-                                           ("s1", "s2")), "stated")
+                                           ("s1", "s2"), 5), "stated")
 check("percent_oxidized", f"""
 SELECT concat(identifier, '-H') AS identifier,
        {', '.join(f"round(coalesce(sum(CASE WHEN h_or_l = 2 THEN {s} END) / nullif(sum({s}), 0), 0), 6) AS {s}"
@@ -557,8 +558,8 @@ FROM stated WHERE redox_state = 2 GROUP BY identifier""", "stated")
 OX_EFFECT = """
   SELECT x.id, concat(c.a, '-', c.b) AS comparison, y.mean - x.mean AS d
   FROM contrast c JOIN ox_moments x ON x.condition = c.a JOIN ox_moments y ON y.condition = c.b AND y.id = x.id"""
-check("change_ox", f"SELECT id, comparison, round(d, 6) AS change_ox FROM ({OX_EFFECT})", "ox_moments", "contrast")
-check("change_ox_max", f"SELECT id, round({EXTREME.format('d')}, 6) AS change_ox_max FROM ({OX_EFFECT}) GROUP BY id",
+check("change_ox", f"SELECT id, comparison, round(d, 9) AS change_ox FROM ({OX_EFFECT})", "ox_moments", "contrast")
+check("change_ox_max", f"SELECT id, round({EXTREME.format('d')}, 9) AS change_ox_max FROM ({OX_EFFECT}) GROUP BY id",
       "ox_moments", "contrast")
 
 # ------------------------------------------------------------------ annotation

@@ -269,7 +269,7 @@ def _volcano_ox(spark, sf):
     v = summaries.volcano_classify(occupancy_tested(spark, sf), fdr=False, threshold=0.10, effect="change_ox",
                                    log_threshold=False)
     return rounded(summaries.volcano_labelled(v).select("id", "comparison", "change_ox", "significance", "type", "label"),
-                   "change_ox", "significance")
+                   "change_ox", "significance", digits=9)
 
 
 @query("volcano_by_label")
@@ -497,15 +497,14 @@ def _split_ox(spark, sf):
 
 
 def _labelled(spark, sf):
-    return workflows.labelled_sites(inputs.site_peptides(spark, sf).withColumn(
-        "ordinal", F.col("scan") * 1000000 + F.floor("s1")), inputs.sequences(spark, sf), ["s1", "s2"],
-        ordinal="ordinal")
+    numbered = inputs.site_peptides(spark, sf).withColumn("ordinal", F.col("scan") * 1000000 + F.floor("s1"))
+    return workflows.labelled_sites(numbered, inputs.sequences(spark, sf), ["s1", "s2"], order=["ordinal"])
 
 
 @query("reduce_label_identifiers")
 def _reduce_labels(spark, sf):
     return rounded(_labelled(spark, sf).select("label_identifier", "scan", "lgp", "s1", "s2", "redox_state"),
-                   "s1", "s2", digits=2)
+                   "s1", "s2", digits=5)
 
 
 @query("percent_oxidized")
@@ -517,14 +516,14 @@ def _percent(spark, sf):
 @query("change_ox")
 def _change_ox(spark, sf):
     ready = clean.clean_min(inputs.occupancy(spark, sf), 2)
-    return rounded(stats.calculate_fc(ready, CONTRASTS, out="change_ox"), "change_ox")
+    return rounded(stats.calculate_fc(ready, CONTRASTS, out="change_ox"), "change_ox", digits=9)
 
 
 @query("change_ox_max")
 def _change_ox_max(spark, sf):
     ready = clean.clean_min(inputs.occupancy(spark, sf), 2)
     effects = stats.calculate_fc(ready, CONTRASTS, out="change_ox")
-    return rounded(stats.add_fc_max(effects, "change_ox", "change_ox_max"), "change_ox_max")
+    return rounded(stats.add_fc_max(effects, "change_ox", "change_ox_max"), "change_ox_max", digits=9)
 
 
 # ------------------------------------------------------------------ annotation

@@ -89,7 +89,7 @@ def redox_abundance(peptides: DataFrame, proteins: DataFrame, database: DataFram
 
 
 def labelled_sites(peptides: DataFrame, database: DataFrame, samples: Sequence[str], score: str = "lgp",
-                   ordinal: str = "scan") -> DataFrame:
+                   order: Sequence[str] = ("scan",)) -> DataFrame:
     """Heavy/light peptides -> one row per labelled site with its redox state.
 
     Rows are collapsed to (site, label) before the state is derived. Whether both
@@ -99,5 +99,5 @@ def labelled_sites(peptides: DataFrame, database: DataFrame, samples: Sequence[s
     scored = labels.explode_site_scores(labels.add_bare_sequence(peptides))
     located, _ = sites.split_located(labels.locate_site(scored, database))
     tagged = labels.tag_label_state(located)
-    reduced = process.reduce_identifiers(tagged, samples, "label_identifier", score, ordinal)
+    reduced = process.reduce_identifiers(tagged, samples, "label_identifier", score, order)
     return labels.redox_state(reduced)
