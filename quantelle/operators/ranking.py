@@ -17,6 +17,9 @@ from .keys import null_safe_join
 #: Largest per-slab table that is broadcast.
 MAX_BROADCAST_ROWS = 200_000
 
+#: Largest number of groups whose quantile brackets pass through the driver.
+MAX_COLLECTED_GROUPS = 10_000
+
 
 def adjust_bh(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), tie: Sequence[str] = ("id",),
               out: str = "fdr", partitions: int | None = None) -> DataFrame:
@@ -55,7 +58,7 @@ def adjust_bh(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), tie
     ranked = (
         null_safe_join(slabs, F.broadcast(sizes) if few else sizes, where)
         .withColumn("_rank", F.col("_before") + F.col("_rows") - from_top + 1)
-        .withColumn("_raw", F.col(p) * F.col("_m") / F.col("_rank"))
+        .withColumn("_raw", F.col("_m") / F.col("_rank") * F.col(p))
     )
     later = Window.partitionBy(*family).orderBy(F.col("_slab").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
@@ -77,7 +80,7 @@ def adjust_bh_small(df: DataFrame, p: str = "p_value", family: Sequence[str] = (
     rank = F.col("_m") - F.row_number().over(down) + 1
     return (
         df.withColumn("_m", F.count(F.lit(1)).over(whole))
-        .withColumn("_raw", F.col(p) * F.col("_m") / rank)
+        .withColumn("_raw", F.col("_m") / rank * F.col(p))
         .withColumn(out, F.min("_raw").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn(out, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.col(out))))
         .drop("_m", "_raw")
@@ -97,7 +100,9 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Map
     Groups of fewer than ``accuracy`` values use their full range as bracket.
 
     ``few_groups=True`` broadcasts the per-group brackets: pass it only when the
-    groups come from a fixed list such as the conditions of a design.
+    groups come from a fixed list such as the conditions of a design. Otherwise
+    the brackets are computed first; up to ``MAX_COLLECTED_GROUPS`` of them are
+    broadcast, more are joined by a shuffle (adaptive execution splits hot groups).
     """
     groups = list(groups)
     names = list(probs)
@@ -110,6 +115,11 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Map
         F.percentile_approx("_v", [*lows, *highs], accuracy).alias("_q"),
         F.min("_v").alias("_min"), F.max("_v").alias("_max"),
     )
+    if not few_groups:
+        head = sketch.limit(MAX_COLLECTED_GROUPS + 1).collect()
+        few_groups = len(head) <= MAX_COLLECTED_GROUPS
+        if few_groups:
+            sketch = df.sparkSession.createDataFrame(head, sketch.schema)
     placed = null_safe_join(values, F.broadcast(sketch) if few_groups else sketch, groups)
     small = F.col("_n") < accuracy
 

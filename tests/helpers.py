@@ -1,8 +1,3 @@
-def plan_of(df) -> str:
-    """Text of the plan before adaptive changes."""
-    return df._jdf.queryExecution().sparkPlan().toString()
-
-
 def physical(df) -> str:
     text = df._jdf.queryExecution().executedPlan().toString()
     return text.split("Initial Plan")[-1]
@@ -14,4 +9,5 @@ def exchanges(df) -> int:
 
 
 def rows(df, *order):
-    return [tuple(r) for r in df.orderBy(*order).collect()]
+    ordered = df.orderBy(*order) if order else df
+    return [tuple(r) for r in ordered.collect()]

@@ -65,8 +65,9 @@ def test_bh_never_gathers_a_family(tests_table):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_exact_quantiles_with_brackets(spark, few):
+@pytest.mark.parametrize("few, limit", [(True, 10), (False, 10), (False, 0)])
+def test_exact_quantiles_with_brackets(spark, monkeypatch, few, limit):
+    monkeypatch.setattr(ranking, "MAX_COLLECTED_GROUPS", limit)
     rng = np.random.default_rng(3)
     values = np.concatenate([rng.normal(size=3000), np.full(1500, 0.5), rng.exponential(size=31)])
     rng.shuffle(values)
