@@ -186,7 +186,7 @@ view("best", """
 
 def _placed(source: str) -> str:
     return f"""
-  SELECT p.*, nullif(instr(q.sequence, p.sequence), 0) AS start
+  SELECT p.*, nullif(instr(q.sequence, p.sequence), 0) AS start, row_number() OVER () AS rid
   FROM {source} p LEFT JOIN sequences q ON p.accession = q.accession"""
 
 
@@ -195,12 +195,12 @@ def _phospho(source: str) -> str:
   SELECT feature, ordinal, CASE WHEN start IS NOT NULL THEN concat(accession, '--', string_agg(
            concat(substr(sequence, pos, 1), start + pos - 1), '-' ORDER BY i)) END AS identifier
   FROM (SELECT *, cast(regexp_extract(m, '\\[([0-9]+)\\]', 1) AS int) AS pos
-        FROM (SELECT feature, ordinal, accession, sequence, start,
+        FROM (SELECT rid, feature, ordinal, accession, sequence, start,
                      unnest(string_split(modifications, '|')) AS m,
                      generate_subscripts(string_split(modifications, '|'), 1) AS i
               FROM {source} WHERE modifications IS NOT NULL)
         WHERE contains(m, 'Phospho'))
-  GROUP BY feature, ordinal, accession, sequence, start"""
+  GROUP BY rid, feature, ordinal, accession, sequence, start"""
 
 
 def _free_cysteines(source: str) -> str:
@@ -219,7 +219,7 @@ def _redox(source: str) -> str:
     return f"""
   SELECT feature, ordinal, CASE WHEN start IS NOT NULL THEN concat(accession, '--', string_agg(
            concat('C', start + pos - 1), '-' ORDER BY pos)) END AS identifier
-  FROM ({_free_cysteines(source)}) GROUP BY feature, ordinal, accession, start"""
+  FROM ({_free_cysteines(source)}) GROUP BY rid, feature, ordinal, accession, start"""
 
 
 def _more_cysteines(source: str) -> str:
