@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,14 +20,15 @@ from .reshape import to_wide
 from .stats import zscore_wide
 
 
-def cluster_profiles(df: DataFrame, conditions: Sequence[str], k: int = 3, seed: int = 123, id: str = "id"
-                     ) -> DataFrame:
+def cluster_profiles(df: DataFrame, conditions: Sequence[str], k: int = 3, seed: int = 123, id: str = "id",
+                     by: Sequence[str] = ()) -> DataFrame:
     """z-profiles with a cluster letter, ``(id, <condition>_Z..., cluster)``.
 
     Bisecting k-means is used instead of a complete-linkage tree, which needs the
     full distance matrix; the partition is therefore not the same one. Letters
     are given in the order of the smallest id of each cluster. Profiles without
-    variation have no cluster and are left out.
+    variation have no cluster and are left out. With ``by`` keys, the profiles of
+    all experiments share one set of clusters.
 
     Profiles are placed by id and pinned first: the fit reads them repeatedly and
     depends on their placement. Only cluster centres reach the driver.
@@ -34,21 +36,23 @@ def cluster_profiles(df: DataFrame, conditions: Sequence[str], k: int = 3, seed:
     if not 1 <= k <= len(string.ascii_uppercase):
         raise ValueError("k must be between 1 and 26")
     names = [f"{c}_Z" for c in conditions]
-    z = zscore_wide(df, conditions, id).dropna(subset=names)
-    assembled = VectorAssembler(inputCols=names, outputCol="_v").transform(z)
-    placed = pin(assembled.repartitionByRange(id).sortWithinPartitions(id))
+    z = zscore_wide(df, conditions, id, by).dropna(subset=[f"`{n}`" for n in names])
+    vector = array_to_vector(F.array(*[F.col(f"`{n}`") for n in names])).alias("_v")
+    keys = key_list(by, id)
+    placed = pin(z.select("*", vector).repartitionByRange(*keys).sortWithinPartitions(*keys))
     if placed.isEmpty():
         return placed.drop("_v").withColumn("cluster", F.lit(None).cast("string"))
     model = BisectingKMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_c").fit(placed)
     labelled = model.transform(placed).drop("_v")
-    first = labelled.groupBy("_c").agg(F.min(id).alias("_first"))
+    first = labelled.groupBy("_c").agg(F.min(F.struct(id, *by)).alias("_first"))
     letters = F.array(*[F.lit(x) for x in string.ascii_uppercase])
     names_of = first.select(
         "_c", F.element_at(letters, F.row_number().over(Window.orderBy("_first"))).alias("cluster"))
     return labelled.join(F.broadcast(names_of), "_c").drop("_c")  # at most k <= 26 rows
 
 
-def cluster_profile_long(clustered: DataFrame, conditions: Sequence[str], id: str = "id") -> DataFrame:
+def cluster_profile_long(clustered: DataFrame, conditions: Sequence[str], id: str = "id",
+                         by: Sequence[str] = ()) -> DataFrame:
     """Clustered profiles in long form with the label ``<cluster>\\n<size>``."""
     sizes = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"))
     rows = F.array(*[
@@ -57,7 +61,7 @@ def cluster_profile_long(clustered: DataFrame, conditions: Sequence[str], id: st
     ])
     labelled = clustered.join(F.broadcast(sizes), "cluster").withColumn(  # one row per cluster letter
         "cluster_count", F.concat("cluster", F.lit("\n"), F.col("_n").cast("string")))
-    return labelled.select(id, "cluster", "cluster_count", F.inline(rows))
+    return labelled.select(*key_list(by, id), "cluster", "cluster_count", F.inline(rows))
 
 
 def _sample_vectors(df: DataFrame, design: Design, id: str, by: Sequence[str]) -> DataFrame:

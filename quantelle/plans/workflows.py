@@ -49,7 +49,7 @@ def analyze(long: DataFrame, design: Design, contrasts: Sequence[Contrast], nonz
     if clusters:
         significant = variance.where(F.col("fdr") < alpha).select(*keys)
         grouped = profiles.cluster_profiles(ready.join(significant, keys, "left_semi"), design.conditions, clusters,
-                                            seed, id)
+                                            seed, id, by)
     return Analysis(ready, tests, variance, extremes, grouped)
 
 
