@@ -38,10 +38,12 @@ def adjust_bh(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), tie
     """
     family = list(family)
     order = [*family, F.col(p).asc_nulls_last(), *tie]
-    rows = df.persist(StorageLevel.MEMORY_AND_DISK)  # sampled for the ranges, then placed
+    cached = df.storageLevel.useMemory or df.storageLevel.useDisk
+    rows = df if cached else df.persist(StorageLevel.MEMORY_AND_DISK)  # sampled for the ranges, then placed
     ranged = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
     slabs = pin(ranged.withColumn("_slab", F.spark_partition_id()))
-    rows.unpersist()
+    if not cached:
+        rows.unpersist()
     where = [*family, "_slab"]
 
     earlier = Window.partitionBy(*family).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)

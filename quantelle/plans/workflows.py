@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..design import Contrast, Design
-from ..operators import clean, labels, process, profiles, sites, stats
+from ..operators import clean, labels, process, profiles, reshape, sites, stats
 from ..session import pin
 
 
@@ -101,3 +101,13 @@ def labelled_sites(peptides: DataFrame, database: DataFrame, samples: Sequence[s
     tagged = labels.tag_label_state(located)
     reduced = process.reduce_identifiers(tagged, samples, "label_identifier", score, order)
     return labels.redox_state(reduced)
+
+
+def occupancy_analysis(labelled: DataFrame, samples: Sequence[str], design: Design, contrasts: Sequence[Contrast],
+                       nonzero: int = 2, **options) -> Analysis:
+    """Labelled sites with redox state -> percent oxidised of sites seen in both
+    states -> the analysis on shares (no logarithm). ``fc`` is the change in
+    oxidation. The design's positions count the identifier as column 1."""
+    shares = labels.percent_oxidized(labelled, samples)
+    long = reshape.to_long(design.rename(process.select_abundance(shares, "identifier", samples)), design, "identifier")
+    return analyze(long, design, contrasts, nonzero, None, id="identifier", **options)
