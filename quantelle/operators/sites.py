@@ -50,8 +50,8 @@ def phospho_identifier(df: DataFrame, database: DataFrame, mod: str = "Phospho",
     of its protein, or a modification without a usable position, gives NULL (see
     :func:`split_located`).
     """
-    found = df.withColumn("_positions", _modification_positions(F.col(modifications), mod)).where(
-        F.size("_positions") > 0)
+    matching = F.exists(F.split(F.col(modifications), r"\|"), lambda m: m.rlike(mod))
+    found = df.where(matching).withColumn("_positions", _modification_positions(F.col(modifications), mod))
     located = locate_peptides(found, database, accession, sequence, "_start")
     sites = F.transform(
         F.col("_positions"),
