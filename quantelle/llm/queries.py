@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, mixing, token_files, warc
+from . import bpe_count, chat, embed_dedup, language, mixing, token_files, warc
 from .common import read_table, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,19 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+@query("op6_language")
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language.fold(F.col("doc_id")) == 1, F.lit(False))
+    model = spark.sparkContext.broadcast(language.train(documents.where(~held_out)))
+    return language.predict(documents.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
+@query("op7_embedding_dedup")
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 @query("op8_mixing")
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -63,6 +76,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, manifest)
 
 
+LLM_ORACLE_SQL["op7_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND vec_id IS NOT NULL AND list_sum(list_transform(e, lambda x: abs(x))) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+comp AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.c, v.vec_id) AS component_id, v.vec_id = coalesce(c.c, v.vec_id) AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) n ON n.a = v.vec_id LEFT JOIN comp c ON c.a = v.vec_id
+"""
+
 LLM_ORACLE_SQL["op9_chat"] = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
