@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, embed_dedup, language, mixing, token_files, warc
+from . import bpe_count, chat, embed_dedup, language, mixing, near_dup, token_files, warc
 from .common import read_table, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                           warc.page_key("refers_to_id").alias("refers_to"))
 
 
+@query("op2_near_dup")
+def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
