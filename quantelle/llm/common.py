@@ -100,6 +100,21 @@ def slices(texts: list, limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+#: Tables of at most so many narrow rows are broadcast; larger ones are joined by shuffle.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def checked(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``MAX_BROADCAST_ROWS`` rows (counted)."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
+
+
+def without(documents: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Documents whose key is not among ``ids``; rows with a NULL key stay."""
+    gone = stash(ids.select(F.col(key)).where(F.col(key).isNotNull()).distinct(), "gone")
+    return documents.join(checked(gone), key, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

@@ -18,22 +18,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, ship, slices, stash
+from .common import checked, in_arrow, ship, slices, stash
 from .components import connected_components
 from .shingles import overlap, scramble, shingle_set
 
 TOKENS = 128
 TREES = 16
 #: Nodes of up to so many classes are compared exhaustively.
-SMALL = 256
+SMALL = 2048
 #: Levels of branching after which a large node is compared in blocks instead.
 DEPTH = 20
 #: Share of equal sketch bytes from which a pair is a candidate: 4.4 standard deviations below 0.75.
 MAYBE = 0.58
-#: Share from which members of a large node count as linked to its pivot while branching.
+#: Share from which members of a large node count as linked to its pivot and branch no further.
 SURE = 0.85
-#: Ids of at most so many documents (16 bytes each) are broadcast to fetch their texts.
-MAX_BROADCAST_IDS = 2_000_000
 
 _RNG = np.random.default_rng(20240229)
 _MULTIPLY = _RNG.integers(0, 2**32, TOKENS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -125,10 +123,11 @@ def _crowds(members: DataFrame) -> DataFrame:
 
 
 def _split_crowds(large: DataFrame, classes: DataFrame) -> DataFrame:
-    """Compare the members of large nodes with the node's pivot and branch them.
+    """Compare the members of large nodes with the node's pivot.
 
-    Rows ``(node, cls, label, pivot)``: children of the node, where ``pivot`` is NULL, and
-    candidate pairs ``(cls, pivot)``, where ``node`` is NULL.
+    Rows ``(kind, node, cls, label, pivot)``. Members surely linked to the pivot (kind
+    ``sure``) take its label and leave the recursion; the ``rest`` also branch, kind
+    ``child``. Kind ``pair`` is a candidate pair ``(cls, pivot)``.
     """
     of = classes.select("cls", "tokens", "n_shingles")
     pivots = of.select(F.col("cls").alias("pivot"), F.col("tokens").alias("pivot_tokens"), F.col("n_shingles").alias("pivot_size"))
@@ -139,15 +138,35 @@ def _split_crowds(large: DataFrame, classes: DataFrame) -> DataFrame:
         tokens = _matrix(batch.column("tokens"), np.uint32, TOKENS)
         near = (tokens == _matrix(batch.column("pivot_tokens"), np.uint32, TOKENS)).mean(axis=1)
         near = np.where(fits(size, other), near, 0.0)
-        rows_, child = branch(node.view(np.uint64), tokens)
-        taken = np.where(near >= SURE, pivot, label)[rows_]
-        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(cls[rows_]), pa.array(taken), pa.nulls(len(rows_), pa.int64())],
-                                         names=["node", "cls", "label", "pivot"])
-        pair = np.flatnonzero((near >= MAYBE) & (cls != pivot))
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(pair), pa.int64()), pa.array(cls[pair]), pa.array(label[pair]), pa.array(pivot[pair])],
-                                         names=["node", "cls", "label", "pivot"])
 
-    return in_arrow(rows, step, MEMBER + ", pivot long")
+        def out(kind: str, at: np.ndarray, nodes: np.ndarray, labels: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"kind": pa.array([kind] * len(at), pa.string()), "node": nodes, "cls": cls[at], "label": labels, "pivot": pivot[at]})
+
+        sure = np.flatnonzero(near >= SURE)
+        rest = np.flatnonzero(near < SURE)
+        pair = np.flatnonzero((near >= MAYBE) & (cls != pivot))
+        rows_, child = branch(node[rest].view(np.uint64), tokens[rest])
+        yield out("sure", sure, node[sure], pivot[sure])
+        yield out("rest", rest, node[rest], label[rest])
+        yield out("pair", pair, node[pair], label[pair])
+        yield out("child", rest[rows_], child.view(np.int64), label[rest[rows_]])
+
+    return in_arrow(rows, step, "kind string, " + MEMBER + ", pivot long")
+
+
+def _sure_with_rest(split: DataFrame) -> DataFrame:
+    """Members of nodes that bring every block of sure members together with every block of the rest."""
+    half = F.lit(SMALL // 2)
+    counts = split.where("kind in ('sure', 'rest')").groupBy("node").agg(
+        F.ceil(F.count_if(F.col("kind") == "sure") / half).cast("int").alias("sure_blocks"),
+        F.ceil(F.count_if(F.col("kind") == "rest") / half).cast("int").alias("rest_blocks")).where("rest_blocks > 0")
+    mark = F.xxhash64("cls")
+    both = split.where("kind in ('sure', 'rest')").join(counts, "node")
+    own = F.when(F.col("kind") == "sure", F.pmod(mark, F.col("sure_blocks"))).otherwise(F.pmod(mark, F.col("rest_blocks"))).cast("int")
+    others = F.when(F.col("kind") == "sure", F.col("rest_blocks")).otherwise(F.col("sure_blocks"))
+    cut = both.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
+    first, second = F.when(F.col("kind") == "sure", F.col("own")).otherwise(F.col("other")), F.when(F.col("kind") == "sure", F.col("other")).otherwise(F.col("own"))
+    return cut.select(F.xxhash64("node", first, second).alias("node"), "cls", "label")
 
 
 def fits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -178,9 +197,10 @@ def grow_trees(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         if depth == DEPTH - 1:
             small.append(_blocks(large))
             break
-        grown = stash(_split_crowds(large, classes), "path-members")
-        pairs.append(grown.where("node is null").select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")))
-        members = grown.where("node is not null").select("node", "cls", "label")
+        split = stash(_split_crowds(large, classes), "path-members")
+        pairs.append(split.where("kind = 'pair'").select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")))
+        small.append(_sure_with_rest(split))
+        members = split.where("kind = 'child'").select("node", "cls", "label")
     found = small[0]
     for more in small[1:]:
         found = found.unionByName(more)
@@ -190,116 +210,187 @@ def grow_trees(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stash(found, "path-leaves"), stars
 
 
-def _forest(n: int, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Numbers of the edges of a maximum spanning forest."""
-    up = list(range(n))
+def _forest(label: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> tuple[list[int], list[int]]:
+    """Edges of a maximum spanning forest of a node's candidates, members of equal label
+    being joined already. Memory grows with the members, not with their pairs."""
+    n = len(label)
+    best, parent, open_ = np.full(n, -1.0), np.zeros(n, np.int64), np.ones(n, bool)
+    left, right, at = [], [], 0
+    for _ in range(n - 1):
+        open_[at] = False
+        near = np.where(label == label[at], 2.0, np.where(fits(size, size[at]), agreement(sketch, sketch[at]), -1.0))
+        closer = near > best
+        best[closer], parent[closer] = near[closer], at
+        at = int(np.where(open_, best, -2.0).argmax())
+        if MAYBE <= best[at] < 2.0:
+            left.append(int(parent[at]))
+            right.append(at)
+    return left, right
+
+
+def _with_candidates(label: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Numbers of the members that have a candidate of another label."""
+    has = np.zeros(len(label), bool)
+    everyone = np.arange(len(label))
+    for i in range(len(label)):
+        at = np.flatnonzero(~has) if has[i] else everyone  # one that has a candidate is asked for others only
+        at = at[(label[at] != label[i]) & fits(size[at], size[i])]
+        at = at[agreement(sketch[at], sketch[i]) >= MAYBE]
+        has[at] = True
+        has[i] |= len(at) > 0
+    return np.flatnonzero(has)
+
+
+def _exact_links(label: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Links of a node on full sets: enough of those between labels to join all that are linked."""
+    size = np.array([len(x) for x in sets])
+    starts = np.concatenate(([0], np.cumsum(size)[:-1]))
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    mark = np.zeros(int(number.max()) + 1, bool)
+    group = {x: x for x in label.tolist()}
+
+    def root(x: int) -> int:
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    left, right = [], []
+    for i in range(len(sets) - 1):
+        own = number[starts[i]:starts[i] + size[i]]
+        mark[own] = True
+        common = np.add.reduceat(mark[number[starts[i + 1]:]], starts[i + 1:] - starts[i + 1], dtype=np.int64)
+        mark[own] = False
+        for j in np.flatnonzero(100 * common >= 75 * (size[i + 1:] + size[i] - common)) + i + 1:
+            x, y = root(label[i]), root(label[j])
+            if x != y:
+                group[x] = y
+                left.append(i)
+                right.append(int(j))
+    return left, right
+
+
+def _node_stream(rows: DataFrame, each, schema: str) -> DataFrame:
+    """Bring the rows of a node together and give ``each`` complete nodes: a table and the
+    bounds of its nodes. A task holds one batch and one node."""
+    ship(rows.sparkSession)
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ordered = rows.repartition(parts, "node").sortWithinPartitions("node", "cls")
+
+    def bounds(node: np.ndarray) -> list[tuple[int, int]]:
+        cuts = np.flatnonzero(np.diff(node)) + 1
+        return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(node)]))
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = None
+        for batch in batches:
+            for low in range(0, batch.num_rows, 2 * SMALL):
+                part = pa.Table.from_batches([batch.slice(low, 2 * SMALL)])
+                table = part if waiting is None else pa.concat_tables([waiting, part])
+                node = table.column("node").to_numpy()
+                start = int(np.searchsorted(node, node[-1]))  # the last node may go on in the next rows
+                if start:
+                    yield each(table.slice(0, start), bounds(node[:start]))
+                waiting = table.slice(start)
+        if waiting is not None:
+            yield each(waiting, bounds(waiting.column("node").to_numpy()))
+
+    return ordered.mapInArrow(stream, schema)
 
-    def root(i: int) -> int:
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
 
-    kept = []
-    for e in np.argsort(-weight, kind="stable"):
-        i, j = root(x[e]), root(y[e])
-        if i != j:
-            up[i] = j
-            kept.append(e)
-    return np.array(kept, np.int64)
+def _pair_batch(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+    a = np.concatenate(left) if left else np.empty(0, np.int64)
+    b = np.concatenate(right) if right else np.empty(0, np.int64)
+    return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def compare_nodes(leaves: DataFrame, classes: DataFrame, forest: bool) -> DataFrame:
-    """Distinct candidate pairs ``(a, b)`` inside small nodes, only between labels: a
-    spanning forest of each node's candidates, or all of them."""
+def _sketched(leaves: DataFrame, classes: DataFrame) -> DataFrame:
     def shrink(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sketches = small_sketch(_matrix(batch.column("tokens"), np.uint32, TOKENS))
         yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("n_shingles"), pa.array([s.tobytes() for s in sketches], pa.binary())],
                                          names=["cls", "n_shingles", "sketch"])
 
     sketches = in_arrow(classes.select("cls", "n_shingles", "tokens"), shrink, "cls long, n_shingles long, sketch binary")
-    rows = leaves.join(sketches, "cls")
-    parts = max(1, int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = rows.repartition(parts, "node").sortWithinPartitions("node", "cls").select("node", "cls", "label", "n_shingles", "sketch")
+    return leaves.join(sketches, "cls").select("node", "cls", "label", "n_shingles", "sketch")
 
-    def pairs_of(table: pa.Table) -> pa.RecordBatch:
-        node, cls, label, size = (table.column(c).to_numpy() for c in ("node", "cls", "label", "n_shingles"))
-        sketch = _matrix(table.column("sketch"), np.uint8, TOKENS)
-        cuts = np.flatnonzero(np.diff(node)) + 1
-        left, right = [], []
-        for low, high in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(node)]))):
-            if high - low < 2:
-                continue
-            s, n, own = sketch[low:high], size[low:high], label[low:high]
-            x, y = np.triu_indices(high - low, 1)
-            keep = (own[x] != own[y]) & fits(n[x], n[y])
-            x, y = x[keep], y[keep]
-            near = agreement(s[x], s[y])
-            keep = near >= MAYBE
-            x, y = x[keep], y[keep]
-            if forest and len(x) > 1:
-                names, number = np.unique(own, return_inverse=True)
-                kept = _forest(len(names), number[x].tolist(), number[y].tolist(), near[keep])
-                x, y = x[kept], y[kept]
-            left.append(cls[low:high][x])
-            right.append(cls[low:high][y])
-        a = np.concatenate(left) if left else np.empty(0, np.int64)
-        b = np.concatenate(right) if right else np.empty(0, np.int64)
-        return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    ship(leaves.sparkSession)
 
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch]) if waiting is None else pa.concat_tables([waiting, pa.Table.from_batches([batch])])
-            node = table.column("node").to_numpy()
-            start = int(np.searchsorted(node, node[-1]))  # the last node may go on in the next batch
-            if start:
-                yield pairs_of(table.slice(0, start))
-            waiting = table.slice(start)
-        if waiting is not None:
-            yield pairs_of(waiting)
+def likely_pairs(leaves: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct candidate pairs ``(a, b)``: a spanning forest of the candidates of each node."""
+    def forests(table: pa.Table, nodes: list[tuple[int, int]]) -> pa.RecordBatch:
+        cls, label, size = (table.column(c).to_numpy() for c in ("cls", "label", "n_shingles"))
+        sketch, left, right = _matrix(table.column("sketch"), np.uint8, TOKENS), [], []
+        for low, high in nodes:
+            if label[low:high].min() < label[low:high].max():
+                x, y = _forest(label[low:high], size[low:high], sketch[low:high])
+                left.append(cls[low:high][x])
+                right.append(cls[low:high][y])
+        return _pair_batch(left, right)
+
+    return _node_stream(_sketched(leaves, classes), forests, "a long, b long").distinct()
 
-    return ordered.mapInArrow(stream, "a long, b long").distinct()
 
+def remaining_links(leaves: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between labels inside nodes, found on full sets.
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs whose full sets have ``100 * intersection >= 75 * union``; ``texts`` holds ``(cls, t)``."""
-    both = pairs.join(texts.select(F.col("cls").alias("a"), F.col("t").alias("t_a")), "a").join(
-        texts.select(F.col("cls").alias("b"), F.col("t").alias("t_b")), "b").select("a", "b", "t_a", "t_b")
+    Only members with a candidate of another label bring their sets. No pair leaves a
+    task unless it is a link that joins two labels.
+    """
+    def doubtful(table: pa.Table, nodes: list[tuple[int, int]]) -> pa.RecordBatch:
+        label, size = (table.column(c).to_numpy() for c in ("label", "n_shingles"))
+        sketch = _matrix(table.column("sketch"), np.uint8, TOKENS)
+        kept = [low + _with_candidates(label[low:high], size[low:high], sketch[low:high]) for low, high in nodes
+                if label[low:high].min() < label[low:high].max()]
+        at = np.concatenate(kept) if kept else np.empty(0, np.int64)
+        return table.select(["node", "cls", "label"]).take(pa.array(at, pa.int64())).combine_chunks().to_batches()[0] if len(at) else pa.RecordBatch.from_pydict(
+            {c: pa.array([], pa.int64()) for c in ("node", "cls", "label")})
+
+    def exact(table: pa.Table, nodes: list[tuple[int, int]]) -> pa.RecordBatch:
+        cls, label = (table.column(c).to_numpy() for c in ("cls", "label"))
+        raw, left, right = table.column("s"), [], []
+        for low, high in nodes:
+            if high - low > 1:
+                x, y = _exact_links(label[low:high], [np.frombuffer(v.as_py(), np.uint64) for v in raw.slice(low, high - low)])
+                left.append(cls[low:high][x])
+                right.append(cls[low:high][y])
+        return _pair_batch(left, right)
+
+    mixed = leaves.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("node")
+    members = stash(_node_stream(_sketched(leaves.join(mixed, "node"), classes), doubtful, MEMBER), "path-doubts")
+    return _node_stream(members.join(sets, "cls").select("node", "cls", "label", "s"), exact, "a long, b long").distinct()
+
+
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose full sets have ``100 * intersection >= 75 * union``; ``sets`` holds ``(cls, s)``."""
+    both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("s").alias("s_a")), "a").join(
+        sets.select(F.col("cls").alias("b"), F.col("s").alias("s_b")), "b").select("a", "b", "s_a", "s_b")
 
     def check(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        kept, known = [], (None, None)
-        for i, (a, t, u) in enumerate(zip(batch.column(0).to_pylist(), _binary(batch.column(2)), _binary(batch.column(3)))):
-            if known[0] != a:
-                known = a, shingle_set(t.as_py())
-            other = shingle_set(u.as_py())
-            common = overlap(known[1], other)
-            if 100 * common >= 75 * (len(known[1]) + len(other) - common):
+        kept = []
+        for i, (s, t) in enumerate(zip(batch.column(2), batch.column(3))):
+            one, other = np.frombuffer(s.as_py(), np.uint64), np.frombuffer(t.as_py(), np.uint64)
+            common = overlap(one, other)
+            if 100 * common >= 75 * (len(one) + len(other) - common):
                 kept.append(i)
         yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
     return in_arrow(both, check, "a long, b long")
 
 
-def texts_of(documents: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """``(cls, t)`` for the classes in ``wanted (k, cls)``. The ids are broadcast only if
-    they are at most ``MAX_BROADCAST_IDS``; beyond, the documents are joined by shuffle."""
+def sets_of(documents: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """Full sets ``(cls, s)`` of the classes in ``wanted (k, cls)``. The ids are broadcast only
+    if they are few; beyond, the documents are joined by shuffle."""
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").alias("t"))
-    ids = wanted.select("k").distinct()
-    side = F.broadcast(ids) if wanted.count() <= MAX_BROADCAST_IDS else ids
+    wanted = stash(wanted, "wanted")
+    side = checked(wanted.select("k").distinct())
 
     def name(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for low, high in slices([v.as_py() for v in _binary(batch.column(0))], 16_000_000):
-            part = batch.column(0).slice(low, high - low)
-            found = [shingle_set(v.as_py() or b"") for v in _binary(part)]
-            yield pa.RecordBatch.from_arrays([pa.array([class_number(s) if len(s) else None for s in found], pa.int64()), part], names=["cls", "t"])
+        raw = _binary(batch.column(0))
+        for low, high in slices([v.as_py() for v in raw], 16_000_000):
+            found = [x for v in raw.slice(low, high - low) if len(x := shingle_set(v.as_py() or b""))]
+            yield pa.RecordBatch.from_arrays([pa.array([class_number(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],
+                                             names=["cls", "s"])
 
     # other rows of a wanted id may hold other texts: the class decides
-    named = in_arrow(rows.join(side, "k", "left_semi").select("t"), name, "cls long, t string")
+    named = in_arrow(rows.join(side, "k", "left_semi").select("t"), name, "cls long, s binary")
     return named.join(wanted.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
 
 
@@ -310,9 +401,9 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     is one shingle; NULL, empty and wordless texts have the empty set and link with
     nothing. Sets with ``100 * intersection >= 75 * union`` are linked, and
     ``component_id`` is the smallest key reachable. Equal sets form a class first, so
-    copies are never paired. Candidates of each node are confirmed as a spanning forest;
-    a second round confirms every candidate that still lies between components, so no
-    link between unlinked groups is left out. Rows with a NULL key link with nothing and
+    copies are never paired. A spanning forest of each node's candidates is confirmed;
+    then every candidate that still lies between components is decided on full sets
+    inside its node, so no link that would join two groups is left out. Rows with a NULL key link with nothing and
     have a NULL component. Repeated rows share a class. An empty table gives no rows.
     Other columns are ignored.
     """
@@ -321,17 +412,15 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     named = stash(named, "classes")
     classes = stash(signed.join(named.select(F.col("cls").alias("c"), F.col("rep").alias("k")), "k").where("cls = c").drop("c").dropDuplicates(["cls"]), "class-tokens")
     leaves, stars = grow_trees(classes)
-    first = stash(compare_nodes(leaves, classes, forest=True).unionByName(stars).distinct(), "pairs")
-    involved = first.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    texts = stash(texts_of(documents, classes.join(involved, "cls", "left_semi").select("k", "cls"), key, text), "pair-texts")
-    edges = stash(confirm(first, texts), "links")
+    likely = stash(likely_pairs(leaves, classes).unionByName(stars).distinct(), "pairs")
+    involved = likely.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = stash(sets_of(documents, classes.join(involved, "cls", "left_semi").select("k", "cls"), key, text), "pair-sets")
+    edges = stash(confirm(likely, sets), "links")
     components = stash(connected_components(edges), "components")
-    joined = leaves.join(components.withColumnRenamed("node", "cls"), "cls", "left").select("node", "cls", F.coalesce("component", "cls").alias("label"))
-    rest = stash(compare_nodes(joined, classes, forest=False).join(first, ["a", "b"], "left_anti"), "pairs")
-    if rest.take(1):
-        more = stash(confirm(rest, texts), "links")
-        if more.take(1):
-            components = stash(connected_components(edges.unionByName(more)), "components")
+    labelled = leaves.join(components.withColumnRenamed("node", "cls"), "cls", "left").select("node", "cls", F.coalesce("component", "cls").alias("label"))
+    more = stash(remaining_links(labelled, classes, sets), "links")
+    if more.take(1):
+        components = stash(connected_components(edges.unionByName(more)), "components")
     roots = named.join(components.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("root"))
     least = roots.groupBy("root").agg(F.min("rep").alias("component_id"))
     answer = roots.join(least, "root").select("cls", "component_id")

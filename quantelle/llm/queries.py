@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, embed_dedup, language, mixing, near_dup, token_files, warc
+from . import bpe_count, chat, decontaminate, embed_dedup, language, line_dedup, mixing, near_dup, token_files, warc
 from .common import read_table, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,16 @@ def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_units(read_table(spark, sf_dir, "documents"), kind="line", min_words=5)
+
+
+@query("op4_decontaminate")
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
@@ -81,6 +91,23 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, manifest)
 
 
+LLM_ORACLE_SQL["op3_line_dedup"] = r"""
+WITH parts AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
+line AS (
+  SELECT doc_id, unnest(p) AS l, generate_subscripts(p, 1) - 1 AS unit FROM parts),
+placed AS (
+  SELECT *, CAST(coalesce(sum(length(l) + 1) OVER (PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s,
+         trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS plain
+  FROM line),
+counted AS (
+  SELECT *, length(plain) - length(replace(plain, ' ', '')) + 1 AS n FROM placed),
+ranked AS (
+  SELECT *, first_value(doc_id) OVER w AS fd, first_value(s) OVER w AS fs, row_number() OVER w AS r
+  FROM counted WHERE n >= 5 WINDOW w AS (PARTITION BY plain ORDER BY doc_id, s))
+SELECT doc_id, unit, s AS start, s + length(l) AS "end", n AS n_words, fd AS first_doc, fs AS first_start FROM ranked WHERE r > 1
+"""
+
 LLM_ORACLE_SQL["op7_embedding_dedup"] = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
