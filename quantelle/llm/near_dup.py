@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked, in_arrow, ship, slices, stash
+from .common import MAX_BROADCAST_ROWS, checked, in_arrow, ship, slices, stash
 from .components import connected_components
 from .shingles import overlap, scramble, shingle_set
 
@@ -130,8 +130,11 @@ def _split_crowds(large: DataFrame, classes: DataFrame) -> DataFrame:
     ``child``. Kind ``pair`` is a candidate pair ``(cls, pivot)``.
     """
     of = classes.select("cls", "tokens", "n_shingles")
-    pivots = of.select(F.col("cls").alias("pivot"), F.col("tokens").alias("pivot_tokens"), F.col("n_shingles").alias("pivot_size"))
-    rows = large.join(of, "cls").join(pivots, "pivot").select("node", "cls", "label", "pivot", "tokens", "pivot_tokens", "n_shingles", "pivot_size")
+    # narrow sides are broadcast while they are few, so that tokens are not shuffled level by level
+    chosen = checked(stash(large.select("pivot").distinct(), "pivots"))
+    pivots = stash(of.join(chosen, F.col("cls") == F.col("pivot")).select("pivot", F.col("tokens").alias("pivot_tokens"), F.col("n_shingles").alias("pivot_size")), "pivots")
+    side = F.broadcast(pivots) if pivots.count() <= MAX_BROADCAST_ROWS // TOKENS else pivots
+    rows = of.join(checked(stash(large, "path-large")), "cls").join(side, "pivot").select("node", "cls", "label", "pivot", "tokens", "pivot_tokens", "n_shingles", "pivot_size")
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         node, cls, label, pivot, size, other = (batch.column(c).to_numpy() for c in ("node", "cls", "label", "pivot", "n_shingles", "pivot_size"))
@@ -228,17 +231,15 @@ def _forest(label: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> tuple[li
     return left, right
 
 
-def _with_candidates(label: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """Numbers of the members that have a candidate of another label."""
-    has = np.zeros(len(label), bool)
-    everyone = np.arange(len(label))
+def _candidate_groups(label: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Group number of every member: members joined by candidates of different labels."""
+    group = np.arange(len(label))
     for i in range(len(label)):
-        at = np.flatnonzero(~has) if has[i] else everyone  # one that has a candidate is asked for others only
-        at = at[(label[at] != label[i]) & fits(size[at], size[i])]
+        at = np.flatnonzero((group != group[i]) & (label != label[i]) & fits(size, size[i]))
         at = at[agreement(sketch[at], sketch[i]) >= MAYBE]
-        has[at] = True
-        has[i] |= len(at) > 0
-    return np.flatnonzero(has)
+        if len(at):
+            group[np.isin(group, group[at])] = group[i]
+    return group
 
 
 def _exact_links(label: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
@@ -310,7 +311,7 @@ def _sketched(leaves: DataFrame, classes: DataFrame) -> DataFrame:
                                          names=["cls", "n_shingles", "sketch"])
 
     sketches = in_arrow(classes.select("cls", "n_shingles", "tokens"), shrink, "cls long, n_shingles long, sketch binary")
-    return leaves.join(sketches, "cls").select("node", "cls", "label", "n_shingles", "sketch")
+    return sketches.join(checked(leaves), "cls").select("node", "cls", "label", "n_shingles", "sketch")
 
 
 def likely_pairs(leaves: DataFrame, classes: DataFrame) -> DataFrame:
@@ -331,17 +332,25 @@ def likely_pairs(leaves: DataFrame, classes: DataFrame) -> DataFrame:
 def remaining_links(leaves: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links ``(a, b)`` between labels inside nodes, found on full sets.
 
-    Only members with a candidate of another label bring their sets. No pair leaves a
+    Only members with a candidate of another label bring their sets, once for each group
+    of them that candidates hold together. No pair leaves a
     task unless it is a link that joins two labels.
     """
     def doubtful(table: pa.Table, nodes: list[tuple[int, int]]) -> pa.RecordBatch:
-        label, size = (table.column(c).to_numpy() for c in ("label", "n_shingles"))
+        cls, label, size = (table.column(c).to_numpy() for c in ("cls", "label", "n_shingles"))
         sketch = _matrix(table.column("sketch"), np.uint8, TOKENS)
-        kept = [low + _with_candidates(label[low:high], size[low:high], sketch[low:high]) for low, high in nodes
-                if label[low:high].min() < label[low:high].max()]
-        at = np.concatenate(kept) if kept else np.empty(0, np.int64)
-        return table.select(["node", "cls", "label"]).take(pa.array(at, pa.int64())).combine_chunks().to_batches()[0] if len(at) else pa.RecordBatch.from_pydict(
-            {c: pa.array([], pa.int64()) for c in ("node", "cls", "label")})
+        names, kept = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for low, high in nodes:
+            if label[low:high].min() < label[low:high].max():
+                group = np.unique(_candidate_groups(label[low:high], size[low:high], sketch[low:high]), return_inverse=True)[1]
+                many = np.bincount(group)
+                at = np.flatnonzero(many[group] > 1)
+                marks = np.zeros(len(many), np.uint64)
+                np.add.at(marks, group[at], scramble(cls[low:high][at].view(np.uint64)))  # equal groups of several nodes get one name
+                kept.append(low + at)
+                names.append(marks[group[at]])
+        at = np.concatenate(kept)
+        return pa.RecordBatch.from_pydict({"node": np.concatenate(names).view(np.int64), "cls": cls[at], "label": label[at]})
 
     def exact(table: pa.Table, nodes: list[tuple[int, int]]) -> pa.RecordBatch:
         cls, label = (table.column(c).to_numpy() for c in ("cls", "label"))
@@ -354,7 +363,7 @@ def remaining_links(leaves: DataFrame, classes: DataFrame, sets: DataFrame) -> D
         return _pair_batch(left, right)
 
     mixed = leaves.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("node")
-    members = stash(_node_stream(_sketched(leaves.join(mixed, "node"), classes), doubtful, MEMBER), "path-doubts")
+    members = stash(_node_stream(_sketched(stash(leaves.join(mixed, "node"), "path-mixed"), classes), doubtful, MEMBER).distinct(), "path-doubts")
     return _node_stream(members.join(sets, "cls").select("node", "cls", "label", "s"), exact, "a long, b long").distinct()
 
 
