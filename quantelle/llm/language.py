@@ -40,6 +40,7 @@ class Model:
     keys: list[np.ndarray]
     bits: list[np.ndarray]
     escapes: list[np.ndarray]
+    root: np.ndarray  # cost of a byte that a language never had: escape from the empty context and eight bits
 
 
 def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,9 +101,11 @@ def build(languages: list[str], seen: dict[str, tuple[np.ndarray, np.ndarray]])
     """Code lengths from counted strings of ``ORDER`` bytes."""
     languages = [x for x in languages if x in seen and len(seen[x][0])]
     union = np.unique(np.concatenate([seen[x][0] for x in languages])) if languages else np.empty(0, np.uint32)
-    keys = [np.unique(union & np.uint32(2**(8 * k) - 1)) for k in range(1, ORDER)] + [union]
+    # both what is coded and the contexts before it, some of which hold start bytes only
+    keys = [np.unique(np.concatenate((union, union >> np.uint32(8))) & np.uint32(2**(8 * k) - 1)) for k in range(1, ORDER)] + [union]
     bits = [np.empty((len(k), len(languages))) for k in keys]
     escapes = [np.zeros((len(k), len(languages))) for k in keys]
+    root = np.full(len(languages), 8.0)
     for at, name in enumerate(languages):
         strings, times = seen[name]
         for k in range(ORDER):
@@ -121,9 +124,9 @@ def build(languages: list[str], seen: dict[str, tuple[np.ndarray, np.ndarray]])
                 known = (place < len(keys[k - 1])) & (keys[k - 1][np.minimum(place, len(keys[k - 1]) - 1)] == groups)
                 escapes[k - 1][place[known], at] = escape[known]
             else:
-                back = 8.0
+                back, root[at] = 8.0, 8.0 + escape[0]
             bits[k][:, at] = np.where(n > 0, own, escape[which] + back)
-    return Model(languages, keys, [b.astype(np.float32) for b in bits], [e.astype(np.float32) for e in escapes])
+    return Model(languages, keys, [b.astype(np.float32) for b in bits], [e.astype(np.float32) for e in escapes], root)
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +150,7 @@ def byte_costs(model: Model, strings: np.ndarray) -> np.ndarray:
         place, there = _find(model.keys[k - 1], tail & np.uint32(2**(8 * k) - 1))
         cost[rest[there]] += model.bits[k - 1][place[there]]
         rest = rest[~there]
-    cost[rest] += 8.0  # a byte that no language has
+    cost[rest] += model.root.astype(np.float32)
     return cost
 
 

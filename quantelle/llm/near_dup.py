@@ -364,12 +364,12 @@ def remaining_links(leaves: DataFrame, classes: DataFrame, sets: DataFrame) -> D
 
     mixed = leaves.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("node")
     members = stash(_node_stream(_sketched(stash(leaves.join(mixed, "node"), "path-mixed"), classes), doubtful, MEMBER).distinct(), "path-doubts")
-    return _node_stream(members.join(sets, "cls").select("node", "cls", "label", "s"), exact, "a long, b long").distinct()
+    return _node_stream(sets.join(checked(members), "cls").select("node", "cls", "label", "s"), exact, "a long, b long").distinct()
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose full sets have ``100 * intersection >= 75 * union``; ``sets`` holds ``(cls, s)``."""
-    both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("s").alias("s_a")), "a").join(
+    both = sets.select(F.col("cls").alias("a"), F.col("s").alias("s_a")).join(checked(pairs), "a").join(
         sets.select(F.col("cls").alias("b"), F.col("s").alias("s_b")), "b").select("a", "b", "s_a", "s_b")
 
     def check(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
