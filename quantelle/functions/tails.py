@@ -17,7 +17,6 @@ from pyspark.sql.types import DoubleType
 
 _FLOOR = 1e-300
 _EPS = 1e-15
-_MAX_STEPS = 500
 
 
 def _lgamma(values: np.ndarray) -> np.ndarray:
@@ -33,14 +32,17 @@ def _keep_off_zero(v: np.ndarray) -> np.ndarray:
 def _fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Continued fraction of the incomplete beta function (modified Lentz).
 
-    Rows that have converged leave the working set.
+    Rows that have converged leave the working set; the steps grow with the square root
+    of the degrees of freedom.
     """
     result = np.empty_like(x)
     idx = np.arange(x.size)
     c = np.ones_like(x)
     d = 1.0 / _keep_off_zero(1.0 - (a + b) * x / (a + 1.0))
     h = d.copy()
-    for m in range(1, _MAX_STEPS + 1):
+    m = 0
+    while idx.size:
+        m += 1
         am = a + 2 * m
         step = m * (b - m) * x / ((am - 1.0) * am)
         d = 1.0 / _keep_off_zero(1.0 + step * d)
@@ -51,14 +53,11 @@ def _fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
         c = _keep_off_zero(1.0 + step / c)
         delta = d * c
         h = h * delta
-        done = np.abs(delta - 1.0) < _EPS
+        done = ~(np.abs(delta - 1.0) >= _EPS)  # an undefined row is done, too
         if done.any():
             result[idx[done]] = h[done]
             live = ~done
             idx, a, b, x, c, d, h = (v[live] for v in (idx, a, b, x, c, d, h))
-        if idx.size == 0:
-            return result
-    result[idx] = h
     return result
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .keys import key_list
+from .keys import key_list, strict_sum
 from .sites import locate_peptides
 
 LIGHT, HEAVY = 1, 2
@@ -73,11 +73,11 @@ def split_reduced_oxidized(df: DataFrame, single_state_only: bool = True) -> Dat
 def percent_oxidized(df: DataFrame, samples: Sequence[str], identifier: str = "identifier",
                      by: Sequence[str] = ()) -> DataFrame:
     """heavy / (heavy + light) per sample for sites seen in both states, keyed
-    ``<identifier>-H``; an undefined share is 0."""
+    ``<identifier>-H``; an undefined share, for example with a NULL abundance, is 0."""
     keys = key_list(by, identifier)
     heavy = F.col("h_or_l") == HEAVY
     shares = [
-        F.coalesce(F.try_divide(F.sum(F.when(heavy, F.col(f"`{s}`"))), F.sum(f"`{s}`")), F.lit(0.0)).alias(s)
+        F.coalesce(F.try_divide(F.sum(F.when(heavy, F.col(f"`{s}`"))), strict_sum(F.col(f"`{s}`"))), F.lit(0.0)).alias(s)
         for s in samples
     ]
     return df.where(F.col("redox_state") == 2).groupBy(*keys).agg(*shares).withColumn(

@@ -128,13 +128,15 @@ def reduce_identifiers(df: DataFrame, samples: Sequence[str], identifier: str =
     ``order``), abundances summed over all its rows (NULL if any is NULL).
 
     A single partially aggregated exchange, so popular identifiers are combined
-    before they are shuffled. Rows without a score take no part.
+    before they are shuffled. Rows without a score count in the sums but cannot be the
+    best row; an identifier without any scored row is left out.
     """
     keys = key_list(by, identifier)
     attributes = [c for c in df.columns if c not in samples and c not in keys]
-    best = F.min_by(F.struct(*attributes), F.struct(-F.col(score), *order))
-    reduced = df.where(F.col(score).isNotNull()).groupBy(*keys).agg(
-        best.alias("_best"), *[strict_sum(F.col(f"`{s}`")).alias(s) for s in samples])
+    rank = F.when(F.col(score).isNotNull(), F.struct(-F.col(score), *order))
+    reduced = df.groupBy(*keys).agg(
+        F.min_by(F.struct(*attributes), rank).alias("_best"), F.count(score).alias("_scored"),
+        *[strict_sum(F.col(f"`{s}`")).alias(s) for s in samples]).where("_scored > 0")
     return reduced.select(*keys, *[F.col(f"_best.`{a}`").alias(a) for a in attributes],
                           *[F.col(f"`{s}`") for s in samples])
 

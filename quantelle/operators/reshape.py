@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..design import Design
-from .keys import key_list
+from .keys import key_list, null_safe_join
 
 #: Above this many samples the per-sample columns of one aggregate would leave
 #: whole-stage code generation (100 fields), so the grid is joined instead.
@@ -82,16 +82,17 @@ def densify(df: DataFrame, design: Design, id: str = "id", value: str = "abundan
     ])
     grid = df.select(*keys).distinct().select(*keys, F.inline(grid_cells))
     cells = df.groupBy(*keys, "condition", "replicate").agg(F.sum(value).cast("double").alias("_cell"))
-    return grid.join(cells, [*keys, "condition", "replicate"], "left").select(
+    return null_safe_join(grid, cells, [*keys, "condition", "replicate"], "left").select(
         *keys, "condition", "replicate", F.coalesce("_cell", F.lit(0.0)).alias("abundance"))
 
 
 def results_long(df: DataFrame, id: str = "id", statistics: Sequence[str] = ("P", "FDR", "FC"),
                  by: Sequence[str] = ()) -> DataFrame:
     """Columns ``<comparison>_<statistic>`` of an external wide result -> one row
-    per (id, comparison) with one column per statistic (NULL when absent)."""
+    per (id, comparison) with one column per statistic (NULL when absent). A name is split
+    at its last ``_``, so comparisons may hold others."""
     found: dict[str, dict[str, str]] = {}
-    pattern = re.compile(rf"^([^_]+)_({'|'.join(map(re.escape, statistics))})$")
+    pattern = re.compile(rf"^(.+)_({'|'.join(map(re.escape, statistics))})$")
     for name in df.columns:
         hit = pattern.match(name)
         if hit and name not in (*by, id):

@@ -158,7 +158,7 @@ def zscore_wide(df: DataFrame, conditions: Sequence[str], id: str = "id", by: Se
     centre = reduce(lambda a, b: a + b, m) / F.lit(float(k))
     row = row.withColumn("_centre", centre)
     squares = reduce(lambda a, b: a + b, [(x - F.col("_centre")) * (x - F.col("_centre")) for x in m])
-    row = row.withColumn("_sd", F.sqrt(squares / F.lit(float(k - 1))))
+    row = row.withColumn("_sd", F.sqrt(F.try_divide(squares, F.lit(float(k - 1)))))
     return row.select(*key_list(by, id), *[
         F.try_divide(F.col(f"_m{i}") - F.col("_centre"), F.col("_sd")).alias(f"{c}{suffix}")
         for i, c in enumerate(conditions)

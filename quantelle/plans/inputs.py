@@ -26,10 +26,10 @@ def _part_id(k: Column) -> Column:
 
 def quant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long abundances, 3 conditions x 4 replicates; every 20th id is spiked."""
-    items = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") <= 4)
+    items = table(spark, sf_dir, "lineitem").withColumn("replicate", F.pmod(F.col("l_linenumber") - 1, F.lit(4)) + 1)
     cells = items.select(
         _part_id(F.col("l_partkey")).alias("id"),
-        F.col("l_returnflag").alias("condition"), F.col("l_linenumber").alias("replicate"),
+        F.col("l_returnflag").alias("condition"), "replicate",
         F.col("l_extendedprice").alias("abundance"))
     factor = F.when(F.col("id").endswith("_UPS") & (F.col("condition") == "N"), 16).when(
         F.col("id").endswith("_UPS") & (F.col("condition") == "R"), 4).otherwise(1)
@@ -110,7 +110,7 @@ def annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def site_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flanked peptides with heavy/light site scores."""
+    """Flanked peptides with heavy/light site scores, some scores and abundances NULL."""
     rows = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     n, s = F.col("l_linenumber"), F.col("l_suppkey")
@@ -123,17 +123,17 @@ def site_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("C"), (1 + n % 3).cast("string"), F.lit(":N-ethylmaleimide"),
                  F.when(heavy, F.lit("(D5)")).otherwise(F.lit("")),
                  F.lit(":1000.00;M1:Oxidation:12.50")).alias("ascore"),
-        F.col("l_quantity").alias("lgp"), F.col("l_extendedprice").alias("s1"),
-        (F.col("l_extendedprice") * F.col("l_discount")).alias("s2"))
+        F.when(n != 6, F.col("l_quantity")).alias("lgp"), F.col("l_extendedprice").alias("s1"),
+        F.when(F.col("l_orderkey") % 50 != 3, F.col("l_extendedprice") * F.col("l_discount")).alias("s2"))
 
 
 def occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long shares between 0 and 1 per (id, condition, replicate): a weighted
     mean per cell, 0 where there is no cell."""
-    items = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") <= 4)
+    items = table(spark, sf_dir, "lineitem").withColumn("replicate", F.pmod(F.col("l_linenumber") - 1, F.lit(4)) + 1)
     cells = items.select(
         _part_id(F.col("l_partkey")).alias("id"), F.col("l_returnflag").alias("condition"),
-        F.col("l_linenumber").alias("replicate"), F.col("l_extendedprice").alias("total"),
+        "replicate", F.col("l_extendedprice").alias("total"),
         (F.col("l_extendedprice") * F.col("l_discount") * 10).alias("heavy"))
     shares = cells.groupBy("id", "condition", "replicate").agg(
         F.round(F.try_divide(F.sum("heavy"), F.sum("total")), 6).alias("abundance"))

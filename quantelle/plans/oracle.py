@@ -37,9 +37,9 @@ def with_views(sql: str, *needs: str) -> str:
 PART_ID = "concat('P', {k}, CASE WHEN {k} % 20 = 0 THEN '_UPS' ELSE '' END)"
 
 view("cell", """
-  SELECT l_partkey AS k, l_returnflag AS condition, l_linenumber AS replicate, sum(l_extendedprice) AS a,
+  SELECT l_partkey AS k, l_returnflag AS condition, (l_linenumber - 1) % 4 + 1 AS replicate, sum(l_extendedprice) AS a,
          sum(l_extendedprice * l_discount * 10) / sum(l_extendedprice) AS share
-  FROM lineitem WHERE l_linenumber <= 4 GROUP BY l_partkey, l_returnflag, l_linenumber""")
+  FROM lineitem GROUP BY l_partkey, l_returnflag, (l_linenumber - 1) % 4 + 1""")
 view("grid", """
   SELECT i.k, c.condition, r.replicate
   FROM (SELECT DISTINCT k FROM cell) i
@@ -255,7 +255,8 @@ view("site_peptides", f"""
          concat('C', 1 + l_linenumber % 3, ':N-ethylmaleimide',
                 CASE WHEN l_suppkey % 3 = 2 OR (l_suppkey % 3 = 1 AND l_returnflag = 'A') THEN '(D5)' ELSE '' END,
                 ':1000.00;M1:Oxidation:12.50') AS ascore,
-         l_quantity AS lgp, l_extendedprice AS s1, l_extendedprice * l_discount AS s2,
+         CASE WHEN l_linenumber <> 6 THEN l_quantity END AS lgp, l_extendedprice AS s1,
+         CASE WHEN l_orderkey % 50 <> 3 THEN l_extendedprice * l_discount END AS s2,
          {PEP} AS bare
   FROM lineitem JOIN part ON l_partkey = p_partkey""")
 view("site_rows", """
@@ -319,12 +320,12 @@ SAMPLES = [f"{c}-{r}" for c in "ANR" for r in range(1, 5)]
 def _reduced(source: str, key: str, extra: str = "", score: str = "score", ordinal: str = "ordinal, feature",
              samples: tuple[str, ...] = ("s1", "s2", "s3"), digits: int = 2) -> str:
     """Attributes of the best row and summed samples per key."""
-    sums = ", ".join(f"round(sum({s}), {digits}) AS {s}" for s in samples)
+    sums = ", ".join(f"CASE WHEN count({s}) = count(*) THEN round(sum({s}), {digits}) END AS {s}" for s in samples)
     attributes = "".join(f", b.{c}" for c in extra.split())
     return f"""
 SELECT a.{key}{attributes}, {', '.join('a.' + s for s in samples)}
-FROM (SELECT {key}, {sums} FROM {source} GROUP BY {key}) a
-JOIN (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {score} DESC, {ordinal}) AS rn FROM {source}) b
+FROM (SELECT {key}, {sums} FROM {source} GROUP BY {key} HAVING count({score}) > 0) a
+JOIN (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {score} DESC NULLS LAST, {ordinal}) AS rn FROM {source}) b
   ON a.{key} = b.{key} AND b.rn = 1"""
 
 
@@ -552,7 +553,7 @@ check("reduce_label_identifiers", _reduced(LABEL_ROWS, "label_identifier", "scan
                                            ("s1", "s2"), 5), "stated")
 check("percent_oxidized", f"""
 SELECT concat(identifier, '-H') AS identifier,
-       {', '.join(f"round(coalesce(sum(CASE WHEN h_or_l = 2 THEN {s} END) / nullif(sum({s}), 0), 0), 6) AS {s}"
+       {', '.join(f"round(coalesce(sum(CASE WHEN h_or_l = 2 THEN {s} END) / nullif(CASE WHEN count({s}) = count(*) THEN sum({s}) END, 0), 0), 6) AS {s}"
                   for s in ('s1', 's2'))}
 FROM stated WHERE redox_state = 2 GROUP BY identifier""", "stated")
 OX_EFFECT = """

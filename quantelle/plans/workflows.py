@@ -92,15 +92,13 @@ def labelled_sites(peptides: DataFrame, database: DataFrame, samples: Sequence[s
                    order: Sequence[str] = ("scan",)) -> DataFrame:
     """Heavy/light peptides -> one row per labelled site with its redox state.
 
-    Rows are collapsed to (site, label) before the state is derived. Whether both
-    labels occur does not depend on how often, so the state is the same and its
-    grouping holds two rows per site at most.
+    The state is derived from all rows, unscored ones included, before they are
+    collapsed to (site, label).
     """
     scored = labels.explode_site_scores(labels.add_bare_sequence(peptides))
     located, _ = sites.split_located(labels.locate_site(scored, database))
     tagged = labels.tag_label_state(located)
-    reduced = process.reduce_identifiers(tagged, samples, "label_identifier", score, order)
-    return labels.redox_state(reduced)
+    return process.reduce_identifiers(labels.redox_state(tagged), samples, "label_identifier", score, order)
 
 
 def occupancy_analysis(labelled: DataFrame, samples: Sequence[str], design: Design, contrasts: Sequence[Contrast],

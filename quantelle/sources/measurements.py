@@ -76,7 +76,7 @@ def read_measurements(spark: SparkSession, path: str | Sequence[str], skip: int
     ``samples`` are 1-based positions of the abundance columns (their names may
     repeat, so they are made unique). Only the first ``skip + 1`` lines of one
     file are read by the driver. In the body, a row is dropped when it repeats
-    the header or one of these banner lines, or when its first cell is empty;
+    the header or one of these banner lines, or when all its cells are empty;
     exports whose banner differs from file to file can pass ``is_banner``, an
     expression over the positional columns ``c1, c2, ...``.
     """
@@ -89,7 +89,7 @@ def read_measurements(spark: SparkSession, path: str | Sequence[str], skip: int
     positional = [f"c{i}" for i in range(1, len(header) + 1)]
     body = spark.read.schema(", ".join(f"{c} string" for c in positional)).csv(
         paths, header=False, quote='"', escape='"', mode="PERMISSIVE")
-    drop = F.col("c1").isNull() | (F.trim("c1") == "")
+    drop = F.concat_ws("", *[F.trim(c) for c in positional]) == ""
     for line in parsed:
         cells = (line + [""] * len(header))[: len(header)]
         same = None
