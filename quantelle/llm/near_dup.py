@@ -134,7 +134,7 @@ def _split_crowds(large: DataFrame, classes: DataFrame) -> DataFrame:
     chosen = checked(stash(large.select("pivot").distinct(), "pivots"))
     pivots = stash(of.join(chosen, F.col("cls") == F.col("pivot")).select("pivot", F.col("tokens").alias("pivot_tokens"), F.col("n_shingles").alias("pivot_size")), "pivots")
     side = F.broadcast(pivots) if pivots.count() <= MAX_BROADCAST_ROWS // TOKENS else pivots
-    rows = of.join(checked(stash(large, "path-large")), "cls").join(side, "pivot").select("node", "cls", "label", "pivot", "tokens", "pivot_tokens", "n_shingles", "pivot_size")
+    rows = of.join(checked(large), "cls").join(side, "pivot").select("node", "cls", "label", "pivot", "tokens", "pivot_tokens", "n_shingles", "pivot_size")
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         node, cls, label, pivot, size, other = (batch.column(c).to_numpy() for c in ("node", "cls", "label", "pivot", "n_shingles", "pivot_size"))
@@ -191,18 +191,18 @@ def grow_trees(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     small, pairs = [], []
     for depth in range(DEPTH):
         crowds = stash(_crowds(members), "path-nodes")
-        few = members.join(crowds.where(f"n <= {SMALL}").select("node"), "node")
-        many = crowds.where(f"n > {SMALL}")
-        small.append(few)
-        if not many.take(1):
+        # members are shuffled to their nodes once a level; small and large nodes are read from that table
+        placed = stash(members.join(crowds, "node"), "path-placed")
+        small.append(placed.where(f"n <= {SMALL}").select("node", "cls", "label"))
+        large = placed.where(f"n > {SMALL}")
+        if not crowds.where(f"n > {SMALL}").take(1):
             break
-        large = members.join(many, "node")
         if depth == DEPTH - 1:
             small.append(_blocks(large))
             break
         split = stash(_split_crowds(large, classes), "path-members")
         pairs.append(split.where("kind = 'pair'").select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")))
-        small.append(_sure_with_rest(split))
+        small.append(stash(_sure_with_rest(split), "path-blocks"))
         members = split.where("kind = 'child'").select("node", "cls", "label")
     found = small[0]
     for more in small[1:]:
@@ -210,7 +210,7 @@ def grow_trees(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     stars = classes.sparkSession.createDataFrame([], "a long, b long")
     for more in pairs:
         stars = stars.unionByName(more)
-    return stash(found, "path-leaves"), stars
+    return found, stars
 
 
 def _forest(label: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> tuple[list[int], list[int]]:
