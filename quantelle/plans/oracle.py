@@ -606,3 +606,35 @@ WHERE description <> 'cRAP' AND peptide_count >= 2 AND unique_peptides >= 1""",
 check("peptide_workflow", _reduced("(SELECT *, accession || '--' || sequence AS identifier FROM best)", "identifier"), "best")
 check("phospho_workflow", _reduced(_identified("best", "best_phospho"), "identifier"), "best", "best_phospho")
 check("redox_workflow", _reduced(_identified("best", "best_redox"), "identifier"), "best", "best_redox")
+
+# ------------------------------------------------------------ readers and sinks
+
+check("read_measurements", """
+SELECT CASE WHEN l_orderkey % 50 <> 0 THEN l_orderkey END AS feature,
+       CASE WHEN l_linenumber <> 3 THEN l_quantity END AS score, l_returnflag || l_linestatus AS sequence,
+       CASE WHEN l_linenumber % 2 = 0 THEN '[2] Phospho (S)' END AS modifications, 'P' || l_partkey AS accession,
+       'so-called "P' || l_partkey || '", line ' || l_linenumber AS description,
+       CASE WHEN l_linenumber <> 2 THEN l_extendedprice END AS "Abundance", l_tax AS "Abundance_2"
+FROM lineitem""")
+check("read_peaks_proteins", """
+SELECT 'S' || s_suppkey AS accession, CASE WHEN s_suppkey % 7 <> 0 THEN s_acctbal END AS lgp,
+       CAST(s_suppkey % 9 AS INTEGER) AS peptide_count, CAST(s_suppkey % 4 AS INTEGER) AS unique_peptides,
+       CASE WHEN s_suppkey % 2 = 0 THEN 'Oxidation' END AS ptm, s_name || ', "kinase"' AS description,
+       s_acctbal AS "sample 1", CAST(s_nationkey AS DOUBLE) AS "sample 2"
+FROM supplier""")
+check("read_peaks_peptides", """
+SELECT 'P' || l_partkey AS accession, l_orderkey AS scan, 'K.' || l_returnflag || l_linestatus || '.R' AS peptide,
+       CASE WHEN l_linenumber <> 3 THEN l_quantity END AS lgp, CASE WHEN l_linenumber = 1 THEN 'Carbamidomethylation' END AS ptm,
+       'C' || l_linenumber || ':Carbamidomethylation:' || l_discount AS ascore, l_extendedprice AS "sample 1"
+FROM lineitem""")
+LETTERS = "upper(replace(p_name, ' ', ''))"
+check("read_fasta", f"SELECT 'sp|P' || p_partkey || '|' || {LETTERS} AS accession, {LETTERS} || reverse({LETTERS}) AS sequence FROM part")
+check("read_fasta_pattern", f"SELECT 'P' || p_partkey AS accession, {LETTERS} || reverse({LETTERS}) AS sequence FROM part")
+check("read_annotation", """
+SELECT 'S' || s_suppkey AS accession,
+       CASE WHEN s_suppkey % 11 <> 0 THEN 'process ' || s_nationkey % 5 || ' [GO:000000' || s_nationkey % 5 || ']; process '
+            || 5 + s_suppkey % 4 || ' [GO:000000' || 5 + s_suppkey % 4 || ']' END AS go_bp,
+       'a deliberately long molecular function name for truncation ' || s_nationkey % 3 || ' [GO:0000010]' AS go_mf
+FROM supplier""")
+check("read_processed", f"SELECT id, {_wide('abundance')} FROM quant GROUP BY id", "quant")
+check("write_table", LONG.format("abundance", "quant"), "quant")

@@ -14,7 +14,9 @@ from ..design import Contrast
 from ..functions import text
 from ..functions.tails import f_sf
 from ..operators import (annotate, clean, labels, process, profiles, ranking, reshape, sites, stats, summaries)
-from . import inputs, workflows
+from .. import sources
+from ..sources.measurements import PEPTIDE_EXPORT
+from . import exports, inputs, workflows
 from .inputs import CONTRASTS, DESIGN
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -626,3 +628,50 @@ def _redox_workflow(spark, sf):
     return rounded(workflows.redox_abundance(inputs.peptides(spark, sf), inputs.proteins(spark, sf),
                                              inputs.sequences(spark, sf), ["s1", "s2", "s3"]),
                    "s1", "s2", "s3", digits=2)
+
+
+# ------------------------------------------------- readers and sinks, on files written from the tables
+
+@query("read_measurements")
+def _read_measurements(spark, sf):
+    return sources.read_measurements(spark, exports.measurements(spark, sf), samples=[7, 8],
+                                     types={"#": "long", "Score": "double"}, columns=PEPTIDE_EXPORT)
+
+
+@query("read_peaks_proteins")
+def _read_peaks_proteins(spark, sf):
+    return sources.read_peaks_proteins(spark, exports.peaks_proteins(spark, sf), samples=[7, 8])
+
+
+@query("read_peaks_peptides")
+def _read_peaks_peptides(spark, sf):
+    return sources.read_peaks_peptides(spark, exports.peaks_peptides(spark, sf), samples=[7], last=7)
+
+
+@query("read_fasta")
+def _read_fasta(spark, sf):
+    return sources.read_fasta(spark, exports.fasta(spark, sf))
+
+
+@query("read_fasta_pattern")
+def _read_fasta_pattern(spark, sf):
+    return sources.read_fasta(spark, exports.fasta(spark, sf), accession_pattern="[^A-Za-z0-9]+")
+
+
+@query("read_annotation")
+def _read_annotation(spark, sf):
+    return sources.read_annotation(spark, exports.annotation(spark, sf))
+
+
+@query("read_processed")
+def _read_processed(spark, sf):
+    path = exports.folder(spark, "processed.csv")
+    sources.write_table(inputs.quant_wide(spark, sf), path, "csv")
+    return sources.read_processed(spark, path)
+
+
+@query("write_table")
+def _write_table(spark, sf):
+    path = exports.folder(spark, "long.parquet")
+    sources.write_table(inputs.quant(spark, sf), path, by=["condition"])
+    return sources.read_processed(spark, path)
