@@ -14,6 +14,8 @@ from ..operators.reshape import densify, to_wide
 
 DESIGN = Design.from_counts({"A": 4, "N": 4, "R": 4})
 CONTRASTS = DESIGN.all_contrasts()
+#: Parts whose names make up the sequence of a supplier.
+PARTS_HELD = 48
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,17 +85,14 @@ def proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Protein sequences, each made of some of the distinct peptides.
-
-    The peptides are combined first into one array: there are at most a few
-    hundred distinct names whatever the table size.
-    """
-    distinct = table(spark, sf_dir, "part").select(peptide_text(F.col("p_name")).alias("pep")).distinct()
-    words = distinct.agg(F.array_sort(F.collect_list("pep"))).scalar()
-    kept = F.filter(F.col("words"), lambda w: (F.ascii(F.substr(w, F.lit(2), F.lit(1))) + F.col("s_suppkey")) % 4 != 0)
-    return table(spark, sf_dir, "supplier").select("s_suppkey", words.alias("words")).select(
-        _protein(F.col("s_suppkey")).alias("accession"),
-        F.concat(F.lit("M"), F.array_join(kept, "")).alias("sequence"))
+    """Protein sequences, each made of the peptides of ``PARTS_HELD`` parts in the order of
+    their keys, so that some peptides of a protein are not found in it."""
+    held = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", F.explode(F.sequence(F.col("s_suppkey") * 20, F.col("s_suppkey") * 20 + PARTS_HELD - 1)).alias("p_partkey"))
+    named = held.join(table(spark, sf_dir, "part").select("p_partkey", peptide_text(F.col("p_name")).alias("pep")), "p_partkey", "left")
+    ordered = named.groupBy("s_suppkey").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "pep"))).alias("held"))
+    return ordered.select(_protein(F.col("s_suppkey")).alias("accession"),
+                          F.concat(F.lit("M"), F.array_join(F.col("held.pep"), "")).alias("sequence"))
 
 
 def annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +126,23 @@ def site_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_orderkey") % 50 != 3, F.col("l_extendedprice") * F.col("l_discount")).alias("s2"))
 
 
+def labelled_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same peptides as candidates that compete for their scan."""
+    return site_peptides(spark, sf_dir).withColumns({
+        "ordinal": F.col("scan") * 1000000 + F.floor("s1"),
+        "ptm": F.when(F.col("scan") % 2 == 0, "N-ethylmaleimide"),
+        "scan": F.expr("scan div 10")})
+
+
+def peaks_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Protein table whose score and modification names clash with those of the peptides."""
+    s = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        _protein(s).alias("accession"), F.when(s % 19 != 0, F.col("s_acctbal")).alias("lgp"),
+        F.when(s % 13 != 0, F.col("s_nationkey") % 4).alias("unique_peptides"), F.lit("Oxidation").alias("ptm"),
+        _tag(s).alias("description"))
+
+
 def occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long shares between 0 and 1 per (id, condition, replicate): a weighted
     mean per cell, 0 where there is no cell."""

@@ -164,9 +164,8 @@ view("members", """
   FROM proteins""", "proteins")
 view("sequences", f"""
   SELECT concat('sp|S', s_suppkey, '|X') AS accession,
-         concat('M', array_to_string(list_sort(list(pep)), '')) AS sequence
-  FROM supplier CROSS JOIN (SELECT DISTINCT {PEP} AS pep FROM part)
-  WHERE (ascii(substr(pep, 2, 1)) + s_suppkey) % 4 <> 0 GROUP BY s_suppkey""")
+         concat('M', coalesce(string_agg({PEP}, '' ORDER BY p_partkey), '')) AS sequence
+  FROM supplier LEFT JOIN part ON p_partkey BETWEEN s_suppkey * 20 AND s_suppkey * 20 + 47 GROUP BY s_suppkey""")
 view("scored", """
   SELECT * REPLACE (try_cast(score AS double) AS score) FROM peptides
   WHERE score <> '---' AND try_cast(score AS double) > 13""", "peptides")
@@ -276,6 +275,25 @@ view("stated", """
            AS redox_state
   FROM (SELECT *, avg(h_or_l) OVER (PARTITION BY identifier) AS mean_modification FROM tagged)""", "tagged")
 
+view("labelled_candidates", """
+  SELECT p.* EXCLUDE (scan), p.scan // 10 AS scan, p.scan * 1000000 + cast(floor(p.s1) AS bigint) AS ordinal,
+         CASE WHEN p.scan % 2 = 0 THEN 'N-ethylmaleimide' END AS ptm,
+         CASE WHEN s_suppkey % 13 <> 0 THEN s_nationkey % 4 END AS unique_peptides,
+         CASE WHEN s_suppkey % 19 <> 0 THEN s_acctbal END AS lgp_protein
+  FROM site_peptides p JOIN supplier ON p.accession = concat('sp|S', s_suppkey, '|X')
+  WHERE s_suppkey % 17 <> 0""", "site_peptides")
+view("labelled_best", """
+  SELECT * EXCLUDE (r1, r2) FROM (
+    SELECT *, row_number() OVER (PARTITION BY scan ORDER BY lgp DESC NULLS LAST, peptide, ptm NULLS LAST) AS r2
+    FROM (SELECT *, row_number() OVER (
+            PARTITION BY scan, peptide, ptm, lgp
+            ORDER BY unique_peptides DESC NULLS LAST, lgp_protein DESC NULLS LAST, ordinal) AS r1 FROM labelled_candidates)
+    WHERE r1 = 1 AND unique_peptides IS NOT NULL AND lgp_protein IS NOT NULL)
+  WHERE r2 = 1""", "labelled_candidates")
+view("best_site_rows", VIEWS["site_rows"][1].replace("site_peptides", "labelled_best"), "labelled_best", "sequences")
+view("best_tagged", VIEWS["tagged"][1].replace("site_rows", "best_site_rows"), "best_site_rows")
+view("best_stated", VIEWS["stated"][1].replace("tagged", "best_tagged"), "best_tagged")
+
 view("annotation", """
   SELECT concat('S', s_suppkey) AS entry,
          CASE WHEN s_suppkey % 11 = 0 THEN NULL
@@ -607,6 +625,11 @@ check("peptide_workflow", _reduced("(SELECT *, accession || '--' || sequence AS
 check("phospho_workflow", _reduced(_identified("best", "best_phospho"), "identifier"), "best", "best_phospho")
 check("redox_workflow", _reduced(_identified("best", "best_redox"), "identifier"), "best", "best_redox")
 
+check("peaks_reduce_features", """
+SELECT scan, ordinal, peptide, ptm, lgp, accession, unique_peptides, lgp_protein FROM labelled_best""", "labelled_best")
+check("labelled_workflow", _reduced("best_stated", "label_identifier", "scan lgp redox_state", "lgp", "scan", ("s1", "s2"), 5),
+      "best_stated")
+
 # ------------------------------------------------------------ readers and sinks
 
 check("read_measurements", """

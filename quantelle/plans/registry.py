@@ -630,6 +630,23 @@ def _redox_workflow(spark, sf):
                    "s1", "s2", "s3", digits=2)
 
 
+@query("peaks_reduce_features")
+def _peaks_reduce_features(spark, sf):
+    return _labelled_candidates(spark, sf).select("scan", "ordinal", "peptide", "ptm", "lgp", "accession",
+                                                  "unique_peptides", "lgp_protein")
+
+
+@query("labelled_workflow")
+def _labelled_workflow(spark, sf):
+    reduced = _labelled_candidates(spark, sf)
+    sites_ = workflows.labelled_sites(reduced, inputs.sequences(spark, sf), ["s1", "s2"], order=["scan"])
+    return rounded(sites_.select("label_identifier", "scan", "lgp", "s1", "s2", "redox_state"), "s1", "s2", digits=5)
+
+
+def _labelled_candidates(spark, sf):
+    return workflows.labelled_candidates(inputs.labelled_peptides(spark, sf), inputs.peaks_proteins(spark, sf))
+
+
 # ------------------------------------------------- readers and sinks, on files written from the tables
 
 @query("read_measurements")

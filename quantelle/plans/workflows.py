@@ -88,6 +88,16 @@ def redox_abundance(peptides: DataFrame, proteins: DataFrame, database: DataFram
     return process.select_abundance(process.reduce_identifiers(located, samples), "identifier", samples)
 
 
+def labelled_candidates(peptides: DataFrame, proteins: DataFrame, score: str = "lgp", ordinal: str = "ordinal") -> DataFrame:
+    """Heavy/light peptides with all proteins they support -> one row per scan.
+
+    Of equal peptides the protein with most unique peptides, then the highest protein
+    score wins; then the best-scoring peptide of the scan.
+    """
+    joined = process.attach_proteins_inner(peptides, proteins)
+    return process.reduce_features(joined, "scan", "peptide", "ptm", score, "unique_peptides", f"{score}_protein", ordinal)
+
+
 def labelled_sites(peptides: DataFrame, database: DataFrame, samples: Sequence[str], score: str = "lgp",
                    order: Sequence[str] = ("scan",)) -> DataFrame:
     """Heavy/light peptides -> one row per labelled site with its redox state.
