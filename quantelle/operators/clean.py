@@ -90,8 +90,7 @@ def impute_absent(df: DataFrame, mode: str = "draw", q: float = 0.25, seed: int
     condition at all) around the condition's ``q`` quantile of present values."""
     keys = key_list(by, id)
     seen = observed(F.col("abundance"))
-    level = exact_quantiles(df.withColumn("_seen", seen), "_seen", [*by, "condition"], {"_level": q},
-                            few_groups=not by)
+    level = exact_quantiles(df.withColumn("_seen", seen), "_seen", [*by, "condition"], {"_level": q})
     filled = null_safe_join(df, _per_condition(level, by), [*by, "condition"], "left")
     fill = F.col("_level")
     if mode == "draw":
@@ -116,7 +115,7 @@ def impute(df: DataFrame, mode: str = "draw", q: float = 0.25, seed: int = 123,
 def _spread(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Median over ids of the within-condition standard deviation."""
     sds = df.groupBy(*keys, "condition").agg(F.stddev_samp(observed(F.col("abundance"))).alias("_s"))
-    return exact_quantiles(sds, "_s", [*by, "condition"], {"_sd": 0.5}, few_groups=not by)
+    return exact_quantiles(sds, "_s", [*by, "condition"], {"_sd": 0.5})
 
 
 def _noise(keys: Sequence[str], seed: int) -> Column:

@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import pin
+
+#: Largest narrow table that is broadcast.
+MAX_BROADCAST_ROWS = 200_000
+
 
 def key_list(by: Sequence[str], *rest: str) -> list[str]:
     """``by`` keys (for example an experiment) followed by the operator's own keys."""
@@ -27,3 +32,10 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 def strict_sum(c: Column) -> Column:
     """Sum that is NULL as soon as one value is NULL."""
     return F.when(F.count(c) == F.count(F.lit(1)), F.sum(c))
+
+
+def pinned_side(df: DataFrame) -> DataFrame:
+    """A narrow join side, written once, and broadcast if it was counted to have at most
+    ``MAX_BROADCAST_ROWS`` rows; a larger one is joined by a shuffle."""
+    side = pin(df)
+    return F.broadcast(side) if side.count() <= MAX_BROADCAST_ROWS else side

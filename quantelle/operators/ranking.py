@@ -11,14 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import pin
-from .keys import null_safe_join
-
-
-#: Largest per-slab table that is broadcast.
-MAX_BROADCAST_ROWS = 200_000
-
-#: Largest number of groups whose quantile brackets pass through the driver.
-MAX_COLLECTED_GROUPS = 10_000
+from . import keys
+from .keys import null_safe_join, pinned_side
 
 
 def adjust_bh(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), tie: Sequence[str] = ("id",),
@@ -49,7 +43,7 @@ def adjust_bh(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), tie
     earlier = Window.partitionBy(*family).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*family)
     counts = slabs.groupBy(*where).agg(F.count(F.lit(1)).alias("_rows"))
-    few = counts.count() <= MAX_BROADCAST_ROWS
+    few = counts.count() <= keys.MAX_BROADCAST_ROWS
     sizes = (
         counts
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
@@ -90,7 +84,7 @@ def adjust_bh_small(df: DataFrame, p: str = "p_value", family: Sequence[str] = (
 
 
 def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Mapping[str, float],
-                    few_groups: bool = False, accuracy: int = 10_000) -> DataFrame:
+                    accuracy: int = 10_000) -> DataFrame:
     """Exact linearly interpolated quantiles (R type 7) per group.
 
     ``probs`` maps an output column to a probability. A mergeable sketch brackets
@@ -101,10 +95,9 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Map
     and a rank outside its bracket raises instead of returning a wrong value.
     Groups of fewer than ``accuracy`` values use their full range as bracket.
 
-    ``few_groups=True`` broadcasts the per-group brackets: pass it only when the
-    groups come from a fixed list such as the conditions of a design. Otherwise
-    the brackets are computed first; up to ``MAX_COLLECTED_GROUPS`` of them are
-    broadcast, more are joined by a shuffle (adaptive execution splits hot groups).
+    The brackets are computed when the function is called and written once; they are
+    broadcast if they are few, else joined by a shuffle (adaptive execution splits hot
+    groups).
     """
     groups = list(groups)
     names = list(probs)
@@ -117,12 +110,7 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Map
         F.percentile_approx("_v", [*lows, *highs], accuracy).alias("_q"),
         F.min("_v").alias("_min"), F.max("_v").alias("_max"),
     )
-    if not few_groups:
-        head = sketch.limit(MAX_COLLECTED_GROUPS + 1).collect()
-        few_groups = len(head) <= MAX_COLLECTED_GROUPS
-        if few_groups:
-            sketch = df.sparkSession.createDataFrame(head, sketch.schema)
-    placed = null_safe_join(values, F.broadcast(sketch) if few_groups else sketch, groups)
+    placed = null_safe_join(values, pinned_side(sketch), groups)
     small = F.col("_n") < accuracy
 
     def bracket(i: int):

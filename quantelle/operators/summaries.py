@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from .clean import back_transform
-from .keys import key_list, null_safe_join
+from .keys import key_list, null_safe_join, pinned_side
 from .ranking import exact_quantiles, first_per_key
 from .stats import group_moments
 
@@ -57,7 +57,7 @@ def volcano_labelled(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame
     """Classified rows with their comparison's label (a fan-out join to one row
     per comparison, so the popular side is never gathered in a window)."""
     labels = volcano_counts(classified, by).select(*key_list(by, "comparison"), "label")
-    return classified.join(labels if by else F.broadcast(labels), key_list(by, "comparison"), "left")
+    return classified.join(pinned_side(labels), key_list(by, "comparison"), "left")
 
 
 def summarize_volcano(results: DataFrame, pattern: str = "_UPS", id: str = "id") -> DataFrame:
@@ -78,7 +78,7 @@ def summarize_fc(effects: DataFrame, pattern: str = "_UPS", id: str = "id", by:
     per (comparison, class)."""
     groups = key_list(by, "comparison", "class")
     ratio = back_transform(add_class(effects, pattern, id=id), "fc").select(*groups, "fc")
-    medians = exact_quantiles(ratio, "fc", groups, {"median": 0.5}, few_groups=not by)
+    medians = exact_quantiles(ratio, "fc", groups, {"median": 0.5})
     rest = ratio.groupBy(*groups).agg(F.avg("fc").alias("mean"), F.stddev_samp("fc").alias("sd"))
     return null_safe_join(medians, rest, groups)
 
@@ -94,7 +94,7 @@ def summarize_cv(df: DataFrame, id: str = "id", by: Sequence[str] = ()) -> DataF
     """Mean, median and 90 % quantile of the CV per condition."""
     groups = key_list(by, "condition")
     cv = coefficient_of_variation(df, id, by).select(*groups, "cv")
-    quantiles = exact_quantiles(cv, "cv", groups, {"cv_median": 0.5, "cv_90": 0.9}, few_groups=not by)
+    quantiles = exact_quantiles(cv, "cv", groups, {"cv_median": 0.5, "cv_90": 0.9})
     return null_safe_join(quantiles, cv.groupBy(*groups).agg(F.avg("cv").alias("cv_mean")), groups)
 
 
@@ -103,7 +103,7 @@ def cv_by_class(df: DataFrame, pattern: str = "P_", yes: str = "P", no: str = "N
     """Median CV on the back-transformed scale per (condition, class)."""
     groups = key_list(by, "condition", "class")
     cv = add_class(coefficient_of_variation(back_transform(df), id, by), pattern, yes, no, id)
-    return exact_quantiles(cv, "cv", groups, {"median": 0.5}, few_groups=not by)
+    return exact_quantiles(cv, "cv", groups, {"median": 0.5})
 
 
 def summarize_z(profiles: DataFrame, pattern: str = "_UPS", id: str = "id") -> DataFrame:
@@ -145,13 +145,12 @@ def sites_per_accession(counted: DataFrame, identifier: str = "identifier") -> D
 def sample_box_stats(df: DataFrame, groups: Sequence[str] = ("condition", "replicate"), value: str = "abundance",
                      by: Sequence[str] = ()) -> DataFrame:
     """Quartiles, most extreme values within 1.5 interquartile ranges, and counts
-    per sample. Samples come from a design, so the fences are broadcast unless
-    ``by`` keys multiply them."""
+    per sample."""
     keys = key_list(by, *groups)
-    quartiles = exact_quantiles(df, value, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75}, few_groups=not by)
+    quartiles = exact_quantiles(df, value, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     fences = quartiles.withColumn("_reach", 1.5 * (F.col("q3") - F.col("q1")))
     x = F.col(value)
-    placed = null_safe_join(df.where(x.isNotNull()).select(*keys, value), fences if by else F.broadcast(fences), keys)
+    placed = null_safe_join(df.where(x.isNotNull()).select(*keys, value), pinned_side(fences), keys)
     inside = F.when((x >= F.col("q1") - F.col("_reach")) & (x <= F.col("q3") + F.col("_reach")), x)
     return placed.groupBy(*keys, "q1", "median", "q3").agg(
         F.min(inside).alias("lower"), F.max(inside).alias("upper"), F.count(F.lit(1)).alias("n"),

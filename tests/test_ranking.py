@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import physical
-from quantelle.operators import ranking
+from quantelle.operators import keys, ranking
 
 
 def sequential_bh(p):
@@ -48,7 +48,7 @@ def test_bh_small_families_and_shuffle_join(tests_table, monkeypatch):
     df, _ = tests_table
     key = ["family", "id", "q"]
     large = ranking.adjust_bh(df, "p", ["family"], ["id"], "q")
-    monkeypatch.setattr(ranking, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(keys, "MAX_BROADCAST_ROWS", 0)
     joined = ranking.adjust_bh(df, "p", ["family"], ["id"], "q")
     small = ranking.adjust_bh_small(df, "p", ["family"], "q")
 
@@ -65,16 +65,16 @@ def test_bh_never_gathers_a_family(tests_table):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
-@pytest.mark.parametrize("few, limit", [(True, 10), (False, 10), (False, 0)])
-def test_exact_quantiles_with_brackets(spark, monkeypatch, few, limit):
-    monkeypatch.setattr(ranking, "MAX_COLLECTED_GROUPS", limit)
+@pytest.mark.parametrize("limit", [10, 0])
+def test_exact_quantiles_with_brackets(spark, monkeypatch, limit):
+    monkeypatch.setattr(keys, "MAX_BROADCAST_ROWS", limit)
     rng = np.random.default_rng(3)
     values = np.concatenate([rng.normal(size=3000), np.full(1500, 0.5), rng.exponential(size=31)])
     rng.shuffle(values)
     data = [("g", float(v)) for v in values] + [("h", float(v)) for v in range(7)] + [("g", None), ("n", None)]
     df = spark.createDataFrame(data, "g string, v double").repartition(5)
     probs = {"lo": 0.0, "q1": 0.25, "mid": 0.5, "q9": 0.9, "hi": 1.0}
-    got = {r.g: r for r in ranking.exact_quantiles(df, "v", ["g"], probs, few_groups=few, accuracy=100).collect()}
+    got = {r.g: r for r in ranking.exact_quantiles(df, "v", ["g"], probs, accuracy=100).collect()}
     assert set(got) == {"g", "h"}
     for name, p in probs.items():
         assert got["g"][name] == pytest.approx(np.quantile(values, p), abs=1e-12)
