@@ -5,7 +5,7 @@ query. Weights are divided by an item's score for itself, so one threshold serve
 of any length. As in block-max WAND a passage is given up when the sum of its words'
 largest weights, over the index and then over a block of items, stays below the
 threshold; only blocks that can hold a match are scored in full. What is retrieved is
-verified on word shingles of the item's question and answer.
+verified on the word shingles of the item, and of its answer where the table has one.
 """
 
 from __future__ import annotations
@@ -25,15 +25,15 @@ from .common import in_arrow, slices
 
 WIDTH = 5
 OVERLAP = 0.75
-#: Share of an item's own score that a passage must reach. Passages are at least as long as
-#: any item, so one of the two that share a contained item holds half of its score.
+#: Largest share of an item's own score that a passage must reach. Passages are at least as
+#: long as any item, so one of the two that share a contained item holds half of the score of
+#: what is left of it; items that can lose much of their score need less (``least_score``).
 THRESHOLD = 0.4
 BLOCK = 8
 K1, B = 1.2, 0.75
 #: Text of benchmark items per index; larger benchmarks are searched in parts of this size.
 MAX_INDEX_BYTES = 64_000_000
 _WORD = re.compile(r"\w+")
-_SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 HIT = "k long, item_id long, start long, end long, score double, question_overlap double, answer_overlap double"
 
 
@@ -41,12 +41,6 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def question_and_answer(text: str) -> tuple[str, str]:
-    """An item's last sentence is its answer; an item of one sentence is all question."""
-    ends = [m for m in _SENTENCE.finditer(text) if text[m.end():].strip()]
-    return (text[:ends[-1].start()], text[ends[-1].end():]) if ends and text[:ends[-1].start()].strip() else (text, "")
-
-
 def grams(words: list[str]) -> set[tuple[str, ...]]:
     """Distinct runs of ``WIDTH`` words, the whole sequence if it is shorter."""
     if not words:
@@ -69,11 +63,49 @@ class Index:
     ids: list[int]
     parts: list[tuple[set, set]]
     window: int
+    scale: np.ndarray
     sizes: list[int] = field(default_factory=list)
 
 
-def build_index(items: list[tuple[int, str, str]]) -> Index:
-    """Index of ``(item_id, question, answer)``; items without words cannot be found."""
+def score_at_risk(words: list[str], weight: dict[str, float], overlap: float) -> float:
+    """Bound of the weight of words that stand in no shingle left when ``overlap`` of a
+    text's shingles are. ``weight`` is that of one occurrence of a word."""
+    if len(words) < WIDTH:
+        return 0.0
+    starts = len(words) - WIDTH + 1
+    times = sorted(Counter(tuple(words[i:i + WIDTH]) for i in range(starts)).values(), reverse=True)
+    missing = max(m for m in range(len(times) + 1) if m == 0 or (len(times) - m) / len(times) >= overlap)
+    most = sum(times[:missing])
+    # best[r, m]: m starts missing so far, the last r of them in a row; those outside the text count as missing
+    best = np.full((WIDTH + 1, most + 1), -np.inf)
+    best[WIDTH, 0] = 0.0
+    for at, word in enumerate(words):
+        new = np.full_like(best, -np.inf)
+        if at < starts:
+            new[0] = best.max(axis=0)
+            new[1:WIDTH, 1:] = best[:WIDTH - 1, :-1]
+            new[WIDTH, 1:] = best[WIDTH - 1:, :-1].max(axis=0) + weight[word]
+        else:
+            new[1:WIDTH] = best[:WIDTH - 1]
+            new[WIDTH] = best[WIDTH - 1:].max(axis=0) + weight[word]
+        best = new
+    return float(best.max())
+
+
+def least_score(question: list[str], answer: list[str], weight: dict[str, float], overlap: float) -> float:
+    """Share of its own score that one of two neighbouring passages reaches, whichever
+    words are lost from an item that keeps ``overlap`` of its shingles."""
+    times = Counter([*question, *answer])
+    each = {w: weight[w] / c for w, c in times.items()}
+    lost = score_at_risk(question, each, overlap) + score_at_risk(answer, each, overlap)
+    return max((1 - lost) / 2 - 1e-6, 1e-6)
+
+
+def build_index(items: list[tuple[int, str, str]], threshold: float = THRESHOLD, overlap: float = OVERLAP) -> Index:
+    """Index of ``(item_id, question, answer)``; items without words cannot be found.
+
+    Weights are shares of the item's own score times its ``scale``, which brings the least
+    score of an item that keeps ``overlap`` of its shingles up to ``threshold``."""
     split = [(i, words_of(q or ""), words_of(a or "")) for i, q, a in items]
     split = [x for x in split if x[1] or x[2]]
     frequency = Counter(w for _, q, a in split for w in {*q, *a})
@@ -81,13 +113,14 @@ def build_index(items: list[tuple[int, str, str]]) -> Index:
     split.sort(key=lambda x: ([(-frequency[w], w) for w in sorted({*x[1], *x[2]}, key=lambda w: (-frequency[w], w))[:6]], x[0]))
     terms = {w: t for t, w in enumerate(sorted(frequency))}
     n, mean = len(split), sum(len(q) + len(a) for _, q, a in split) / max(1, len(split))
-    rows = []
+    rows, scale = [], np.ones(n)
     for at, (_, q, a) in enumerate(split):
         times = Counter([*q, *a])
         length = len(q) + len(a)
         raw = {w: np.log(1 + (n - frequency[w] + 0.5) / (frequency[w] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * length / mean)) for w, c in times.items()}
         own = sum(raw.values())
-        rows += [(terms[w], at, x / own) for w, x in raw.items()]
+        scale[at] = max(1.0, threshold / least_score(q, a, {w: x / own for w, x in raw.items()}, overlap))
+        rows += [(terms[w], at, x / own * scale[at]) for w, x in raw.items()]
     term = np.array([r[0] for r in rows], np.int64)
     item = np.array([r[1] for r in rows], np.int64)
     weight = np.array([r[2] for r in rows])
@@ -99,7 +132,7 @@ def build_index(items: list[tuple[int, str, str]]) -> Index:
     block_term, blocks = pair // (n // BLOCK + 1), pair % (n // BLOCK + 1)
     largest = np.maximum.reduceat(weight, item_at[:-1]) if len(terms) else weight
     return Index(terms, largest, item_at, item, weight, np.searchsorted(block_term, np.arange(len(terms) + 1)), blocks, maxima,
-                 [i for i, _, _ in split], [(grams(q), grams(a)) for _, q, a in split], max([64, *(len(q) + len(a) for _, q, a in split)]),
+                 [i for i, _, _ in split], [(grams(q), grams(a)) for _, q, a in split], max([64, *(len(q) + len(a) for _, q, a in split)]), scale,
                  [len(q) + len(a) for _, q, a in split])
 
 
@@ -166,6 +199,7 @@ def search(index: Index, texts: list[str], threshold: float = THRESHOLD, overlap
             text -= 1
         at = p - int(base[text])
         low, high = max(0, (at - 1) * index.window), (at + 2) * index.window
+        score /= index.scale[item]
         near = held.get((text, at))
         if near is None:
             held = {(text, at): grams_around(words[text], low, high)} if len(held) > 64 else {**held, (text, at): grams_around(words[text], low, high)}
@@ -201,9 +235,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
 
     Texts are cut into passages of as many words as the longest item, 64 at least; words
     are lower-cased runs of letters and digits. Each passage queries the index; a match
-    needs ``threshold`` of the item's own BM25 score, then ``overlap`` of the five-word
-    shingles of its question and of its answer within the passage and one passage on each
-    side. Without an ``answer`` column an item's last sentence is its answer. ``start``
+    needs ``threshold`` of the item's own BM25 score, or less where an item that keeps
+    ``overlap`` of its shingles can have less, then ``overlap`` of the five-word shingles of
+    its question and of its answer within the passage and one passage on each side. Without
+    an ``answer`` column the whole item is the question, and ``answer_overlap`` is 1. ``start``
     and ``end`` count words. NULL, empty and wordless texts and items match nothing;
     NULL keys are returned as NULL; repeated rows match each for itself. The benchmark
     is broadcast in parts of at most ``MAX_INDEX_BYTES`` of text, each searched by every
@@ -218,8 +253,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     out = None
     for part in range(parts):
         mine = items.where(F.pmod(F.xxhash64("i", "q"), F.lit(parts)) == part).collect()
-        split = [(r.i, *((r.q, r.a) if answer else question_and_answer(r.q or ""))) for r in mine]
-        index = spark.sparkContext.broadcast(build_index(split))
+        index = spark.sparkContext.broadcast(build_index([(r.i, r.q, r.a) for r in mine], threshold, overlap))
 
         def look(batch: pa.RecordBatch, index=index) -> Iterator[pa.RecordBatch]:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

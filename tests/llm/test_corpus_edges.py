@@ -79,6 +79,45 @@ def test_contamination(spark, empty):
     assert decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench.where("false")).count() == 0
 
 
+def test_contamination_of_edited_items(spark):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(400)]
+    items = {i: [str(w) for w in rng.choice(words, 32, replace=False)] for i in range(20)}
+    text = {i: f"{' '.join(w[:25])}. {' '.join(w[25:])}." for i, w in items.items()}
+    bench = spark.createDataFrame(sorted(text.items()), "item_id long, text string")
+    rows, want = [], set()
+    for i, w in items.items():
+        edits = [[*w[:at], "edited", *w[at + 1:]] for at in range(len(w))] + [w[:25]]
+        for edit in edits:
+            # from the middle of a passage and across the border of two
+            for before in (10, 64 - len(w) // 2):
+                rows.append((len(rows), " ".join([*(f"f{j}" for j in range(before)), *edit, *(f"g{j}" for j in range(90))])))
+                want.add((len(rows) - 1, i))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.contaminated(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and all(r.answer_overlap == 1 and r.question_overlap >= 0.75 for r in found)
+    # a table with answers keeps the check of the answer on its own
+    told = spark.createDataFrame([(i, " ".join(w[:25]), " ".join(w[25:])) for i, w in items.items()], "item_id long, text string, answer string")
+    assert {r.doc_id % 66 // 2 for r in decontaminate.contaminated(docs, told, answer="answer").collect()} == {*range(25)}
+
+
+def test_least_score_of_a_kept_item():
+    rng = np.random.default_rng(6)
+    for _ in range(30):
+        words = [f"w{i}" for i in rng.integers(0, 15, 14)]
+        weight = {w: float(x) for w, x in zip(dict.fromkeys(words), rng.random(15))}
+        each = {w: weight[w] / words.count(w) for w in weight}
+        starts = [tuple(words[i:i + 5]) for i in range(10)]
+        distinct = sorted(set(starts))
+        worst = 0.0
+        for mask in range(1 << len(distinct)):
+            gone = {g for i, g in enumerate(distinct) if mask >> i & 1}
+            if (len(distinct) - len(gone)) / len(distinct) >= 0.75:
+                left = {w for g in starts if g not in gone for w in g}
+                worst = max(worst, sum(weight[w] for w in weight if w not in left))
+        assert decontaminate.score_at_risk(words, each, 0.75) >= worst - 1e-9
+
+
 def test_block_bounds_lose_no_match():
     rng = np.random.default_rng(1)
     words = [f"w{i}" for i in range(300)]
