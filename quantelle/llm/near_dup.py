@@ -4,14 +4,17 @@ Every class of equal shingle sets has minwise tokens. In a tree, a node chooses
 two of their positions (4/3 on average, the reciprocal of the similarity wanted) by its
 own hash, and a class goes on to the child named by its token there. Similar sets stay
 together on some path; small nodes are compared exhaustively on sketches, large ones
-branch again. Independent trees make up for pairs that a single tree parts. Every
-candidate is confirmed on the full sets.
+branch again. Many trees make up for pairs that a single tree parts. Where crowds branch
+so deep that the trees of one round keep a pair with less than the wanted recall, their
+classes get more rounds with fresh tokens. Every candidate is confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,8 @@ from .shingles import overlap, scramble, shingle_set
 
 TOKENS = 128
 TREES = 16
+#: Probability that a pair at 0.75 stays together on some path, at the depth that its classes reach.
+TARGET = 0.999
 #: Nodes of up to so many classes are compared exhaustively.
 SMALL = 2048
 #: Levels of branching after which a large node is compared in blocks instead.
@@ -33,19 +38,52 @@ MAYBE = 0.58
 #: Share from which members of a large node count as linked to its pivot and branch no further.
 SURE = 0.85
 
-_RNG = np.random.default_rng(20240229)
-_MULTIPLY = _RNG.integers(0, 2**32, TOKENS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-_ADD = _RNG.integers(0, 2**32, TOKENS, dtype=np.uint64).astype(np.uint32)
-ROOTS = scramble(np.arange(1, TREES + 1, dtype=np.uint64) * np.uint64(0x5851F42D4C957F2D))
 MEMBER = "node long, cls long, label long"
 
 
-def min_tokens(shingles: np.ndarray) -> np.ndarray:
-    """Minwise tokens of a set under ``TOKENS`` hash functions."""
+@cache
+def pool(number: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and offsets of the ``TOKENS`` hash functions of a round."""
+    rng = np.random.default_rng([20240229, number] if number else 20240229)
+    multiply, add = (rng.integers(0, 2**32, TOKENS, dtype=np.uint64).astype(np.uint32) for _ in range(2))
+    return multiply | np.uint32(1), add
+
+
+def roots(number: int) -> np.ndarray:
+    """Names of the ``TREES`` roots of a round."""
+    return scramble(np.arange(1 + number * TREES, TREES + 1 + number * TREES, dtype=np.uint64) * np.uint64(0x5851F42D4C957F2D))
+
+
+@cache
+def recall(levels: int) -> float:
+    """Probability that a pair at 0.75 shares ``levels`` branchings in some tree of a round.
+
+    All trees draw from one pool of tokens, so they are independent only for a given
+    number of tokens that agree; the result is the mean over that number."""
+    agree = np.arange(TOKENS + 1) / TOKENS
+    chance = np.array([math.comb(TOKENS, k) * 0.75**k * 0.25**(TOKENS - k) for k in range(TOKENS + 1)])
+    alive = np.ones(TOKENS + 1)
+    for _ in range(levels):
+        lost = 1 - agree * alive
+        alive = 1 - (2 * lost + lost**2) / 3
+    return float((chance * (1 - (1 - alive)**TREES)).sum())
+
+
+def rounds(levels: int) -> int:
+    """Rounds of ``TREES`` trees, each with its own tokens, that reach ``TARGET``."""
+    number = 1
+    while 1 - (1 - recall(levels))**number < TARGET:
+        number += 1
+    return number
+
+
+def min_tokens(shingles: np.ndarray, number: int = 0) -> np.ndarray:
+    """Minwise tokens of a set under the ``TOKENS`` hash functions of a round."""
     low = (shingles >> np.uint64(32)).astype(np.uint32)
+    multiply, add = pool(number)
     best = np.full(TOKENS, 2**32 - 1, np.uint32)
     for at in range(0, len(low), 2048):
-        best = np.minimum(best, (low[at:at + 2048, None] * _MULTIPLY + _ADD).min(axis=0))
+        best = np.minimum(best, (low[at:at + 2048, None] * multiply + add).min(axis=0))
     return best
 
 
@@ -68,8 +106,8 @@ def _binary(column: pa.Array) -> pa.Array:
     return column.cast(pa.binary())
 
 
-def signatures(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(k, n_shingles, cls, tokens)`` of whole texts; ``cls`` and ``tokens`` are NULL for empty sets."""
+def signatures(documents: DataFrame, key: str = "doc_id", text: str = "text", number: int = 0) -> DataFrame:
+    """``(k, n_shingles, cls, tokens)`` of whole texts, tokens of one round; ``cls`` and ``tokens`` are NULL for empty sets."""
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").alias("t"))
 
     def sign(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -79,7 +117,7 @@ def signatures(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
             found = shingle_set(value.as_py() or b"")
             sizes.append(len(found))
             names.append(class_number(found) if len(found) else None)
-            tokens.append(min_tokens(found).tobytes() if len(found) else None)
+            tokens.append(min_tokens(found, number).tobytes() if len(found) else None)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(tokens, pa.binary())],
                                          names=["k", "n_shingles", "cls", "tokens"])
 
@@ -102,12 +140,12 @@ def branch(nodes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return rows, scramble(nodes[rows] * np.uint64(0x2545F4914F6CDD1D) + (np.uint64(1) << np.uint64(32)) * at.astype(np.uint64) + value)
 
 
-def _plant(classes: DataFrame) -> DataFrame:
-    """Members of the children of all roots."""
+def _plant(classes: DataFrame, number: int) -> DataFrame:
+    """Members of the children of all roots of a round."""
     def grow(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         names = batch.column(0).to_numpy()
         tokens = _matrix(batch.column(1), np.uint32, TOKENS)
-        for root in ROOTS:
+        for root in roots(number):
             rows, child = branch(np.full(len(names), root, np.uint64), tokens)
             yield pa.RecordBatch.from_pydict({"node": child.view(np.int64), "cls": names[rows], "label": names[rows]})
 
@@ -185,10 +223,12 @@ def _blocks(large: DataFrame) -> DataFrame:
         F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "cls", "label")
 
 
-def grow_trees(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of all small nodes ``(node, cls, label)`` and candidate pairs ``(a, b)`` with pivots."""
-    members = stash(_plant(classes), "path-members")
+def grow_trees(classes: DataFrame, number: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members of all small nodes ``(node, cls, label)``, candidate pairs ``(a, b)`` with
+    pivots, and the most branchings ``(cls, levels)`` of classes that large nodes passed on."""
+    members = stash(_plant(classes, number), "path-members")
     small, pairs = [], []
+    deep = classes.sparkSession.createDataFrame([], "cls long, levels int")
     for depth in range(DEPTH):
         crowds = stash(_crowds(members), "path-nodes")
         # members are shuffled to their nodes once a level; small and large nodes are read from that table
@@ -204,12 +244,37 @@ def grow_trees(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs.append(split.where("kind = 'pair'").select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")))
         small.append(stash(_sure_with_rest(split), "path-blocks"))
         members = split.where("kind = 'child'").select("node", "cls", "label")
+        deep = deep.unionByName(members.select("cls", F.lit(depth + 2).alias("levels")))
     found = small[0]
     for more in small[1:]:
         found = found.unionByName(more)
     stars = classes.sparkSession.createDataFrame([], "a long, b long")
     for more in pairs:
         stars = stars.unionByName(more)
+    return found, stars, deep.groupBy("cls").agg(F.max("levels").alias("levels"))
+
+
+def grow_rounds(classes: DataFrame, documents: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Small nodes and candidate pairs of as many rounds as each class needs for ``TARGET``.
+
+    Later rounds hold only classes that branched deep in the first and read their texts
+    again for fresh tokens; without such classes there are none."""
+    found, stars, deep = grow_trees(classes)
+    need = {n: rounds(n) for n in range(2, DEPTH + 1)}
+    if max(need.values()) == 1:
+        return found, stars
+    deep = stash(deep.where(F.col("levels").isin([n for n, r in need.items() if r > 1])), "path-deep")
+    for number in range(1, max(need.values())):
+        wanted = classes.join(deep.where(F.col("levels").isin([n for n, r in need.items() if r > number])), "cls", "left_semi").select("k", "cls")
+        wanted = stash(wanted, "wanted")
+        if not wanted.take(1):
+            break
+        ids = checked(wanted.select(F.col("k").alias("__k")).distinct())
+        rows = documents.join(ids, F.col(f"`{key}`").cast("long") == F.col("__k"), "left_semi")
+        # other rows of a wanted id may hold other texts: the class decides
+        fresh = signatures(rows, key, text, number).join(checked(wanted.select("cls")), "cls", "left_semi").dropDuplicates(["cls"])
+        more, pairs, _ = grow_trees(stash(fresh, "class-tokens"), number)
+        found, stars = found.unionByName(more), stars.unionByName(pairs)
     return found, stars
 
 
@@ -420,7 +485,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     named = signed.where("k is not null and cls is not null").groupBy("cls").agg(F.min("k").alias("rep"))
     named = stash(named, "classes")
     classes = stash(signed.join(named.select(F.col("cls").alias("c"), F.col("rep").alias("k")), "k").where("cls = c").drop("c").dropDuplicates(["cls"]), "class-tokens")
-    leaves, stars = grow_trees(classes)
+    leaves, stars = grow_rounds(classes, documents, key, text)
     likely = stash(likely_pairs(leaves, classes).unionByName(stars).distinct(), "pairs")
     involved = likely.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     sets = stash(sets_of(documents, classes.join(involved, "cls", "left_semi").select("k", "cls"), key, text), "pair-sets")
@@ -430,9 +495,9 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     more = stash(remaining_links(labelled, classes, sets), "links")
     if more.take(1):
         components = stash(connected_components(edges.unionByName(more)), "components")
-    roots = named.join(components.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("root"))
-    least = roots.groupBy("root").agg(F.min("rep").alias("component_id"))
-    answer = roots.join(least, "root").select("cls", "component_id")
+    ends = named.join(components.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("root"))
+    least = ends.groupBy("root").agg(F.min("rep").alias("component_id"))
+    answer = ends.join(least, "root").select("cls", "component_id")
     out = signed.select("k", "n_shingles", "cls").join(answer, "cls", "left")
     component = F.when(F.col("k").isNotNull(), F.coalesce("component_id", "k"))
     return out.select(F.col("k").alias(key), "n_shingles", component.alias("component_id"), (F.col("k") == component).alias("kept"))

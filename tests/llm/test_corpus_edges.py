@@ -47,6 +47,32 @@ def test_large_nodes_branch(spark, monkeypatch):
     assert all(got[i] == 0 for i in range(60)) and all(got[100 + i] == 100 + i for i in range(30))
 
 
+def test_rounds_reach_the_recall():
+    assert [round(near_dup.recall(n), 3) for n in (3, 8, 12, 19)] == [1.0, 0.997, 0.981, 0.924]
+    need = [near_dup.rounds(n) for n in range(1, near_dup.DEPTH + 1)]
+    assert need == sorted(need) and need[0] == 1 < need[-1]
+    assert all(1 - (1 - near_dup.recall(n))**r >= near_dup.TARGET for n, r in enumerate(need, 1))
+    assert not {*near_dup.roots(0)} & {*near_dup.roots(1)} and not (near_dup.pool(0)[0] == near_dup.pool(1)[0]).any()
+
+
+def test_deep_crowds_get_fresh_tokens(spark, docs, monkeypatch):
+    levels, grown = {1: 20, 5: 8, 7: 6}, []
+
+    def grow(classes, number=0):
+        rows = classes.select("k", "cls", "tokens").collect()
+        grown.append({r.k: np.frombuffer(r.tokens, np.uint32) for r in rows})
+        deep = spark.createDataFrame([(r.cls, levels[r.k]) for r in rows if r.k in levels], "cls long, levels int")
+        return spark.createDataFrame([], near_dup.MEMBER), spark.createDataFrame([], "a long, b long"), deep
+
+    monkeypatch.setattr(near_dup, "grow_trees", grow)
+    signed = near_dup.signatures(docs).where("k is not null and cls is not null").orderBy("k").dropDuplicates(["cls"]).localCheckpoint()
+    near_dup.grow_rounds(signed, docs, "doc_id", "text")
+    # 8 levels need two rounds, 20 levels three, 6 levels one
+    assert [sorted(k for k in g if k in levels) for g in grown] == [[1, 5, 7], [1, 5], [1]]
+    assert {*grown[1]} == {1, 5} and {*grown[2]} == {1}
+    assert len({grown[n][1].tobytes() for n in range(3)}) == 3
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 60), (60, 50), (7, 7), (None, 3)], "a long, b long")
     got = {r.node: r.component for r in connected_components(edges).collect()}
