@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, decontaminate, embed_dedup, language, line_dedup, mixing, near_dup, token_files, warc
+from . import bpe_count, chat, decontaminate, embed_dedup, language, line_dedup, merkle, merkle_sql, mixing, near_dup, token_files, warc
 from .common import read_table, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, manifest)
 
 
+@query("op12_merkle")
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lower).otherwise(F.col("text"))
+    rows = merkle.manifest(documents, "lang", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], {"text": changed})
+    return merkle.verified(rows, "doc_id")
+
+
 LLM_ORACLE_SQL["op3_line_dedup"] = r"""
 WITH parts AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
@@ -137,3 +146,5 @@ SELECT conv_id, count(*) AS n_turns,
                 + length(replace(replace(text, '\', '\\'), '<', '\l')) + length('</turn>') + 1) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+LLM_ORACLE_SQL["op12_merkle"] = merkle_sql.sql()
