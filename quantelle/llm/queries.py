@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, decontaminate, embed_dedup, language, line_dedup, merkle, merkle_sql, mixing, near_dup, token_files, warc
+from . import bpe_count, chat, collocations, decontaminate, embed_dedup, language, line_dedup, merkle, merkle_sql, mixing, near_dup, token_files, warc
 from .common import read_table, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, manifest)
 
 
+@query("op11_collocations")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"), min_count=100, longest=5, top=2000)
+
+
 @query("op12_merkle")
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
@@ -147,4 +152,34 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+LLM_ORACLE_SQL["op11_collocations"] = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+w AS (
+  SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM piece),
+gram AS (
+  SELECT lang, k.k AS k, unnest(list_transform(range(1, len(ws) - k.k + 2), lambda i: ws[i:i + k.k - 1])) AS ph
+  FROM w, (SELECT unnest(range(1, 6)) AS k) k WHERE len(ws) >= k.k),
+freq AS (SELECT lang, k, ph, count(*) AS f FROM gram GROUP BY lang, k, ph),
+total AS (SELECT lang, sum(f) AS n FROM freq WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM freq WHERE k > 1 AND f >= 100),
+inside AS (
+  SELECT lang, f, unnest(list_transform(range(1, k - s.s + 2), lambda i: ph[i:i + s.s - 1])) AS ph
+  FROM cand, (SELECT unnest(range(2, 5)) AS s) s WHERE s.s < k),
+held AS (SELECT lang, ph, max(f) AS f FROM inside GROUP BY lang, ph),
+kept AS (SELECT c.* FROM cand c LEFT JOIN held h ON h.lang = c.lang AND h.ph = c.ph WHERE h.f IS NULL OR 100 * h.f < 100 * c.f),
+cut AS (
+  SELECT c.lang, c.ph, c.f AS a, j.j, l.f AS l, r.f AS r, t.n,
+         (1000 * CAST(c.f AS HUGEINT) * CAST(t.n AS HUGEINT)) // (CAST(l.f AS HUGEINT) * CAST(r.f AS HUGEINT)) AS score
+  FROM kept c, (SELECT unnest(range(1, 5)) AS j) j, freq l, freq r, total t
+  WHERE j.j < c.k AND l.lang = c.lang AND l.ph = c.ph[1:j.j] AND r.lang = c.lang AND r.ph = c.ph[j.j + 1:] AND t.lang = c.lang),
+low AS (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, j) AS o FROM cut),
+ranked AS (
+  SELECT *, array_to_string(ph, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ph, ' ')) AS rank
+  FROM low WHERE o = 1)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
 LLM_ORACLE_SQL["op12_merkle"] = merkle_sql.sql()
