@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, collocations, decontaminate, embed_dedup, language, line_dedup, merkle, merkle_sql, mixing, near_dup, token_files, warc
+from . import bpe_count, chat, collocations, decontaminate, embed_dedup, language, line_dedup, merkle, merkle_sql, mixing, near_dup, suffix_dedup, token_files, warc
 from .common import read_table, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,14 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(rows, "doc_id")
 
 
+@query("op13_suffix_dedup")
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=100)
+    kept = F.octet_length("kept").cast("long")
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - kept).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 LLM_ORACLE_SQL["op3_line_dedup"] = r"""
 WITH parts AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
