@@ -6,6 +6,8 @@ level, until one node is left; the roots of the groups, ordered by group, form a
 the same kind. Digests are lowercase hexadecimal SHA-256 texts, and the digest of several
 is taken over their texts put together.
 
+Between tasks digests travel as 32 bytes; they are texts only where they are hashed and returned.
+
 Every level is one equi-join: each node asks for its siblings by their computed indices
 (slot offsets within its run), and the nodes in slot zero emit the parents. Going back
 down, a node's path (siblings to the left and to the right, level by level) is its own
@@ -29,7 +31,8 @@ from .common import checked, stash
 
 ARITY = 8
 _MASK = (1 << 33) - 1
-_PATH = "array<struct<left: string, right: string>>"
+_PATH = "array<struct<left: binary, right: binary>>"
+_TREE = ("gid", "idx", "h", "n", "left", "right")
 
 
 def digest(*texts: Column) -> Column:
@@ -37,6 +40,11 @@ def digest(*texts: Column) -> Column:
     return F.sha2(F.concat(*texts), 256)
 
 
+def as_text(digests: Column) -> Column:
+    """One or more digests of 32 bytes as they are hashed and returned."""
+    return F.lower(F.hex(digests))
+
+
 def encoded(value: Column) -> Column:
     """``-`` for NULL, else the UTF-8 byte count, a colon and the value as text."""
     text = value.cast("string")
@@ -72,7 +80,7 @@ def with_siblings(nodes: DataFrame) -> DataFrame:
     together in order: ``left`` of the node and ``right`` of it.
 
     Each node is joined to the nodes at its sibling indices; a node alone in its run has
-    no siblings and two empty texts.
+    no siblings and two empty values. Further columns of ``nodes`` stay.
     """
     first = F.col("idx") - F.col("idx") % ARITY
     wanted = F.filter(F.sequence(first, F.least(first + (ARITY - 1), F.col("n") - 1)), lambda i: i != F.col("idx"))
@@ -81,11 +89,12 @@ def with_siblings(nodes: DataFrame) -> DataFrame:
     sides = answers.groupBy("gid", F.col("_of").alias("idx")).agg(*[
         F.max(F.when(F.col("idx") % ARITY == slot, F.struct("idx", "h"))).alias(f"_s{slot}") for slot in range(ARITY)])
     slots = [F.col(f"_s{s}") for s in range(ARITY)]
-    left = F.concat(*[F.coalesce(F.when(s["idx"] < F.col("idx"), s["h"]), F.lit("")) for s in slots])
-    right = F.concat(*[F.coalesce(F.when(s["idx"] > F.col("idx"), s["h"]), F.lit("")) for s in slots])
+    none = F.lit(b"")
+    left = F.concat(*[F.coalesce(F.when(s["idx"] < F.col("idx"), s["h"]), none) for s in slots])
+    right = F.concat(*[F.coalesce(F.when(s["idx"] > F.col("idx"), s["h"]), none) for s in slots])
     found = sides.select("gid", "idx", left.alias("left"), right.alias("right"))
     return nodes.join(found, ["gid", "idx"], "left").withColumns({
-        "left": F.coalesce("left", F.lit("")), "right": F.coalesce("right", F.lit(""))})
+        "left": F.coalesce("left", none), "right": F.coalesce("right", none)})
 
 
 def levels(nodes: DataFrame) -> list[DataFrame]:
@@ -100,7 +109,7 @@ def levels(nodes: DataFrame) -> list[DataFrame]:
         if level.where("n > 1").isEmpty():
             return out
         parents = level.where((F.col("n") > 1) & (F.col("idx") % ARITY == 0))
-        nodes = stash(parents.select("gid", F.expr(f"idx div {ARITY}").alias("idx"), digest(F.col("h"), F.col("right")).alias("h"),
+        nodes = stash(parents.select("gid", F.expr(f"idx div {ARITY}").alias("idx"), F.unhex(digest(as_text(F.col("h")), as_text(F.col("right")))).alias("h"),
                                      F.expr(f"(n + {ARITY - 1}) div {ARITY}").alias("n")), "parents")
 
 
@@ -115,13 +124,15 @@ def roots(tree: Sequence[DataFrame]) -> DataFrame:
 
 def paths(tree: Sequence[DataFrame], tops: DataFrame) -> DataFrame:
     """``(gid, idx, h, path, ...)`` of the lowest level: siblings of a node and of all its
-    ancestors, then the path and the further columns that ``tops`` has for its ``gid``."""
-    extra = [c for c in tops.columns if c not in ("gid", "path")]
+    ancestors, then the path and the further columns that ``tops`` has for its ``gid``.
+    Further columns of the lowest level stay."""
+    handed = [c for c in tops.columns if c not in ("gid", "path")]
     above = None
     for level in reversed(tree):
+        extra = [c for c in level.columns if c not in _TREE] + handed
         done = level.where("n = 1").join(tops, "gid").select("gid", "idx", "h", "path", *extra)
         if above is not None:
-            up = above.select("gid", F.col("idx").alias("_up"), F.col("path").alias("_path"), *extra)
+            up = above.select("gid", F.col("idx").alias("_up"), F.col("path").alias("_path"), *handed)
             under = level.where("n > 1").withColumn("_up", F.expr(f"idx div {ARITY}")).join(up, ["gid", "_up"])
             own = F.array(F.struct("left", "right"))
             done = done.unionByName(under.select("gid", "idx", "h", F.concat(own, F.col("_path")).alias("path"), *extra))
@@ -130,12 +141,13 @@ def paths(tree: Sequence[DataFrame], tops: DataFrame) -> DataFrame:
 
 
 def fold(leaf: Column, path: Column) -> Column:
-    """The root that a leaf leads to with the siblings of ``path``."""
-    return F.aggregate(path, leaf, lambda acc, step: digest(step["left"], acc, step["right"]))
+    """The root that a leaf (both as text) leads to with the siblings of ``path``."""
+    return F.aggregate(path, leaf, lambda acc, step: digest(as_text(step["left"]), acc, as_text(step["right"])))
 
 
 def manifest(rows: DataFrame, group: str, key: str, fields: Sequence[str], tampered: dict[str, Column] | None = None) -> DataFrame:
-    """``(key, leaf, subroot, root, path, tampered_leaf)`` for every row of ``rows``.
+    """``(key, leaf, subroot, root, path, tampered_leaf)`` for every row of ``rows``; digests
+    in paths are of 32 bytes each, the others texts.
 
     ``fields`` make up the leaf. ``path`` leads from the leaf to the root (see :func:`fold`).
     ``tampered_leaf`` is the leaf with some fields replaced by other expressions, which is
@@ -143,31 +155,30 @@ def manifest(rows: DataFrame, group: str, key: str, fields: Sequence[str], tampe
     """
     changed = tampered or {}
     leaves = stash(rows.select(
-        F.col(f"`{group}`").alias("grp"), F.col(f"`{key}`").alias("key"), leaf(*[F.col(f"`{f}`") for f in fields]).alias("h"),
-        leaf(*[changed.get(f, F.col(f"`{f}`")) for f in fields]).alias("tampered")), "leaves")
+        F.col(f"`{group}`").alias("grp"), F.col(f"`{key}`").alias("key"), F.unhex(leaf(*[F.col(f"`{f}`") for f in fields])).alias("h"),
+        F.unhex(leaf(*[changed.get(f, F.col(f"`{f}`")) for f in fields])).alias("tampered")), "leaves")
     placed = stash(ranked(leaves, ["key", "h"]), "placed")
     # Groups are numbered in their order: the first tree's key, and the order of the second one's leaves.
     named = stash(ranked(placed.where("idx = 0").select(F.lit(0).alias("grp"), F.col("grp").alias("name")), ["name"]), "groups")
     names = checked(named.select(F.col("idx").alias("gid"), "name"))
     numbered = placed.join(names, F.col("grp").eqNullSafe(F.col("name")))
     nodes = stash(numbered.select("gid", "idx", "h", "n", "key", "tampered"), "nodes")
-    tree = levels(nodes.select("gid", "idx", "h", "n"))
+    tree = levels(nodes)
     subroots = stash(roots(tree).select(F.col("gid").alias("idx"), "h"), "subroots")
     count = subroots.count()
     top = levels(subroots.select(F.lit(0).cast("long").alias("gid"), "idx", "h", F.lit(count).cast("long").alias("n")))
     last = top[-1].where("n = 1").select("h").first()
-    whole = F.lit(last[0] if last else None).cast("string")
+    whole = F.lit(last[0].hex() if last else None).cast("string")
     start = top[0].sparkSession.range(1).select(F.lit(0).cast("long").alias("gid"), F.array().cast(_PATH).alias("path"))
     tops = paths(top, start).select(F.col("idx").alias("gid"), "path", F.col("h").alias("subroot"))
     found = paths(tree, stash(tops, "tops"))
-    both = found.join(nodes.select("gid", "idx", "key", "tampered"), ["gid", "idx"])
-    return both.select(F.col("key").alias(key), F.col("h").alias("leaf"), "subroot", whole.alias("root"), "path",
-                       F.col("tampered").alias("tampered_leaf"))
+    return found.select(F.col("key").alias(key), as_text(F.col("h")).alias("leaf"), as_text(F.col("subroot")).alias("subroot"), whole.alias("root"),
+                        "path", as_text(F.col("tampered")).alias("tampered_leaf"))
 
 
 def proof_digest(path: Column) -> Column:
     """Digest of all siblings of a path, level by level, left to right."""
-    return F.sha2(F.array_join(F.transform(path, lambda step: F.concat(step["left"], step["right"])), ""), 256)
+    return F.sha2(F.array_join(F.transform(path, lambda step: as_text(F.concat(step["left"], step["right"]))), ""), 256)
 
 
 def verified(rows: DataFrame, key: str) -> DataFrame:
