@@ -11,7 +11,8 @@ ones before they are extended again. Every relation is written once.
 
 A block holds at most ``BLOCK_CHARS`` characters (or one longer piece) and sends each of
 its distinct pairs once, with a count: the most frequent word of a corpus gives one row a
-block. Only frequent phrases, with numbers given to them, go back to the blocks.
+block. Relations lie in tables bucketed by block and are never shuffled; only frequent
+phrases, with numbers given to them, go back to the blocks.
 
 Counts are 64-bit, scores are taken in 38-digit decimals, nothing is rounded. A NULL text
 is empty, a NULL language ``und``. Empty texts and tables give no rows. Documents are not
@@ -30,18 +31,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checked, in_arrow, ship, slices, stash
+from .common import bucketed, checked, in_arrow, ship, slices, stash
 
 BLOCK_CHARS = 4_000_000
+#: Text bytes to a bucket of the relations.
+BUCKET_BYTES, MAX_BUCKETS = 32_000_000, 100_000
 #: Parts that a language's phrases are ranked in before its best are ranked together.
 RANK_PARTS = 256
 _STOP = b"."  # ends a piece; cannot be inside a word
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + _STOP * 9)
 _PIECE_END = re.compile(r"[.,;:!?\n-\r]")
 _BLOCK = "lang string, words array<string>, counts array<long>, total long, stream binary"
-#: pos, grp: positions and local groups of the occurrences; ids: numbers of the local groups; w*: the same of single words.
+#: Occurrences of phrases (pos, grp) and of single words (wpos, wgrp), sorted; ``ids`` and ``wids`` are
+#: the numbers of their groups. Positions are stored as gaps. ``R_1`` leaves pos and grp to wpos and wgrp.
 _RELATION = "block long, pos binary, grp binary, ids binary, wpos binary, wgrp binary, wids binary"
-_PAIRS = "block long, g int, w int, gid long, wid long, c long"
+_PAIRS = "block long, pair long, c long"
+_MASK = (1 << 33) - 1
 
 
 def _cut(text: str, limit: int) -> Iterator[str]:
@@ -82,95 +87,95 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
                     ["lang", "words", "counts", "total", "stream"])
 
 
-def _ints(value: bytes) -> np.ndarray:
-    return np.frombuffer(value, np.int32)
-
-
-def _longs(value: bytes) -> np.ndarray:
-    return np.frombuffer(value, np.int64)
-
-
 def _relation(block: int, *arrays: np.ndarray) -> pa.Table:
     names = [c.split()[0] for c in _RELATION.split(", ")]
-    return pa.table([pa.array([block], pa.int64()), *[pa.array([a.tobytes()], pa.binary()) for a in arrays]], names=names)
+    stored = [np.diff(a, prepend=0).astype(np.int32) if n in ("pos", "wpos") else a for n, a in zip(names[1:], arrays)]
+    return pa.table([pa.array([block], pa.int64()), *[pa.array([a.tobytes()], pa.binary()) for a in stored]], names=names)
+
+
+def _none(dtype: type = np.int32) -> np.ndarray:
+    return np.zeros(0, dtype)
 
 
 def _no_relation() -> pa.Table:
-    return _relation(0, *[np.zeros(0, np.int32)] * 6).slice(0, 0)
+    return _relation(0, *[_none()] * 6).slice(0, 0)
 
 
 def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
+class _Occurrences:
+    """A row of a relation: arrays, and the merge-join with the words after each phrase."""
+
+    def __init__(self, row: dict, k: int, width: int):
+        self.block = row["block"]
+        self.wpos = np.cumsum(np.frombuffer(row["wpos"], np.int32), dtype=np.int32)
+        self.wgrp, self.wids = np.frombuffer(row["wgrp"], np.int32), np.frombuffer(row["wids"], np.int64)
+        words = k == 2
+        self.pos = self.wpos if words else np.cumsum(np.frombuffer(row["pos"], np.int32), dtype=np.int32)
+        grp, ids = (self.wgrp, self.wids) if words else (np.frombuffer(row["grp"], np.int32), np.frombuffer(row["ids"], np.int64))
+        following = self.pos + (k - 1)
+        at = np.minimum(np.searchsorted(self.wpos, following), max(len(self.wpos) - 1, 0))
+        self.hit = np.flatnonzero(self.wpos[at] == following) if len(self.wpos) else _none(np.int64)
+        at = at[self.hit]
+        #: One number for the phrase of an occurrence and the word after it.
+        self.pair = ids[grp[self.hit]] * width + self.wids[self.wgrp[at]]
+
+
 def _words_of(left: pa.Table, right: pa.Table) -> pa.Table:
     """``R_1`` of a block: the occurrences of its frequent words."""
     if not left.num_rows or not right.num_rows:
         return _no_relation()
-    block, stream = left.column("block")[0].as_py(), _ints(left.column("stream")[0].as_py())
+    stream = np.frombuffer(left.column("stream")[0].as_py(), np.int32)
     local, ids = _column(right, "g"), _column(right, "id")
     to = np.full(max(int(stream.max()), int(local.max())) + 1, -1, np.int32)
     to[local] = np.arange(len(local), dtype=np.int32)
     grp = to[stream]
     pos = np.flatnonzero(grp >= 0).astype(np.int32)
-    return _relation(block, *[pos, grp[pos], ids.astype(np.int64)] * 2)
-
-
-def _extended(row: dict, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge-join of ``R_(k-1)`` with ``R_1`` at the position after each occurrence: the
-    occurrences that have a next word, and the row of that word."""
-    pos, wpos = _ints(row["pos"]), _ints(row["wpos"])
-    following = pos + (k - 1)
-    at = np.minimum(np.searchsorted(wpos, following), max(len(wpos) - 1, 0))
-    hit = np.flatnonzero(wpos[at] == following) if len(wpos) else np.zeros(0, np.int64)
-    return hit, at[hit]
-
+    return _relation(left.column("block")[0].as_py(), _none(), _none(), _none(np.int64), pos, grp[pos], ids.astype(np.int64))
 
-def _keys(row: dict, hit: np.ndarray, at: np.ndarray) -> np.ndarray:
-    width = len(row["wids"]) // 8
-    return _ints(row["grp"])[hit].astype(np.int64) * width + _ints(row["wgrp"])[at]
 
-
-def _pairs(k: int):
+def _pairs(k: int, width: int):
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
-            key, c = np.unique(_keys(row, *_extended(row, k)), return_counts=True)
-            g, w = np.divmod(key, max(len(row["wids"]) // 8, 1))
-            for a in range(0, len(key), 100_000):
-                part = slice(a, a + 100_000)
-                gg, ww = g[part].astype(np.int32), w[part].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(gg), row["block"], np.int64)), pa.array(gg), pa.array(ww), pa.array(_longs(row["ids"])[gg]),
-                     pa.array(_longs(row["wids"])[ww]), pa.array(c[part].astype(np.int64))], [x.split()[0] for x in _PAIRS.split(", ")])
+            pair, c = np.unique(_Occurrences(row, k, width).pair, return_counts=True)
+            for a in range(0, len(pair), 100_000):
+                part = pair[a:a + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), row["block"], np.int64)), pa.array(part), pa.array(c[a:a + 100_000].astype(np.int64))],
+                                                 [x.split()[0] for x in _PAIRS.split(", ")])
     return each
 
 
-def _semi_joined(k: int, longest: int):
+def _semi_joined(k: int, width: int, longest: int):
     def each(left: pa.Table, right: pa.Table) -> pa.Table:
         """``R_k`` of a block, and of ``R_1`` what later joins can still meet."""
         if not left.num_rows or not right.num_rows:
             return _no_relation()
-        row = left.to_pylist()[0]
-        width = len(row["wids"]) // 8
-        wanted = _column(right, "g").astype(np.int64) * width + _column(right, "w")
+        found = _Occurrences(left.to_pylist()[0], k, width)
+        wanted, ids = _column(right, "pair"), _column(right, "id").astype(np.int64)
         order = np.argsort(wanted)
-        wanted, ids = wanted[order], _column(right, "id").astype(np.int64)[order]
-        hit, at = _extended(row, k)
-        key = _keys(row, hit, at)
-        group = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-        kept = wanted[group] == key
-        pos, wpos = _ints(row["pos"])[hit[kept]], _ints(row["wpos"])
-        near = np.zeros(int(wpos[-1]) + longest + 1, bool)
+        wanted, ids = wanted[order], ids[order]
+        group = np.minimum(np.searchsorted(wanted, found.pair), len(wanted) - 1)
+        kept = wanted[group] == found.pair
+        pos = found.pos[found.hit[kept]]
+        near = np.zeros(int(found.wpos[-1]) + longest + 1, bool)
         for step in range(k, longest):
             near[pos + step] = True
-        still = near[wpos]
-        return _relation(row["block"], pos, group[kept].astype(np.int32), ids, wpos[still], _ints(row["wgrp"])[still], _longs(row["wids"]))
+        still = near[found.wpos]
+        return _relation(found.block, pos, group[kept].astype(np.int32), ids, found.wpos[still], found.wgrp[still], found.wids)
     return each
 
 
 def _numbered(frequent: DataFrame, label: str) -> DataFrame:
-    """``frequent`` with a number for each row, written once so that numbers stay."""
-    return stash(frequent.withColumn("id", F.monotonically_increasing_id()), label)
+    """``frequent`` with ``id``, consecutive numbers from 0 on. Rows are written once with
+    their places; a number is the place plus the rows of earlier parts."""
+    placed = stash(frequent.withColumn("_at", F.monotonically_increasing_id()), label)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    parts = placed.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    joined = placed.withColumn("_part", F.shiftright("_at", 33)).join(checked(parts), "_part")
+    return joined.withColumn("id", F.col("_before") + F.col("_at").bitwiseAND(F.lit(_MASK))).drop("_part", "_before", "_at")
 
 
 def frequent_phrases(documents: DataFrame, min_count: int = 100, longest: int = 5, text: str = "text",
@@ -179,27 +184,34 @@ def frequent_phrases(documents: DataFrame, min_count: int = 100, longest: int =
     ``(lang, k, phrase, f)``, and the number of words of every language, ``(lang, n)``."""
     ship(documents.sparkSession)
     rows = documents.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
-    blocks = stash(in_arrow(rows, _blocks, _BLOCK).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    size = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(MAX_BUCKETS, size // BUCKET_BYTES + 1)
+    blocks = bucketed(in_arrow(rows, _blocks, _BLOCK).withColumn("block", F.monotonically_increasing_id()), "block", buckets, "phrase_blocks")
     totals = stash(blocks.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
     each = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("g", "_e")).select(
-        "block", "lang", (F.col("g") + 1).alias("g"), F.col("_e.words").alias("phrase"), F.col("_e.counts").alias("c"))
+        F.col("block").alias("of"), "lang", (F.col("g") + 1).alias("g"), F.col("_e.words").alias("phrase"), F.col("_e.counts").alias("c"))
     words = _numbered(each.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= min_count), "words")
-    found = each.select("block", "lang", "g", "phrase").join(words, ["lang", "phrase"]).select(F.col("block").alias("of"), "g", "id")
-    relation = stash(blocks.select("block", "stream").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(_words_of, _RELATION), "r1")
+    width = max(words.count(), 1)
     levels, last = [words.select("lang", F.lit(1).alias("k"), "phrase", "f")], words
+
+    def semi_join(relation: DataFrame, found: DataFrame, each, k: int) -> DataFrame:
+        both = relation.groupBy("block").cogroup(found.groupBy("of"))
+        return bucketed(both.applyInArrow(each, _RELATION), "block", buckets, f"phrases_r{k}")
+
+    found = each.select("of", "lang", "g", "phrase").join(checked(words.select("lang", "phrase", "id")), ["lang", "phrase"]).select("of", "g", "id")
+    relation = semi_join(blocks.select("block", "stream"), found, _words_of, 1)
     for k in range(2, longest + 1):
-        pairs = stash(in_arrow(relation, _pairs(k), _PAIRS), f"pairs{k}")
-        often = pairs.groupBy("gid", "wid").agg(F.sum("c").alias("f")).where(F.col("f") >= min_count)
-        heads = last.select(F.col("id").alias("gid"), "lang", F.col("phrase").alias("_head"))
-        tails = words.select(F.col("id").alias("wid"), F.col("phrase").alias("_tail"))
-        named = often.join(heads, "gid").join(tails, "wid").select("gid", "wid", "lang", F.concat_ws(" ", "_head", "_tail").alias("phrase"), "f")
+        pairs = in_arrow(relation, _pairs(k, width), _PAIRS)
+        often = pairs.groupBy("pair").agg(F.sum("c").alias("f")).where(F.col("f") >= min_count)
+        split = often.withColumns({"_gid": F.expr(f"pair div {width}L"), "_wid": F.col("pair") % width})
+        heads = last.select(F.col("id").alias("_gid"), "lang", F.col("phrase").alias("_head"))
+        tails = words.select(F.col("id").alias("_wid"), F.col("phrase").alias("_tail"))
+        named = split.join(heads, "_gid").join(tails, "_wid").select("pair", "lang", F.concat_ws(" ", "_head", "_tail").alias("phrase"), "f")
         last = _numbered(named, f"phrases{k}")
         levels.append(last.select("lang", F.lit(k).alias("k"), "phrase", "f"))
         if k < longest:
-            found = pairs.join(last.select("gid", "wid", "id"), ["gid", "wid"]).select(
-                F.col("block").alias("of"), "g", "w", "id")
-            joined = relation.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(_semi_joined(k, longest), _RELATION)
-            relation = stash(joined, f"r{k}")
+            found = pairs.select(F.col("block").alias("of"), "pair").join(checked(last.select("pair", "id")), "pair").select("of", "pair", "id")
+            relation = semi_join(relation, found, _semi_joined(k, width, longest), k)
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)

@@ -58,6 +58,14 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, buckets: int, label: str) -> DataFrame:
+    """As :func:`stash`, as a table bucketed by ``key``: joins and groups by it read the rows
+    where they lie, and only the other side is shuffled."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", scratch(df.sparkSession, label)).option("compression", "zstd").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a Hadoop-style location (``/x``, ``file:/x``, ``hdfs://…``)."""
     if "://" not in uri:

@@ -33,7 +33,6 @@ An empty table gives an empty result, and other columns play no part.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, scratch, ship, slices, stash
+from .common import bucketed, in_arrow, ship, slices, stash
 
 BLOCK_CHARS = 4_000_000
 GRAM = 16
@@ -76,13 +75,9 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def text_blocks(documents: DataFrame, key: str, text: str, total: int) -> DataFrame:
     """Documents in blocks, written as a table bucketed by ``block`` to the shared folder."""
-    spark = documents.sparkSession
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
-    name = f"text_blocks_{uuid.uuid4().hex}"
     blocks = in_arrow(rows, _blocks, _BLOCK).withColumn("block", F.monotonically_increasing_id())
-    buckets = min(MAX_BUCKETS, total // BUCKET_BYTES + 1)
-    blocks.write.bucketBy(buckets, "block").option("path", scratch(spark, "blocks")).option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
+    return bucketed(blocks, "block", min(MAX_BUCKETS, total // BUCKET_BYTES + 1), "text_blocks")
 
 
 def _bounds(row: dict) -> np.ndarray:
