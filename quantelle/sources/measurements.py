@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .records import headed_records
+
 #: Column names of peptide and protein exports and the names the operators use.
 PEPTIDE_EXPORT = {
     "#": "feature",
@@ -70,38 +71,35 @@ def _positions(names: Sequence[str], samples: Sequence[int]) -> list[str]:
 
 def read_measurements(spark: SparkSession, path: str | Sequence[str], skip: int = 2,
                       samples: Sequence[int] = (), types: Mapping[str, str] | None = None,
-                      columns: Mapping[str, str] | None = None, is_banner: Column | None = None) -> DataFrame:
-    """CSV export with ``skip`` banner lines above the header.
-
-    ``samples`` are 1-based positions of the abundance columns (their names may
-    repeat, so they are made unique). Only the first ``skip + 1`` lines of one
-    file are read by the driver. In the body, a row is dropped when it repeats
-    the header or one of these banner lines, or when all its cells are empty;
-    exports whose banner differs from file to file can pass ``is_banner``, an
-    expression over the positional columns ``c1, c2, ...``.
+                      columns: Mapping[str, str] | None = None, is_banner: Column | None = None,
+                      ordinal: str | None = "ordinal", quoted_breaks: bool = True) -> DataFrame:
+    """CSV exports with ``skip`` banner lines above the header of each file.
+
+    Every file is read by its own header, so files may differ in the order of their columns;
+    the columns are those of the first file by path, then those that only others have.
+    ``samples`` are 1-based positions of the abundance columns among them (their names may
+    repeat, so they are made unique). Rows whose cells are all empty are dropped; exports
+    with further banner lines can pass ``is_banner``, an expression over the positional
+    columns ``c1, c2, ...``.
+
+    ``ordinal`` names a column with the position of each row over all files in the order of
+    their paths: the input order by which reductions settle ties. Quoted cells may hold
+    line breaks; ``quoted_breaks=False`` is for files whose quotes do not pair.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    head = [r[0] for r in spark.read.text(paths[0]).limit(skip + 1).collect()]
-    if len(head) <= skip:
-        raise ValueError("the file ends before its header line")
-    parsed = list(csv.reader(head))
-    header = parsed[skip]
-    positional = [f"c{i}" for i in range(1, len(header) + 1)]
-    body = spark.read.schema(", ".join(f"{c} string" for c in positional)).csv(
-        paths, header=False, quote='"', escape='"', mode="PERMISSIVE")
-    drop = F.concat_ws("", *[F.trim(c) for c in positional]) == ""
-    for line in parsed:
-        cells = (line + [""] * len(header))[: len(header)]
-        same = None
-        for c, cell in zip(positional, cells):
-            here = F.coalesce(F.trim(c), F.lit("")) == cell.strip()
-            same = here if same is None else same & here
-        drop = drop | same
+    records, names = headed_records(spark, path, skip, quoted_breaks=quoted_breaks, name=unique_names)
+    drop = F.forall("_cells", lambda c: F.coalesce(F.trim(c), F.lit("")) == "")
     if is_banner is not None:
-        drop = drop | F.coalesce(is_banner, F.lit(False))
-    names = unique_names(header)
-    named = body.where(~drop).toDF(*names)
-    return _finish(named, names, samples, types, columns)
+        positional = records.withColumns({f"c{i + 1}": F.get("_cells", F.lit(i)) for i in range(len(names))})
+        records = positional.where(~F.coalesce(is_banner, F.lit(False))).select(*records.columns)
+    return _by_name(records.where(~drop), names, samples, types, columns, ordinal)
+
+
+def _by_name(records: DataFrame, names: Sequence[str], samples: Sequence[int], types: Mapping[str, str] | None,
+             columns: Mapping[str, str] | None, ordinal: str | None) -> DataFrame:
+    taken = [F.get("_cells", F.lit(i)).alias(n) for i, n in enumerate(names)]
+    named = records.select(*taken, F.col("ordinal").alias("_ordinal"))
+    done = _finish(named, names, samples, types, columns)
+    return done.withColumnRenamed("_ordinal", ordinal) if ordinal else done.drop("_ordinal")
 
 
 def _finish(df: DataFrame, names: Sequence[str], samples: Sequence[int], types: Mapping[str, str] | None,
@@ -126,14 +124,15 @@ def read_peaks_proteins(spark: SparkSession, path: str | Sequence[str], samples:
 
 def read_peaks_peptides(spark: SparkSession, path: str | Sequence[str], samples: Sequence[int] = (),
                         last: int | None = None, types: Mapping[str, str] | None = None,
-                        columns: Mapping[str, str] | None = PEAKS_PEPTIDES) -> DataFrame:
-    """Protein-peptide table: plain CSV; the protein accession is renamed and the
-    columns after position ``last`` are left out."""
+                        columns: Mapping[str, str] | None = PEAKS_PEPTIDES, ordinal: str | None = "ordinal",
+                        quoted_breaks: bool = True) -> DataFrame:
+    """Protein-peptide tables: plain CSV with a header in each file; the protein accession is
+    renamed, the columns after position ``last`` are left out, and ``ordinal`` is added as by
+    :func:`read_measurements`."""
     defaults = {"-10lgP": "double", "scan": "long"}
-    df = _read_headed(spark, path)
-    kept = df.select(*[F.col(f"`{c}`") for c in df.columns[:last]])
-    return _finish(kept, kept.columns, [s for s in samples if not last or s <= last],
-                   {**defaults, **(types or {})}, columns)
+    records, names = headed_records(spark, path, quoted_breaks=quoted_breaks, name=unique_names)
+    return _by_name(records, names[:last], [s for s in samples if not last or s <= last], {**defaults, **(types or {})},
+                    columns, ordinal)
 
 
 def read_annotation(spark: SparkSession, path: str | Sequence[str], entry: str = "Entry",

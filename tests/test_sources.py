@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from quantelle import sources
+from quantelle.operators import keys
 from quantelle.plans import inputs, registry
 from quantelle.session import ensure_checkpoint_dir
 from quantelle.sources.measurements import PEPTIDE_EXPORT, unique_names
@@ -24,24 +25,52 @@ def test_banner_csv(spark, tmp_path):
         '1,20.5,ACD,[2] Phospho (ST),sp|P1|X,"kinase, ""big""",100.5,0\n'
         '2,---,EFG,,sp|P2|X,cRAP,1e3,x\n'))
     df = sources.read_measurements(spark, path, samples=[7, 8], types={"#": "long"}, columns=PEPTIDE_EXPORT)
-    assert df.columns == ["feature", "score", "sequence", "modifications", "accession", "description", "run", "run_2"]
+    assert df.columns == ["feature", "score", "sequence", "modifications", "accession", "description", "run", "run_2", "ordinal"]
     assert dict(df.dtypes)["feature"] == "bigint" and dict(df.dtypes)["run_2"] == "double"
     assert rows(df, "feature") == [
-        (1, "20.5", "ACD", "[2] Phospho (ST)", "sp|P1|X", 'kinase, "big"', 100.5, 0.0),
-        (2, "---", "EFG", None, "sp|P2|X", "cRAP", 1000.0, None)]
+        (1, "20.5", "ACD", "[2] Phospho (ST)", "sp|P1|X", 'kinase, "big"', 100.5, 0.0, 3),
+        (2, "---", "EFG", None, "sp|P2|X", "cRAP", 1000.0, None, 4)]
 
 
 def test_banner_csv_of_several_files(spark, tmp_path):
     for i in range(3):
         write(tmp_path / f"f{i}.csv", f",,note\n,,A\nid,d,s\np{i},x,{i}\n")
     df = sources.read_measurements(spark, str(tmp_path), samples=[3])
-    assert rows(df, "id") == [("p0", "x", 0.0), ("p1", "x", 1.0), ("p2", "x", 2.0)]
+    assert rows(df, "id") == [("p0", "x", 0.0, 3), ("p1", "x", 1.0, 7), ("p2", "x", 2.0, 11)]
     other = write(tmp_path / "g.csv", "note 7,,\n,,A\nid,d,s\nq,x,9\n")
     both = sources.read_measurements(spark, [str(tmp_path / "f0.csv"), other], samples=[3],
                                      is_banner=F.col("c1").startswith("note"))
     assert [r.id for r in both.orderBy("id").collect()] == ["p0", "q"]
 
 
+def test_files_with_own_headers_and_quoted_line_breaks(spark, tmp_path, monkeypatch):
+    """Records keep their order and their text wherever files are split."""
+    first = "note,,\n,,A\nid,d,s\n" + "".join(f'p{i},"text ""{i}""\nmore, of it\n\nend",{i}\n' if i % 3 else f"p{i},plain,{i}\n" for i in range(40))
+    second = "other note,,\n,,A\ns,id,e,d\n" + "".join(f'{i},q{i},x,"a\n{i}"\n' for i in range(20)) + ",,,\n"
+    write(tmp_path / "a.csv", first), write(tmp_path / "b.csv", second), write(tmp_path / "c.csv", "")
+    want = [(f"p{i}", f'text "{i}"\nmore, of it\n\nend' if i % 3 else "plain", float(i), None) for i in range(40)]
+    want += [(f"q{i}", f"a\n{i}", float(i), "x") for i in range(20)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (before, "100", "37"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            df = sources.read_measurements(spark, str(tmp_path), samples=[3])
+            assert df.columns == ["id", "d", "s", "e", "ordinal"]
+            assert [tuple(r)[:4] for r in df.orderBy("ordinal").collect()] == want
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    monkeypatch.setattr(keys, "MAX_BROADCAST_ROWS", 0)  # joined by shuffles
+    assert [tuple(r)[:4] for r in sources.read_measurements(spark, str(tmp_path), samples=[3]).orderBy("ordinal").collect()] == want
+
+
+def test_unpaired_quotes(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'id,d\np,5" pipe\nq,x\n')
+    df = sources.read_peaks_peptides(spark, path, columns=None, quoted_breaks=False)
+    assert [(r.id, r.ordinal) for r in df.orderBy("ordinal").collect()] == [("p", 1), ("q", 2)]
+
+
 def test_too_short_file(spark, tmp_path):
     with pytest.raises(ValueError):
         sources.read_measurements(spark, write(tmp_path / "x.csv", "a\nb\n"))
@@ -57,7 +86,7 @@ def test_headed_csv_and_tsv(spark, tmp_path):
     assert rows(df) == [("P1", 55.5, 3, 2, None, "kinase", 7.0)]
     pep = write(tmp_path / "pep.csv", "Protein Accession,scan,Peptide,-10lgP,PTM,AScore,s,extra\nP1,5,K.AC.R,9.5,,C2:x:1.0,3,zz\n")
     df = sources.read_peaks_peptides(spark, pep, samples=[7], last=7)
-    assert rows(df) == [("P1", 5, "K.AC.R", 9.5, None, "C2:x:1.0", 3.0)]
+    assert rows(df) == [("P1", 5, "K.AC.R", 9.5, None, "C2:x:1.0", 3.0, 1)]
     tsv = write(tmp_path / "anno.tsv", "Entry\tGene ontology (process)\nE1\talpha [GO:0000001]; beta [GO:0000002]\n")
     assert rows(sources.read_annotation(spark, tsv)) == [("E1", "alpha [GO:0000001]; beta [GO:0000002]")]
 
