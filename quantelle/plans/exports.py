@@ -6,12 +6,17 @@ files are as large as the tables and the readers work on many part files.
 
 from __future__ import annotations
 
+import sys
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from ..sources.measurements import PEPTIDE_EXPORT, PROTEIN_EXPORT
 from . import inputs
 
 HEADER = ["#", "Score", "Sequence", "Modifications", "Accession", "Description", "Abundance", "Abundance"]
@@ -32,27 +37,77 @@ def _quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
 
 
+def _under_headers(lines: DataFrame, head: list[str], path: str) -> str:
+    """Text files that begin with the lines of ``head`` each."""
+    def each(batches):
+        yield pa.RecordBatch.from_pydict({"value": head})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["value"])
+
+    lines.mapInArrow(each, "value string").write.text(path)
+    return path
+
+
+def _in_order(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows in ascending order over the files that will be written."""
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def _row(cells: list[Column]) -> Column:
+    return F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in cells])
+
+
 def measurements(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Two banner lines and a header in one file, the body in others. Some first cells,
-    scores and abundances are missing, descriptions hold commas and quotes, sample names
-    repeat, and lines without any value lie between the rows."""
+    """Files with two banner lines and a header each, in two folders whose columns differ in
+    order. Some first cells, scores and abundances are missing, descriptions hold commas and
+    quotes, in the second folder also line breaks, sample names repeat, and lines without any
+    value lie between the rows."""
     width = len(HEADER)
-    banner = "\n".join(["," * (width - 2) + "Raw,Raw", "," * (width - 2) + "A,N", ",".join(HEADER)])
-    head = _lines(spark.range(1).select(F.lit(banner).alias("value")), "banner.csv")
+    banner = ["," * (width - 2) + "Raw,Raw", "," * (width - 2) + "A,N"]
     order, part, number = F.col("l_orderkey"), F.col("l_partkey").cast("string"), F.col("l_linenumber")
+    odd = order % 2 == 1
     cells = [
         F.when(order % 50 != 0, order.cast("string")),
         F.when(number == 3, F.lit("---")).otherwise(F.col("l_quantity").cast("string")),
         F.concat("l_returnflag", "l_linestatus"),
         F.when(number % 2 == 0, F.lit("[2] Phospho (S)")),
         F.concat(F.lit("P"), part),
-        _quoted(F.concat(F.lit('so-called "P'), part, F.lit('", line '), number.cast("string"))),
+        _quoted(F.concat(F.lit('so-called "P'), part, F.when(odd, F.lit('",\nline ')).otherwise(F.lit('", line ')), number.cast("string"))),
         F.when(number != 2, F.col("l_extendedprice").cast("string")),
         F.col("l_tax").cast("string"),
     ]
-    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in cells])
-    lines = F.when(number == 1, F.array(line, F.lit("," * (width - 1)))).otherwise(F.array(line))
-    return [head, _lines(inputs.table(spark, sf_dir, "lineitem").select(F.explode(lines).alias("value")), "body.csv")]
+    items = _in_order(inputs.table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    base, paths = folder(spark, "measurements"), []
+    for name, chosen, places in (("1", ~odd, range(width)), ("2", odd, [5, 0, 4, 6, 7, 3, 2, 1])):
+        line = _row([cells[i] for i in places])
+        lines = F.when(number == 1, F.array(line, F.lit("," * (width - 1)))).otherwise(F.array(line))
+        head = [*banner, ",".join(HEADER[i] for i in places)]
+        paths.append(_under_headers(items.where(chosen).select(F.explode(lines).alias("value")), head, f"{base}/{name}"))
+    return paths
+
+
+def peptides(spark: SparkSession, sf_dir: str, samples: Sequence[str], table: DataFrame | None = None) -> str:
+    """The peptide view as files with two banner lines and a header, in the order of ``ordinal``."""
+    rows = _in_order(inputs.peptides(spark, sf_dir) if table is None else table, "ordinal", "feature")
+    names = {v: k for k, v in PEPTIDE_EXPORT.items()}
+    head = ["exported", "", ",".join([*names.values(), *samples])]
+    cells = [_quoted(F.col(c).cast("string")) if c in ("modifications", "description") else F.col(c).cast("string") for c in names]
+    line = _row([*cells, *[F.col(f"`{s}`").cast("string") for s in samples]])
+    return _under_headers(rows.select(line.alias("value")), head, folder(spark, "peptides"))
+
+
+def proteins(spark: SparkSession, sf_dir: str) -> str:
+    """The protein view as files with two banner lines and a header."""
+    names = {v: k for k, v in PROTEIN_EXPORT.items()}
+    line = _row([F.col(c).cast("string") for c in names])
+    return _under_headers(inputs.proteins(spark, sf_dir).select(line.alias("value")), ["", "exported", ",".join(names.values())],
+                          folder(spark, "proteins"))
+
+
+def database(spark: SparkSession, sf_dir: str) -> str:
+    """The sequences of the peptides' proteins as FASTA records."""
+    return _lines(inputs.sequences(spark, sf_dir).select(
+        F.concat_ws("\n", F.concat(F.lit(">"), "accession", F.lit(" protein > of the database")), "sequence").alias("value")), "database.fasta")
 
 
 def _headed(df: DataFrame, label: str, sep: str = ",") -> str:
@@ -91,3 +146,7 @@ def fasta(spark: SparkSession, sf_dir: str) -> str:
 
 def annotation(spark: SparkSession, sf_dir: str) -> str:
     return _headed(inputs.annotation(spark, sf_dir).withColumnRenamed("entry", "Entry"), "annotation.tsv", "\t")
+
+
+# Ship this module's code with the function, so that executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

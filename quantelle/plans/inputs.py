@@ -74,6 +74,17 @@ def peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("s1"), F.col("l_quantity").alias("s2"), F.col("l_discount").alias("s3"))
 
 
+def peptide_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The peptides with one abundance per sample of the design, every fifth one missing;
+    those of every fourth supplier differ between conditions."""
+    rows = peptides(spark, sf_dir)
+    for j, sample in enumerate(DESIGN.names):
+        factor = F.when((F.col("ordinal") % 4 == 0) & (F.lit(j // 4) == 1), 8).otherwise(1)
+        value = F.col("s1") * factor * (10 + (F.col("ordinal") + 7 * j) % 13)
+        rows = rows.withColumn(sample, F.when((F.col("feature") + j) % 5 == 0, 0.0).otherwise(value))
+    return rows.drop("s1", "s2", "s3")
+
+
 def proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Protein groups with statistics, some of them NULL."""
     s = F.col("s_suppkey")

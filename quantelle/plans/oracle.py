@@ -622,6 +622,28 @@ check("protein_abundance", """
 SELECT split_part(accession, ';', 1) AS accession, confidence_score FROM proteins
 WHERE description <> 'cRAP' AND peptide_count >= 2 AND unique_peptides >= 1""", "proteins")
 check("peptide_workflow", _reduced("(SELECT *, accession || '--' || sequence AS identifier FROM best)", "identifier"), "best")
+check("peptide_files_workflow", _reduced("(SELECT *, accession || '--' || sequence AS identifier FROM best)", "identifier"), "best")
+SAMPLE_CELLS = ", ".join(f"""CASE WHEN (p.feature + {j}) % 5 = 0 THEN 0.0 ELSE
+    p.s1 * CASE WHEN p.ordinal % 4 = 0 THEN {8 if j // 4 == 1 else 1} ELSE 1 END * (10 + (p.ordinal + {7 * j}) % 13) END AS "{s}\"""" for j, s in enumerate(SAMPLES))
+view("site_sums", f"""
+  SELECT identifier AS id, {', '.join(f'sum("{s}") AS "{s}"' for s in SAMPLES)}
+  FROM (SELECT i.identifier, {SAMPLE_CELLS} FROM best p JOIN best_phospho i ON p.feature = i.feature AND p.ordinal = i.ordinal
+        WHERE i.identifier IS NOT NULL) GROUP BY identifier""", "best", "best_phospho")
+view("site_quant", " UNION ALL ".join(
+    f"""SELECT id, '{s[0]}' AS condition, {s[2]} AS replicate, "{s}" AS abundance FROM site_sums""" for s in SAMPLES), "site_sums")
+view("site_cleaned", _clean("site_quant", 3), "site_quant")
+for derived, source in (("logged", "cleaned"), ("within", "logged"), ("imputed", "within")):
+    view(f"site_{derived}", VIEWS[derived][1].replace(source, f"site_{source}"), f"site_{source}")
+view("site_moments", _moments("site_imputed"), "site_imputed")
+view("site_tested", _tests("site_moments"), "site_moments", "contrast")
+view("site_adjusted", _adjusted("site_tested", "comparison"), "site_tested")
+check("phospho_analysis", """
+SELECT t.id AS identifier, t.comparison, round(fc, 5) AS fc, round(p, 5) AS p_value, round(q, 5) AS fdr, m.missing,
+       split_part(split_part(t.id, '--', 1), '|', 2) AS accession, split_part(t.id, '--', 2) AS sites, a.go_bp
+FROM site_adjusted t LEFT JOIN (
+  SELECT id, string_agg(condition, '-' ORDER BY condition) AS missing
+  FROM (SELECT id, condition FROM site_quant GROUP BY id, condition HAVING sum(abundance) = 0) GROUP BY id) m ON m.id = t.id
+LEFT JOIN annotation a ON a.entry = split_part(split_part(t.id, '--', 1), '|', 2)""", "site_adjusted", "site_quant", "annotation")
 check("phospho_workflow", _reduced(_identified("best", "best_phospho"), "identifier"), "best", "best_phospho")
 check("redox_workflow", _reduced(_identified("best", "best_redox"), "identifier"), "best", "best_redox")
 
@@ -636,7 +658,7 @@ check("read_measurements", """
 SELECT CASE WHEN l_orderkey % 50 <> 0 THEN l_orderkey END AS feature,
        CASE WHEN l_linenumber <> 3 THEN l_quantity END AS score, l_returnflag || l_linestatus AS sequence,
        CASE WHEN l_linenumber % 2 = 0 THEN '[2] Phospho (S)' END AS modifications, 'P' || l_partkey AS accession,
-       'so-called "P' || l_partkey || '", line ' || l_linenumber AS description,
+       'so-called "P' || l_partkey || '",' || CASE WHEN l_orderkey % 2 = 1 THEN chr(10) ELSE ' ' END || 'line ' || l_linenumber AS description,
        CASE WHEN l_linenumber <> 2 THEN l_extendedprice END AS "Abundance", l_tax AS "Abundance_2"
 FROM lineitem""")
 check("read_peaks_proteins", """

@@ -630,6 +630,31 @@ def _redox_workflow(spark, sf):
                    "s1", "s2", "s3", digits=2)
 
 
+def _site_inputs(spark, sf, samples, table=None):
+    first = len(PEPTIDE_EXPORT) + 1
+    return workflows.read_site_inputs(spark, exports.peptides(spark, sf, samples, table), exports.proteins(spark, sf),
+                                      exports.database(spark, sf), range(first, first + len(samples)))
+
+
+@query("peptide_files_workflow")
+def _peptide_files(spark, sf):
+    """Files -> scores, proteins, best candidates by input order, summed peptides."""
+    samples = ["s1", "s2", "s3"]
+    peptides, proteins, _ = _site_inputs(spark, sf, samples)
+    return rounded(workflows.peptide_abundance(peptides, proteins, samples), *samples, digits=2)
+
+
+@query("phospho_analysis")
+def _phospho_analysis(spark, sf):
+    """Files -> phosphorylation sites -> clean, log2, impute, test -> missing conditions, accession, annotation."""
+    read, proteins, database = _site_inputs(spark, sf, DESIGN.names, inputs.peptide_samples(spark, sf))
+    abundance = workflows.phospho_abundance(read, proteins, database, DESIGN.names)
+    annotation = sources.read_annotation(spark, exports.annotation(spark, sf), out="entry")
+    told, _ = workflows.site_analysis(abundance, annotation, DESIGN, CONTRASTS, impute="center")
+    return rounded(told.select("identifier", "comparison", "fc", "p_value", "fdr", "missing", "accession", "sites", "go_bp"),
+                   "fc", "p_value", "fdr", digits=5)
+
+
 @query("peaks_reduce_features")
 def _peaks_reduce_features(spark, sf):
     return _labelled_candidates(spark, sf).select("scan", "ordinal", "peptide", "ptm", "lgp", "accession",
@@ -652,7 +677,7 @@ def _labelled_candidates(spark, sf):
 @query("read_measurements")
 def _read_measurements(spark, sf):
     return sources.read_measurements(spark, exports.measurements(spark, sf), samples=[7, 8],
-                                     types={"#": "long", "Score": "double"}, columns=PEPTIDE_EXPORT)
+                                     types={"#": "long", "Score": "double"}, columns=PEPTIDE_EXPORT).drop("ordinal")
 
 
 @query("read_peaks_proteins")
@@ -662,7 +687,7 @@ def _read_peaks_proteins(spark, sf):
 
 @query("read_peaks_peptides")
 def _read_peaks_peptides(spark, sf):
-    return sources.read_peaks_peptides(spark, exports.peaks_peptides(spark, sf), samples=[7], last=7)
+    return sources.read_peaks_peptides(spark, exports.peaks_peptides(spark, sf), samples=[7], last=7).drop("ordinal")
 
 
 @query("read_fasta")

@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import sources
 from ..design import Contrast, Design
-from ..operators import clean, labels, process, profiles, reshape, sites, stats
+from ..operators import annotate, clean, labels, process, profiles, reshape, sites, stats
 from ..session import pin
+from ..sources.measurements import PEPTIDE_EXPORT, PROTEIN_EXPORT
 
 
 @dataclass
@@ -88,6 +90,28 @@ def redox_abundance(peptides: DataFrame, proteins: DataFrame, database: DataFram
     return process.select_abundance(process.reduce_identifiers(located, samples), "identifier", samples)
 
 
+def site_analysis(abundance: DataFrame, annotation: DataFrame, design: Design, contrasts: Sequence[Contrast], **options
+                  ) -> tuple[DataFrame, Analysis]:
+    """Site identifiers with abundances -> the analysis, and its tests with the conditions
+    in which a site was not seen, its accession and sites, and the accession's annotation.
+    The design's positions count the identifier as column 1."""
+    long = reshape.to_long(design.rename(abundance), design, "identifier")
+    result = analyze(long, design, contrasts, id="identifier", **options)
+    by = list(options.get("by", ()))
+    told = process.join_results(result.tests, result.extremes.select(*by, "identifier", "missing"), [*by, "identifier"])
+    return annotate.add_annotation(annotate.add_accession(told), annotation), result
+
+
+def read_site_inputs(spark: SparkSession, peptides: str | Sequence[str], proteins: str | Sequence[str], database: str | Sequence[str],
+                     samples: Sequence[int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Peptide, protein and sequence files of a vendor export -> the tables that the
+    abundance workflows take. ``samples`` are positions in the peptide export."""
+    read = sources.read_measurements(spark, peptides, samples=samples, types={"#": "long"}, columns=PEPTIDE_EXPORT)
+    stats_ = sources.read_measurements(
+        spark, proteins, types={"Peptide count": "int", "Unique peptides": "int", "Confidence score": "double"}, columns=PROTEIN_EXPORT, ordinal=None)
+    return read, stats_, sources.read_fasta(spark, database)
+
+
 def labelled_candidates(peptides: DataFrame, proteins: DataFrame, score: str = "lgp", ordinal: str = "ordinal") -> DataFrame:
     """Heavy/light peptides with all proteins they support -> one row per scan.
 
