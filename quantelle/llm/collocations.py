@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import bucketed, checked, in_arrow, ship, slices, stash
 
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 #: Text bytes to a bucket of the relations.
 BUCKET_BYTES, MAX_BUCKETS = 32_000_000, 100_000
 #: Parts that a language's phrases are ranked in before its best are ranked together.
@@ -45,7 +45,10 @@ _BLOCK = "lang string, words array<string>, counts array<long>, total long, stre
 #: Occurrences of phrases (pos, grp) and of single words (wpos, wgrp), sorted; ``ids`` and ``wids`` are
 #: the numbers of their groups. Positions are stored as gaps. ``R_1`` leaves pos and grp to wpos and wgrp.
 _RELATION = "block long, pos binary, grp binary, ids binary, wpos binary, wgrp binary, wids binary"
-_PAIRS = "block long, pair long, c long"
+_PAIRS = "block long, pair long"
+_COUNTED = "part int, pairs binary, counts binary"
+#: Distinct pairs that a task adds up before it sends them.
+MAX_HELD = 4_000_000
 _MASK = (1 << 33) - 1
 
 
@@ -139,14 +142,64 @@ def _words_of(left: pa.Table, right: pa.Table) -> pa.Table:
 def _pairs(k: int, width: int):
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
-            pair, c = np.unique(_Occurrences(row, k, width).pair, return_counts=True)
+            pair = np.unique(_Occurrences(row, k, width).pair)
             for a in range(0, len(pair), 100_000):
                 part = pair[a:a + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), row["block"], np.int64)), pa.array(part), pa.array(c[a:a + 100_000].astype(np.int64))],
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), row["block"], np.int64)), pa.array(part)],
                                                  [x.split()[0] for x in _PAIRS.split(", ")])
     return each
 
 
+def _summed(pair: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs in order and the sums of their counts."""
+    order = np.argsort(pair, kind="stable")
+    pair, c = pair[order], c[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(pair), 1), bool), pair[1:] != pair[:-1])))
+    return pair[first], np.add.reduceat(c, first) if len(first) else c
+
+
+def _pair_counts(k: int, width: int, parts: int):
+    """Counts of the pairs of a task's blocks, dealt to ``parts`` by pair; a part's pairs are
+    sorted and sent as gaps, which take a third of the bytes of single rows."""
+    def sent(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        pair, c = _summed(*map(np.concatenate, zip(*held)))
+        part = ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        ends = np.cumsum(np.bincount(part.astype(np.int64), minlength=parts))
+        for i, (a, b) in enumerate(zip([0, *ends], ends)):
+            if b > a:
+                gaps = np.diff(pair[order[a:b]], prepend=0)
+                small = np.uint32 if gaps.max() < 2**32 else np.int64
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i], pa.int32()), pa.array([gaps.astype(small).tobytes()], pa.binary()), pa.array([c[order[a:b]].tobytes()], pa.binary())],
+                    [x.split()[0] for x in _COUNTED.split(", ")])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                held.append(np.unique(_Occurrences(row, k, width).pair, return_counts=True))
+                if sum(len(p) for p, _ in held) > MAX_HELD:
+                    yield from sent(held)
+                    held = []
+        if held:
+            yield from sent(held)
+    return each
+
+
+def _often(min_count: int):
+    def each(table: pa.Table) -> pa.Table:
+        """Pairs of one part that occur often enough over all blocks."""
+        found = []
+        for gaps, counts in zip(table.column("pairs").to_pylist(), table.column("counts").to_pylist()):
+            c = np.frombuffer(counts, np.int64)
+            wide = np.frombuffer(gaps, np.uint32 if len(gaps) == 4 * len(c) else np.int64)
+            found.append((np.cumsum(wide, dtype=np.int64), c))
+        pair, f = _summed(*map(np.concatenate, zip(*found)))
+        return pa.table({"pair": pair[f >= min_count], "f": f[f >= min_count]})
+    return each
+
+
 def _semi_joined(k: int, width: int, longest: int):
     def each(left: pa.Table, right: pa.Table) -> pa.Table:
         """``R_k`` of a block, and of ``R_1`` what later joins can still meet."""
@@ -202,7 +255,7 @@ def frequent_phrases(documents: DataFrame, min_count: int = 100, longest: int =
     relation = semi_join(blocks.select("block", "stream"), found, _words_of, 1)
     for k in range(2, longest + 1):
         pairs = in_arrow(relation, _pairs(k, width), _PAIRS)
-        often = pairs.groupBy("pair").agg(F.sum("c").alias("f")).where(F.col("f") >= min_count)
+        often = relation.mapInArrow(_pair_counts(k, width, buckets), _COUNTED).groupBy("part").applyInArrow(_often(min_count), "pair long, f long")
         split = often.withColumns({"_gid": F.expr(f"pair div {width}L"), "_wid": F.col("pair") % width})
         heads = last.select(F.col("id").alias("_gid"), "lang", F.col("phrase").alias("_head"))
         tails = words.select(F.col("id").alias("_wid"), F.col("phrase").alias("_tail"))
