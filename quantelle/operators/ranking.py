@@ -6,65 +6,60 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import pin
-from . import keys
 from .keys import null_safe_join, pinned_side
 
+#: Slabs of p-values to a halving; one holds at most values that differ by 0.02 %.
+SLABS_PER_OCTAVE = 4096
+
+
+def _log_slab(p: Column) -> Column:
+    """Number of the slab of a p-value; it never falls as p grows. Slabs are equally wide on
+    a logarithmic scale, so no sample of the data is needed to cut them."""
+    return F.when(p > 0, F.floor(F.log2(p) * SLABS_PER_OCTAVE)).otherwise(F.lit(-(2**40)))
+
 
 def adjust_bh(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), tie: Sequence[str] = ("id",),
               out: str = "fdr", partitions: int | None = None) -> DataFrame:
     """Benjamini-Hochberg adjusted p-values within each family.
 
-    Rows are range-partitioned by (family, p, tie) into slabs of about equal
-    size and pinned. A row's rank is its rank inside the slab plus the row count
-    of earlier slabs; the running minimum from the largest p down is the one
-    inside the slab combined with the minimum of later slabs. Only one row per
-    (slab, family) is ever combined across slabs, and that table is broadcast
-    only after counting it. Equal p-values are spread over
-    slabs by the tie columns: the minimum gives all of them the value of the
-    last rank, so their order does not matter.
-
-    Rows with a NULL p count towards the family size and get a NULL result.
+    Equal p-values have equal results, so the work is done on the distinct ones with their
+    counts, which are combined before they are shuffled: a value that very many rows share
+    is one row. Distinct values lie in slabs of close values. The rank of a value is the
+    count of earlier slabs plus the running count in its own; the minimum over larger
+    values is the running one inside the slab combined with the minima of later slabs. Only
+    one row per (slab, family), at most some hundred thousand a family whatever the data,
+    is combined across slabs. The rows themselves meet their results in one join.
+
+    ``df`` is pinned, as it is read twice. Rows with a NULL p count towards the family size
+    and get a NULL result. ``tie`` is not needed and kept for callers; ``partitions`` is the
+    number of tasks for the slabs.
     """
     family = list(family)
-    order = [*family, F.col(p).asc_nulls_last(), *tie]
-    cached = df.storageLevel.useMemory or df.storageLevel.useDisk
-    rows = df if cached else df.persist(StorageLevel.MEMORY_AND_DISK)  # sampled for the ranges, then placed
-    ranged = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
-    slabs = pin(ranged.withColumn("_slab", F.spark_partition_id()))
-    if not cached:
-        rows.unpersist()
-    where = [*family, "_slab"]
-
+    slab = [*family, "_slab"]
+    rows = pin(df)
+    tests = rows.where(F.col(p).isNotNull()).groupBy(*family, _log_slab(F.col(p)).alias("_slab"), F.col(p).alias("_p")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    tests = pin(tests.repartition(partitions, *slab) if partitions else tests.repartition(*slab))
+    sizes = rows.groupBy(*family).agg(F.count(F.lit(1)).alias("_m"))
     earlier = Window.partitionBy(*family).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*family)
-    counts = slabs.groupBy(*where).agg(F.count(F.lit(1)).alias("_rows"))
-    few = counts.count() <= keys.MAX_BROADCAST_ROWS
-    sizes = (
-        counts
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .withColumn("_m", F.sum("_rows").over(whole))
-    )
-    down = Window.partitionBy(*where).orderBy(F.col(p).desc_nulls_first(), *[F.col(t).desc() for t in tie])
-    from_top = F.row_number().over(down)
-    ranked = (
-        null_safe_join(slabs, F.broadcast(sizes) if few else sizes, where)
-        .withColumn("_rank", F.col("_before") + F.col("_rows") - from_top + 1)
-        .withColumn("_raw", F.col("_m") / F.col("_rank") * F.col(p))
-    )
+    counts = tests.groupBy(*slab).agg(F.sum("_c").alias("_rows")).withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    placed = null_safe_join(null_safe_join(tests, pinned_side(counts), slab), pinned_side(sizes), family) if family else null_safe_join(
+        tests, pinned_side(counts), slab).withColumn("_m", F.lit(rows.count()))
+
+    down = Window.partitionBy(*slab).orderBy(F.col("_p").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rank = F.col("_before") + F.col("_rows") - F.sum("_c").over(down) + F.col("_c")
+    raw = placed.withColumn("_raw", F.col("_m") / rank * F.col("_p"))
+    running = pin(raw.select(*slab, "_p", F.min("_raw").over(down).alias("_running")))
     later = Window.partitionBy(*family).orderBy(F.col("_slab").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        ranked.groupBy(*where).agg(F.min("_raw").alias("_slab_min"))
-        .select(*where, F.min("_slab_min").over(later).alias("_carry"))
-    )
-    running = F.min("_raw").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    adjusted = null_safe_join(ranked.withColumn("_running", running), F.broadcast(carry) if few else carry, where)
-    value = F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.col("_running"), F.col("_carry")))
-    return adjusted.select(*df.columns, value.alias(out))
+    carry = running.groupBy(*slab).agg(F.min("_running").alias("_least")).select(*slab, F.min("_least").over(later).alias("_carry"))
+    value = F.least(F.lit(1.0), F.col("_running"), F.col("_carry"))
+    adjusted = pinned_side(null_safe_join(running, pinned_side(carry), slab).select(*family, F.col("_p"), value.alias("_q")))
+    found = null_safe_join(rows.withColumn("_p", F.col(p)), adjusted, [*family, "_p"], "left")
+    return found.select(*df.columns, F.col("_q").alias(out))
 
 
 def adjust_bh_small(df: DataFrame, p: str = "p_value", family: Sequence[str] = (), out: str = "fdr") -> DataFrame:
@@ -84,72 +79,82 @@ def adjust_bh_small(df: DataFrame, p: str = "p_value", family: Sequence[str] = (
 
 
 def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Mapping[str, float],
-                    accuracy: int = 10_000) -> DataFrame:
+                    limit: int = 100_000, bins: int = 4096) -> DataFrame:
     """Exact linearly interpolated quantiles (R type 7) per group.
 
-    ``probs`` maps an output column to a probability. A mergeable sketch brackets
-    every requested rank first; a second pass counts what lies below a bracket
-    and groups only the values inside it. No large group is collected or sorted
-    as a whole, and repeated values are combined before the shuffle. The sketch's
-    rank error is bounded by ``1/accuracy``; brackets are three times as wide,
-    and a rank outside its bracket raises instead of returning a wrong value.
-    Groups of fewer than ``accuracy`` values use their full range as bracket.
-
-    The brackets are computed when the function is called and written once; they are
-    broadcast if they are few, else joined by a shuffle (adaptive execution splits hot
-    groups).
+    ``probs`` maps an output column to a probability. Every quantile starts with the range
+    of its group as bracket. While a bracket holds more than ``limit`` values, one pass
+    counts the values of ``bins`` equally wide cells of it, and the cell with the wanted
+    rank, cut to the values in it, is the next bracket; a cell of one distinct value, or
+    two ranks in neighbouring cells, end the search. What is left, at most ``limit`` values
+    each, is ordered. Counts are combined before they are shuffled, so no group is ever
+    merged or sorted as a whole, whatever its size and its ties.
+
+    Values are written once and read by every pass. NaN counts as the largest value.
+    Groups without a value are left out; without groups there is one row.
     """
     groups = list(groups)
     names = list(probs)
-    margin = 3.0 / accuracy
-    lows = [max(0.0, probs[n] - margin) for n in names]
-    highs = [min(1.0, probs[n] + margin) for n in names]
-    values = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
-    sketch = values.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [*lows, *highs], accuracy).alias("_q"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-    )
-    placed = null_safe_join(values, pinned_side(sketch), groups)
-    small = F.col("_n") < accuracy
-
-    def bracket(i: int):
-        low = F.when(small, F.col("_min")).otherwise(F.col("_q")[i])
-        high = F.when(small, F.col("_max")).otherwise(F.col("_q")[len(names) + i])
-        return F.struct(F.lit(i).alias("_i"), (F.col("_v") < low).alias("_below"),
-                        F.when((F.col("_v") >= low) & (F.col("_v") <= high), F.col("_v")).alias("_x"))
-
-    brackets = F.array(*[bracket(i) for i in range(len(names))])
-    counted = (
-        placed.select(*groups, "_n", F.inline(brackets))
-        .where(F.col("_below") | F.col("_x").isNotNull())
-        .groupBy(*groups, "_n", "_i", "_below", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    )
-    upwards = Window.partitionBy(*groups, "_i").orderBy(F.col("_below").desc(), "_x")
-    position = F.element_at(F.array(*[F.lit(probs[n]) for n in names]), F.col("_i") + 1) * (F.col("_n") - 1)
-    ranked = (
-        counted
-        .withColumn("_end", F.sum("_c").over(upwards.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_at", position)
-        .withColumn("_k", F.floor("_at"))
-        .where(~F.col("_below"))
-    )
-
-    def covers(k):
-        return (F.col("_end") - F.col("_c") <= k) & (k < F.col("_end"))
-
-    upper = F.least(F.col("_k") + 1, F.col("_n") - 1)
-    picked = ranked.where(covers(F.col("_k")) | covers(upper)).groupBy(*groups)
-    columns = []
-    for i, n in enumerate(names):
-        here = F.col("_i") == i
-        lo = F.max(F.when(here & covers(F.col("_k")), F.col("_x")))
-        hi = F.max(F.when(here & covers(upper), F.col("_x")))
-        part = F.max(F.when(here, F.col("_at") - F.col("_k")))
-        quantile = lo + (hi - lo) * part
-        columns.append(F.coalesce(quantile, F.raise_error(F.lit(f"quantile {n} fell outside its bracket"))
-                                  .cast("double")).alias(n))
-    return picked.agg(*columns)
+    key = [*groups, "_i"]
+    values = pin(df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v")))
+    wanted = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(probs[n])).alias("_at")) for i, n in enumerate(names)])
+    sizes = values.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    at = F.col("_at") * (F.col("_n") - 1)
+    nothing = F.lit(None).cast("double")
+    state = sizes.select("*", F.inline(wanted)).select(
+        *key, (at - F.floor(at)).alias("_part"), F.floor(at).alias("_k"), F.least(F.floor(at) + 1, F.col("_n") - 1).alias("_k2"), "_lo", "_hi",
+        F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_inside"), nothing.alias("_x"), nothing.alias("_x2"))
+    state = pin(state)
+    wide = F.col("_x").isNull() & (F.col("_inside") > limit) & (F.col("_lo") < F.col("_hi")) & (F.col("_hi") - F.col("_lo") < float("inf"))
+    while not state.where(wide).isEmpty():
+        state = pin(state.where(~wide).unionByName(_narrowed(values, state.where(wide), groups, bins)))
+    single = F.col("_x").isNull() & (F.col("_lo") == F.col("_hi"))
+    known = state.withColumns({"_x": F.when(single, F.col("_lo")).otherwise(F.col("_x")), "_x2": F.when(single, F.col("_lo")).otherwise(F.col("_x2"))})
+    found = _ordered(values, known.where("_x IS NULL"), groups)
+    done = known.where("_x IS NOT NULL").select(*key, "_part", "_x", "_x2").unionByName(found)
+    quantile = F.col("_x") + (F.col("_x2") - F.col("_x")) * F.col("_part")
+    return done.groupBy(*groups).agg(*[F.max(F.when(F.col("_i") == i, quantile)).alias(n) for i, n in enumerate(names)])
+
+
+def _inside(values: DataFrame, brackets: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Values with every bracket of their group that holds them."""
+    sides = brackets.select(*groups, "_i", "_lo", "_hi")
+    joined = null_safe_join(values, pinned_side(sides), groups) if groups else values.crossJoin(F.broadcast(sides))  # one row a quantile
+    return joined.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+
+
+def _with_ranks(counted: DataFrame, brackets: DataFrame, groups: Sequence[str], order: str) -> DataFrame:
+    """Counts in order with the ranks they cover, and the ranks that are looked for."""
+    upwards = Window.partitionBy(*groups, "_i").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sides = brackets.select(*groups, "_i", "_part", "_k", "_k2", "_below")
+    ranked = null_safe_join(counted.withColumn("_upto", F.sum("_c").over(upwards)), pinned_side(sides), [*groups, "_i"])
+    return ranked.withColumns({"_end": F.col("_below") + F.col("_upto"), "_start": F.col("_below") + F.col("_upto") - F.col("_c")})
+
+
+def _covers(rank: str) -> Column:
+    return (F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
+
+
+def _narrowed(values: DataFrame, brackets: DataFrame, groups: Sequence[str], bins: int) -> DataFrame:
+    """One counting pass over the cells of the brackets."""
+    width = (F.col("_hi") - F.col("_lo")) / bins
+    cell = F.least(F.lit(bins - 1), F.floor((F.col("_v") - F.col("_lo")) / width))
+    counted = _inside(values, brackets, groups).groupBy(*groups, "_i", cell.alias("_cell")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    ranked = _with_ranks(counted, brackets, groups, "_cell").where(_covers("_k") | _covers("_k2"))
+    first, second = (lambda c: F.max(F.when(_covers("_k"), c))), (lambda c: F.max(F.when(_covers("_k2"), c)))
+    picked = ranked.groupBy(*groups, "_i", "_part", "_k", "_k2").agg(
+        first(F.col("_min")).alias("_lo"), first(F.col("_max")).alias("_hi"), first(F.col("_start")).alias("_below"), first(F.col("_c")).alias("_inside"),
+        (first(F.col("_cell")) != second(F.col("_cell"))).alias("_apart"), second(F.col("_min")).alias("_next"))
+    return picked.withColumns({"_x": F.when(F.col("_apart"), F.col("_hi")), "_x2": F.when(F.col("_apart"), F.col("_next"))}).drop("_apart", "_next")
+
+
+def _ordered(values: DataFrame, brackets: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The wanted values of small brackets."""
+    counted = _inside(values, brackets, groups).groupBy(*groups, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = _with_ranks(counted, brackets, groups, "_v").where(_covers("_k") | _covers("_k2"))
+    return ranked.groupBy(*groups, "_i", "_part").agg(
+        F.max(F.when(_covers("_k"), F.col("_v"))).alias("_x"), F.max(F.when(_covers("_k2"), F.col("_v"))).alias("_x2"))
 
 
 def top_k_per_group(df: DataFrame, groups: Sequence[str], order: Sequence, k: int) -> DataFrame:

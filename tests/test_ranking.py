@@ -63,6 +63,16 @@ def test_bh_never_gathers_a_family(tests_table):
     plan = physical(ranking.adjust_bh(df, "p", ["family"], ["id"], "q"))
     assert "SinglePartition" not in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") <= 2  # ranks are pinned; rows meet them once
+
+
+def test_bh_of_extreme_and_few_values(spark):
+    ps = [0.0, 0.0, 1e-300, 5e-324, 1.0, 1.0, 0.5, 0.5000001]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(ps)] + [(99, None)], "id int, p double")
+    got = {r.id: r.q for r in ranking.adjust_bh(df, "p", (), ["id"], "q").collect()}
+    want = sequential_bh(np.array([*ps, np.nan]))
+    assert [got[i] for i in range(len(ps))] == pytest.approx(list(want[:-1]), rel=1e-12) and got[99] is None
+    assert ranking.adjust_bh(df.where("id < 0"), "p", (), ["id"], "q").collect() == []
 
 
 @pytest.mark.parametrize("limit", [10, 0])
@@ -74,13 +84,32 @@ def test_exact_quantiles_with_brackets(spark, monkeypatch, limit):
     data = [("g", float(v)) for v in values] + [("h", float(v)) for v in range(7)] + [("g", None), ("n", None)]
     df = spark.createDataFrame(data, "g string, v double").repartition(5)
     probs = {"lo": 0.0, "q1": 0.25, "mid": 0.5, "q9": 0.9, "hi": 1.0}
-    got = {r.g: r for r in ranking.exact_quantiles(df, "v", ["g"], probs, accuracy=100).collect()}
+    got = {r.g: r for r in ranking.exact_quantiles(df, "v", ["g"], probs, limit=100, bins=16).collect()}
     assert set(got) == {"g", "h"}
     for name, p in probs.items():
         assert got["g"][name] == pytest.approx(np.quantile(values, p), abs=1e-12)
         assert got["h"][name] == pytest.approx(np.quantile(np.arange(7), p), abs=1e-12)
 
 
+def test_quantiles_gather_no_group(spark):
+    """Cells and values are counted before the shuffle; no sketch, no percentile, no error is raised."""
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.pow(F.lit(1.01), F.col("id") % 1500).alias("v"))
+    got = ranking.exact_quantiles(df, "v", ["g"], {"a": 0.1, "b": 0.999}, limit=50, bins=8)
+    plan = physical(got)
+    assert "SinglePartition" not in plan and "percentile" not in plan and "raise_error" not in plan
+    want = {g: [float(np.quantile([1.01 ** (i % 1500) for i in range(g, 5000, 2)], q)) for q in (0.1, 0.999)] for g in (0, 1)}
+    for r in got.collect():
+        assert [r.a, r.b] == pytest.approx(want[r.g], rel=1e-12)
+
+
+def test_quantiles_of_ties_extremes_and_one_group(spark):
+    rows = [(1.0,)] * 700 + [(1e300,)] * 300 + [(-1e300,), (float("inf"),), (float("-inf"),)]
+    df = spark.createDataFrame(rows, "v double")
+    got = ranking.exact_quantiles(df, "v", [], {"m": 0.5, "q": 0.9, "lo": 0.001}, limit=10, bins=4).first()
+    assert (got.m, got.q, got.lo) == (1.0, 1e300, pytest.approx(-1e300, rel=0.01))
+    assert [r.m for r in ranking.exact_quantiles(df.where("v IS NULL"), "v", [], {"m": 0.5}).collect()] == [None]
+
+
 def test_quantile_groups_may_be_null(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("x", 3.0)], "g string, v double")
     got = {r.g: r.m for r in ranking.exact_quantiles(df, "v", ["g"], {"m": 0.5}).collect()}
