@@ -93,6 +93,23 @@ def test_lines(spark, empty):
     assert line_dedup.split_units(docs, "paragraph").count() == 5
 
 
+def test_sentences_in_runs(spark, empty):
+    """A copied passage inside lines is found, short sentences that repeat by chance are not."""
+    passage = " ".join(f"Word{i} a b c d e f g." for i in range(6))
+    rows = [(1, f"Own start here. {passage} Own end.\nYes. No."), (2, f"Other. Yes.\n\n{passage.upper()} No. And more words."), (2, "Yes. No."),
+            (None, passage), (4, None), (5, ""), (6, "x " * 200_000 + ". " + passage)]
+    clash = spark.createDataFrame([(k, t, 1, 2, "d") for k, t in rows], "doc_id long, text string, place int, row int, digest string")
+    got = {}
+    for r in line_dedup.repeated_units(clash, kind="sentence", min_words=1, run_words=40).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.end, r.first_doc))
+    texts = {k: t for k, t in rows if k != 2} | {2: rows[1][1]}
+    assert set(got) == {2, None, 6} and all(f == 1 for spans in got.values() for *_, f in spans)
+    for k, spans in got.items():
+        found = " ".join(texts[k][s:e] for s, e, _ in sorted(spans))
+        assert passage.lower() in found.lower() and len(found) <= len(passage) + 10
+    assert line_dedup.repeated_units(empty, kind="sentence", min_words=1, run_words=40).count() == 0
+
+
 def test_contamination(spark, empty):
     item = "How many birds sat upon the old stone bridge that day? There were seventeen grey herons on it."
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "Tiny item.")], "item_id long, text string")
