@@ -1,4 +1,9 @@
-"""Removal of repeated lines or paragraphs by hashing, with original offsets."""
+"""Removal of repeated lines, paragraphs or sentences by hashing, with original offsets.
+
+Passages copied between texts seldom fill whole lines, and short lines repeat by chance.
+Sentences as units, reported only in runs of neighbouring repeated sentences of
+``run_words`` words or more, find the former and leave the latter alone.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +12,14 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import in_arrow, stash
 
-#: What ends a unit: a line feed, or a line feed followed by blank lines.
-SEPARATORS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[\x20\t\r\x0b\x0c]*\n\s*")}
-UNIT = "k long, r long, unit int, start int, end int, n_words int, digest binary"
+#: What ends a unit: a line feed; one followed by blank lines; a line feed or a space after a full stop, ``!`` or ``?``.
+SEPARATORS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[\x20\t\r\x0b\x0c]*\n\s*"), "sentence": re.compile(r"\n|(?<=[.!?]) ")}
+UNIT = "row long, k long, r long, unit int, place int, start int, end int, n_words int, digest binary"
 
 
 def normalise(unit: str) -> bytes:
@@ -32,47 +37,52 @@ def units_of(text: str, kind: str) -> Iterator[tuple[int, int]]:
 
 
 def split_units(documents: DataFrame, kind: str = "line", min_words: int = 5, key: str = "doc_id", text: str = "text", rank: str | None = None) -> DataFrame:
-    """``(k, r, unit, start, end, n_words, digest)`` for every unit of ``min_words`` words or
-    more; offsets count characters of the original text."""
-    rows = documents.select(F.col(f"`{key}`").cast("long").alias("k"), (F.col(f"`{rank}`").cast("long") if rank else F.lit(0).cast("long")).alias("r"), F.col(f"`{text}`").alias("t"))
+    """``(row, k, r, unit, place, start, end, n_words, digest)`` for every unit of ``min_words``
+    words or more; offsets count characters of the original text, ``unit`` all units of the
+    text, ``place`` those returned, and ``row`` tells rows apart."""
+    rank_ = F.col(f"`{rank}`").cast("long") if rank else F.lit(0).cast("long")
+    rows = documents.select(F.col(f"`{key}`").cast("long").alias("k"), rank_.alias("r"), F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").alias("t"))
 
     def split(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        for k, r, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            value = t.as_py() or ""
+        for k, r, row, t in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+            value, place = t.as_py() or "", 0
             for number, (start, end) in enumerate(units_of(value, kind)):
                 plain = normalise(value[start:end])
                 words = plain.count(b" ") + 1 if plain else 0
                 if words >= max(1, min_words):
-                    out.append((k, r, number, start, end, words, hashlib.blake2b(plain, digest_size=16).digest()))
-        columns = zip(*out) if out else [[]] * 7
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["k", "r", "unit", "start", "end", "n_words", "digest"])
+                    out.append((row, k, r, number, place, start, end, words, hashlib.blake2b(plain, digest_size=16).digest()))
+                    place += 1
+        columns = zip(*out) if out else [[]] * 9
+        kinds = [pa.int64()] * 3 + [pa.int32()] * 5 + [pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=[c.split()[0] for c in UNIT.split(", ")])
 
     return in_arrow(rows, split, UNIT)
 
 
-def repeated_units(documents: DataFrame, kind: str = "line", min_words: int = 5, key: str = "doc_id", text: str = "text", rank: str | None = None) -> DataFrame:
+def repeated_units(documents: DataFrame, kind: str = "line", min_words: int = 5, key: str = "doc_id", text: str = "text", rank: str | None = None,
+                   run_words: int = 0) -> DataFrame:
     """Every unit to remove: ``(key, unit, start, end, n_words, first_doc, first_start)``.
 
     Units are normalised and grouped by digest over all documents; the occurrence of
     lowest (``rank``, key, position) stays, the rest are returned with offsets into the
-    original texts and the place of the one that stays. NULL ranks and keys come last;
-    NULL and empty texts have no units; shorter units than ``min_words`` always stay. Of
-    repeated rows the first copy's units stay and each other copy's are listed again. An
-    empty table gives no rows. Minima are combined before the shuffle, so a unit of any
-    frequency sends one row per task, and only digests seen twice are joined back.
+    original texts and the place of the one that stays. With ``run_words``, units that go
+    are returned only in runs of neighbours that hold so many words together. NULL ranks
+    and keys come last; NULL and empty texts have no units; shorter units than
+    ``min_words`` always stay and do not part neighbours. Of repeated rows the first
+    copy's units stay and each other copy's are listed. An empty table gives no rows.
+    Minima are combined before the shuffle, so a unit of any frequency sends one row per
+    task, and only digests seen twice are joined back.
     """
     units = stash(split_units(documents, kind, min_words, key, text, rank), "units")
     far = F.lit(2**63 - 1)
-    place = F.struct(F.coalesce("r", far).alias("r"), F.col("k").isNull().alias("no_key"), "k", "start")
-    first = units.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    joined = units.join(first, "digest").withColumn("place", place)
-    same = joined.where("place = first").select("k", "unit", "start", "end", "n_words", "first")
-    # copies of the very row that stays: all but one of them go
-    more = same.groupBy("k", "unit", "start", "end", "n_words", "first").agg(F.count("*").alias("m")).where("m > 1").select(
-        "k", "unit", "start", "end", "n_words", "first", F.explode(F.sequence(F.lit(2).cast("long"), F.col("m"))).alias("copy")).drop("copy")
-    gone = joined.where("place <> first").select("k", "unit", "start", "end", "n_words", "first").unionByName(more)
+    at = F.struct(F.coalesce("r", far).alias("r"), F.col("k").isNull().alias("no_key"), "k", "start", "row")
+    first = units.groupBy("digest").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    gone = units.join(first, "digest").where(at != F.col("first"))
+    if run_words:
+        by_place = Window.partitionBy("row").orderBy("place")
+        runs = gone.withColumn("run", F.col("place") - F.row_number().over(by_place))
+        gone = runs.withColumn("held", F.sum("n_words").over(Window.partitionBy("row", "run"))).where(F.col("held") >= run_words)
     return gone.select(F.col("k").alias(key), "unit", "start", "end", "n_words", F.col("first.k").alias("first_doc"), F.col("first.start").alias("first_start"))
 
 

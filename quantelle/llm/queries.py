@@ -43,7 +43,7 @@ def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_line_dedup")
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.repeated_units(read_table(spark, sf_dir, "documents"), kind="line", min_words=5)
+    return line_dedup.repeated_units(read_table(spark, sf_dir, "documents"), kind="sentence", min_words=1, run_words=40)
 
 
 @query("op4_decontaminate")
@@ -115,7 +115,7 @@ def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_ORACLE_SQL["op3_line_dedup"] = r"""
 WITH parts AS (
-  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
+  SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?]) ', '\1' || chr(10), 'g'), chr(10)) AS p FROM documents),
 line AS (
   SELECT doc_id, unnest(p) AS l, generate_subscripts(p, 1) - 1 AS unit FROM parts),
 placed AS (
@@ -123,11 +123,14 @@ placed AS (
          trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS plain
   FROM line),
 counted AS (
-  SELECT *, length(plain) - length(replace(plain, ' ', '')) + 1 AS n FROM placed),
+  SELECT *, length(plain) - length(replace(plain, ' ', '')) + 1 AS n, row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS place FROM placed WHERE plain <> ''),
 ranked AS (
   SELECT *, first_value(doc_id) OVER w AS fd, first_value(s) OVER w AS fs, row_number() OVER w AS r
-  FROM counted WHERE n >= 5 WINDOW w AS (PARTITION BY plain ORDER BY doc_id, s))
-SELECT doc_id, unit, s AS start, s + length(l) AS "end", n AS n_words, fd AS first_doc, fs AS first_start FROM ranked WHERE r > 1
+  FROM counted WINDOW w AS (PARTITION BY plain ORDER BY doc_id, s)),
+runs AS (
+  SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM ranked WHERE r > 1),
+held AS (SELECT *, sum(n) OVER (PARTITION BY doc_id, run) AS words FROM runs)
+SELECT doc_id, unit, s AS start, s + length(l) AS "end", n AS n_words, fd AS first_doc, fs AS first_start FROM held WHERE words >= 40
 """
 
 LLM_ORACLE_SQL["op7_embedding_dedup"] = """
