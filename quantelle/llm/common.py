@@ -95,17 +95,21 @@ def in_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBat
     return df.mapInArrow(each, schema)
 
 
-def slices(texts: list, limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Consecutive index ranges of at most ``limit`` characters, a longer text alone."""
+def slices_of(sizes: list[int], limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Consecutive index ranges whose sizes add up to at most ``limit``, a larger one alone."""
     start = size = 0
-    for i, text in enumerate(texts):
-        n = len(text) if text else 0
+    for i, n in enumerate(sizes):
         if i > start and size + n > limit:
             yield start, i
             start, size = i, 0
         size += n
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def slices(texts: list, limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Consecutive index ranges of at most ``limit`` characters, a longer text alone."""
+    return slices_of([len(t) if t else 0 for t in texts], limit)
 
 
 #: Tables of at most so many narrow rows are broadcast; larger ones are joined by shuffle.
