@@ -28,6 +28,8 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +51,9 @@ _PAIRS = "block long, pair long"
 _COUNTED = "part int, pairs binary, counts binary"
 #: Distinct pairs that a task adds up before it sends them.
 MAX_HELD = 4_000_000
+#: So many frequent words or pairs (16 bytes each, and the words) are sent to all tasks for the
+#: semi-join; more of them are joined by shuffles.
+MAX_SENT = 500_000
 _MASK = (1 << 33) - 1
 
 
@@ -126,17 +131,35 @@ class _Occurrences:
         self.pair = ids[grp[self.hit]] * width + self.wids[self.wgrp[at]]
 
 
-def _words_of(left: pa.Table, right: pa.Table) -> pa.Table:
-    """``R_1`` of a block: the occurrences of its frequent words."""
-    if not left.num_rows or not right.num_rows:
+def _frequent_words(block: int, stream: bytes, local: np.ndarray, ids: np.ndarray) -> pa.Table:
+    """``R_1`` of a block: the occurrences of its frequent words, given by number in the block."""
+    if not len(local):
         return _no_relation()
-    stream = np.frombuffer(left.column("stream")[0].as_py(), np.int32)
-    local, ids = _column(right, "g"), _column(right, "id")
-    to = np.full(max(int(stream.max()), int(local.max())) + 1, -1, np.int32)
+    words = np.frombuffer(stream, np.int32)
+    to = np.full(max(int(words.max()), int(local.max())) + 1, -1, np.int32)
     to[local] = np.arange(len(local), dtype=np.int32)
-    grp = to[stream]
+    grp = to[words]
     pos = np.flatnonzero(grp >= 0).astype(np.int32)
-    return _relation(left.column("block")[0].as_py(), _none(), _none(), _none(np.int64), pos, grp[pos], ids.astype(np.int64))
+    return _relation(block, _none(), _none(), _none(np.int64), pos, grp[pos], ids.astype(np.int64))
+
+
+def _words_of(left: pa.Table, right: pa.Table) -> pa.Table:
+    if not left.num_rows or not right.num_rows:
+        return _no_relation()
+    return _frequent_words(left.column("block")[0].as_py(), left.column("stream")[0].as_py(), _column(right, "g"), _column(right, "id"))
+
+
+def _words_sent(sent: Broadcast):
+    """The same with all frequent words at hand, by language."""
+    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for i in range(batch.num_rows):
+            row = {c: batch.column(c)[i] for c in ("block", "lang", "words", "stream")}
+            phrases, ids = sent.value.get(row["lang"].as_py(), (pa.array([], pa.string()), _none(np.int64)))
+            at = pc.index_in(row["words"].values, value_set=phrases)
+            local = np.flatnonzero(np.asarray(at.is_valid()))
+            found = ids[np.asarray(at.drop_null())]
+            yield from _frequent_words(row["block"].as_py(), row["stream"].as_py(), local + 1, found).to_batches()
+    return each
 
 
 def _pairs(k: int, width: int):
@@ -200,23 +223,39 @@ def _often(min_count: int):
     return each
 
 
+def _narrowed(row: dict, k: int, width: int, longest: int, wanted: np.ndarray, ids: np.ndarray) -> pa.Table:
+    """``R_k`` of a block, given the frequent pairs in order, and of ``R_1`` what later joins can
+    still meet."""
+    found = _Occurrences(row, k, width)
+    group = np.minimum(np.searchsorted(wanted, found.pair), len(wanted) - 1)
+    kept = wanted[group] == found.pair
+    if not kept.any():
+        return _no_relation()
+    pos = found.pos[found.hit[kept]]
+    local, grp = np.unique(group[kept], return_inverse=True)
+    near = np.zeros(int(found.wpos[-1]) + longest + 1, bool)
+    for step in range(k, longest):
+        near[pos + step] = True
+    still = near[found.wpos]
+    return _relation(found.block, pos, grp.astype(np.int32), ids[local], found.wpos[still], found.wgrp[still], found.wids)
+
+
 def _semi_joined(k: int, width: int, longest: int):
     def each(left: pa.Table, right: pa.Table) -> pa.Table:
-        """``R_k`` of a block, and of ``R_1`` what later joins can still meet."""
         if not left.num_rows or not right.num_rows:
             return _no_relation()
-        found = _Occurrences(left.to_pylist()[0], k, width)
         wanted, ids = _column(right, "pair"), _column(right, "id").astype(np.int64)
         order = np.argsort(wanted)
-        wanted, ids = wanted[order], ids[order]
-        group = np.minimum(np.searchsorted(wanted, found.pair), len(wanted) - 1)
-        kept = wanted[group] == found.pair
-        pos = found.pos[found.hit[kept]]
-        near = np.zeros(int(found.wpos[-1]) + longest + 1, bool)
-        for step in range(k, longest):
-            near[pos + step] = True
-        still = near[found.wpos]
-        return _relation(found.block, pos, group[kept].astype(np.int32), ids, found.wpos[still], found.wgrp[still], found.wids)
+        return _narrowed(left.to_pylist()[0], k, width, longest, wanted[order], ids[order])
+    return each
+
+
+def _semi_sent(k: int, width: int, longest: int, sent: Broadcast):
+    """The same with all frequent pairs at hand."""
+    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for row in batch.to_pylist():
+            if len(sent.value[0]):
+                yield from _narrowed(row, k, width, longest, *sent.value).to_batches()
     return each
 
 
@@ -235,7 +274,8 @@ def frequent_phrases(documents: DataFrame, min_count: int = 100, longest: int =
                      lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to ``longest`` words that occur ``min_count`` times or more, as
     ``(lang, k, phrase, f)``, and the number of words of every language, ``(lang, n)``."""
-    ship(documents.sparkSession)
+    spark = documents.sparkSession
+    ship(spark)
     rows = documents.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
     size = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(MAX_BUCKETS, size // BUCKET_BYTES + 1)
@@ -247,14 +287,18 @@ def frequent_phrases(documents: DataFrame, min_count: int = 100, longest: int =
     width = max(words.count(), 1)
     levels, last = [words.select("lang", F.lit(1).alias("k"), "phrase", "f")], words
 
-    def semi_join(relation: DataFrame, found: DataFrame, each, k: int) -> DataFrame:
-        both = relation.groupBy("block").cogroup(found.groupBy("of"))
-        return bucketed(both.applyInArrow(each, _RELATION), "block", buckets, f"phrases_r{k}")
-
-    found = each.select("of", "lang", "g", "phrase").join(checked(words.select("lang", "phrase", "id")), ["lang", "phrase"]).select("of", "g", "id")
-    relation = semi_join(blocks.select("block", "stream"), found, _words_of, 1)
+    def written(relation: DataFrame, k: int) -> DataFrame:
+        return bucketed(relation, "block", buckets, f"phrases_r{k}")
+
+    if width <= MAX_SENT:
+        table = words.select("lang", "phrase", "id").toPandas()
+        sent = {x: (pa.array(g["phrase"], pa.string()), g["id"].to_numpy(np.int64)) for x, g in table.groupby("lang")}
+        relation = in_arrow(blocks.select("block", "lang", "words", "stream"), _words_sent(spark.sparkContext.broadcast(sent)), _RELATION)
+    else:
+        found = each.select("of", "lang", "g", "phrase").join(words.select("lang", "phrase", "id"), ["lang", "phrase"]).select("of", "g", "id")
+        relation = blocks.select("block", "stream").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(_words_of, _RELATION)
+    relation = written(relation, 1)
     for k in range(2, longest + 1):
-        pairs = in_arrow(relation, _pairs(k, width), _PAIRS)
         often = relation.mapInArrow(_pair_counts(k, width, buckets), _COUNTED).groupBy("part").applyInArrow(_often(min_count), "pair long, f long")
         split = often.withColumns({"_gid": F.expr(f"pair div {width}L"), "_wid": F.col("pair") % width})
         heads = last.select(F.col("id").alias("_gid"), "lang", F.col("phrase").alias("_head"))
@@ -262,9 +306,16 @@ def frequent_phrases(documents: DataFrame, min_count: int = 100, longest: int =
         named = split.join(heads, "_gid").join(tails, "_wid").select("pair", "lang", F.concat_ws(" ", "_head", "_tail").alias("phrase"), "f")
         last = _numbered(named, f"phrases{k}")
         levels.append(last.select("lang", F.lit(k).alias("k"), "phrase", "f"))
-        if k < longest:
-            found = pairs.select(F.col("block").alias("of"), "pair").join(checked(last.select("pair", "id")), "pair").select("of", "pair", "id")
-            relation = semi_join(relation, found, _semi_joined(k, width, longest), k)
+        if k == longest:
+            break
+        if last.count() <= MAX_SENT:
+            table = last.select("pair", "id").toPandas().sort_values("pair")
+            sent = spark.sparkContext.broadcast((table["pair"].to_numpy(np.int64), table["id"].to_numpy(np.int64)))
+            relation = written(in_arrow(relation, _semi_sent(k, width, longest, sent), _RELATION), k)
+        else:
+            pairs = in_arrow(relation, _pairs(k, width), _PAIRS).select(F.col("block").alias("of"), "pair")
+            found = pairs.join(last.select("pair", "id"), "pair").select("of", "pair", "id")
+            relation = written(relation.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(_semi_joined(k, width, longest), _RELATION), k)
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)
