@@ -121,10 +121,18 @@ def checked(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer where ``df`` has such a column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def without(documents: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """Documents whose key is not among ``ids``; rows with a NULL key stay."""
-    gone = stash(ids.select(F.col(key)).where(F.col(key).isNotNull()).distinct(), "gone")
-    return documents.join(checked(gone), key, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    name = free_name(documents, "gone")
+    gone = stash(ids.select(F.col(key).alias(name)).where(F.col(name).isNotNull()).distinct(), "gone")
+    return documents.join(checked(gone), F.col(f"`{key}`") == F.col(name), "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def word_count(text: Column) -> Column:

@@ -14,12 +14,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, slices
+from .common import in_arrow, slices, slices_of
 
 ORDER = 4  # bytes in the longest string: three of context and the coded one
 _START = b"\n" * (ORDER - 1)
@@ -167,6 +168,55 @@ def code_lengths(model: Model, texts: list[str]) -> np.ndarray:
     return out
 
 
+def bits_per_byte(labelled: DataFrame, model: Broadcast, lang: str = "lang", text: str = "text", key: str = "doc_id", documents_per_language: int = 300,
+                  seed: int = 12) -> dict[str, float]:
+    """Mean code length of a byte in the model's languages, on about so many labelled rows of
+    each, chosen by a hash of their keys and another seed than those that it learned from."""
+    rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), F.col(f"`{key}`").alias("k")).where("lang is not null and text <> ''")
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts or not model.value.languages:
+        return {}
+    share = F.create_map(*[F.lit(x) for lang_, n in counts.items() for x in (lang_, documents_per_language / n)])
+    draw = F.pmod(F.xxhash64(F.lit(seed), "k"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+    def cost(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        known: Model = model.value
+        rows_ = [(x, t) for x, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()) if x in known.languages]
+        bits = code_lengths(known, [t for _, t in rows_])
+        own = [float(b[known.languages.index(x)]) for (x, _), b in zip(rows_, bits)]
+        yield pa.RecordBatch.from_pydict({"lang": pa.array([x for x, _ in rows_], pa.string()), "bits": pa.array(own, pa.float64()),
+                                          "n": pa.array([len(t.encode("utf-8", "surrogatepass")) for _, t in rows_], pa.int64())})
+
+    found = in_arrow(rows.where(draw < F.element_at(share, F.col("lang"))).select("lang", "text"), cost, "lang string, bits double, n long")
+    return {r.lang: r.bits / r.n for r in found.groupBy("lang").agg(F.sum("bits").alias("bits"), F.sum("n").alias("n")).collect()}
+
+
+def familiar(text: Column, model: Broadcast, usual: dict[str, float], factor: float = 1.5, slack: float = 64.0) -> Column:
+    """Whether a text has a letter and its shortest code is at most ``factor`` times as long
+    as usual for its bytes in that language (``usual`` as by :func:`bits_per_byte`), plus
+    ``slack`` bits. Noise and texts in languages that were not learned take longer codes.
+    False for NULL, and for all texts where no language was learned.
+
+    Only the text goes to Python, and one bit comes back.
+    """
+    @F.arrow_udf("boolean")
+    def told(texts: pa.Array) -> pa.Array:
+        known: Model = model.value
+        limit = np.array([factor * usual.get(x, np.inf) for x in known.languages])
+        out = np.zeros(len(texts), bool)
+        for low, high in slices_of(pc.coalesce(pc.utf8_length(texts), pa.scalar(0, pa.int32())).to_pylist(), 1_000_000):
+            some = texts[low:high].to_pylist()
+            asked = [i for i, t in enumerate(some) if t and known.languages and _LETTER.search(t)]
+            if asked:
+                bits = code_lengths(known, [some[i] for i in asked])
+                size = np.array([len(some[i].encode("utf-8", "surrogatepass")) for i in asked])
+                best = bits.argmin(axis=1)
+                out[low + np.array(asked)] = bits.min(axis=1) <= limit[best] * size + slack
+        return pa.array(out)
+
+    return told(text)
+
+
 def predict(documents: DataFrame, model: Broadcast, text: str = "text", lang_column: str = "lang_pred", score_column: str = "score") -> DataFrame:
     """Add the predicted language and its score to every row; whole texts are coded.
 

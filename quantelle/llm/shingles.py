@@ -7,7 +7,7 @@ import xxhash
 
 WIDTH = 5
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-MAX_WORDS = 500_000
+MAX_WORDS = 100_000  # some 15 MB in a worker
 
 
 class _WordHashes(dict):

@@ -138,4 +138,4 @@ def test_pipeline_stages(spark, documents):
         if name == "near_duplicates":
             left = [sets_of(r.text) for r in docs.collect()]
             assert not any(100 * len(a & b) >= 75 * len(a | b) for i, a in enumerate(left) for b in left[i + 1:] if a)
-    assert kept[1] == kept[0] > kept[2] > kept[3] and kept[5] == kept[4] > 0
+    assert kept[0] >= kept[1] > 0.98 * kept[0] and kept[1] > kept[2] > kept[3] and kept[5] == kept[4] > 0
