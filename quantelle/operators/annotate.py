@@ -64,14 +64,15 @@ def go_top_terms_by_cluster(df: DataFrame, top: int = 5, cluster: str = "cluster
 def term_values(values: DataFrame, annotation: DataFrame, column: str, threshold: int, id: str = "id",
                 sep: str = "; ", drop_last: int = 0) -> DataFrame:
     """Per-id values of every annotation term that covers more than ``threshold``
-    distinct ids, with the label ``<term>\\n<ids>``.
+    distinct ids with values, with the label ``<term>\\n<ids>``.
 
-    ``annotation`` holds one row per id. Terms are counted on the short (id, term)
-    table before the values are attached, and rare terms never reach that join.
+    ``annotation`` holds one row per id; ids without values count for no term. Terms are
+    counted on the short (id, term) table before the values are attached, and rare terms
+    never reach that join.
     """
     raw = F.col(f"`{column}`")
-    terms = annotation.where(raw.isNotNull()).select(
-        id, F.explode(F.split(text.drop_last(raw, drop_last) if drop_last else raw, sep)).alias("term"))
+    valued = annotation.where(raw.isNotNull()).join(values.select(id).distinct(), id, "left_semi")
+    terms = valued.select(id, F.explode(F.split(text.drop_last(raw, drop_last) if drop_last else raw, sep)).alias("term"))
     counts = (terms.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") > threshold))
     kept = terms.join(counts, "term").withColumn(

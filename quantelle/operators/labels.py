@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import pin
 from .keys import key_list, strict_sum
 from .sites import locate_peptides
 
@@ -54,9 +55,11 @@ def redox_state(df: DataFrame, identifier: str = "identifier", by: Sequence[str]
     """2 when a site is seen in both label states, else 1.
 
     The mean label state is a partially aggregated table that is joined back: a
-    site with very many rows is never gathered into one window.
+    site with very many rows is never gathered into one window. The rows are pinned,
+    so what they were made from is computed once.
     """
     keys = key_list(by, identifier)
+    df = pin(df)
     means = df.groupBy(*keys).agg(F.avg("h_or_l").alias("mean_modification"))
     both = ((F.col("mean_modification") > LIGHT) & (F.col("mean_modification") < HEAVY)) | (
         F.col("mean_modification") > HEAVY)
@@ -73,12 +76,19 @@ def split_reduced_oxidized(df: DataFrame, single_state_only: bool = True) -> Dat
 def percent_oxidized(df: DataFrame, samples: Sequence[str], identifier: str = "identifier",
                      by: Sequence[str] = ()) -> DataFrame:
     """heavy / (heavy + light) per sample for sites seen in both states, keyed
-    ``<identifier>-H``; an undefined share, for example with a NULL abundance, is 0."""
+    ``<identifier>-H``; an undefined share, for example with a NULL abundance, is 0.
+
+    The states are those of ``redox_state`` where the table has it; else they are counted
+    in the aggregate of the shares, and no other pass is needed."""
     keys = key_list(by, identifier)
     heavy = F.col("h_or_l") == HEAVY
     shares = [
         F.coalesce(F.try_divide(F.sum(F.when(heavy, F.col(f"`{s}`"))), strict_sum(F.col(f"`{s}`"))), F.lit(0.0)).alias(s)
         for s in samples
     ]
-    return df.where(F.col("redox_state") == 2).groupBy(*keys).agg(*shares).withColumn(
-        identifier, F.concat(F.col(identifier), F.lit("-H")))
+    if "redox_state" in df.columns:
+        found = df.where(F.col("redox_state") == 2).groupBy(*keys).agg(*shares)
+    else:
+        found = df.groupBy(*keys).agg(*shares, F.count_if(heavy).alias("_heavy"), F.count_if(F.col("h_or_l") == LIGHT).alias("_light")).where(
+            "_heavy > 0 AND _light > 0").drop("_heavy", "_light")
+    return found.withColumn(identifier, F.concat(F.col(identifier), F.lit("-H")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from .clean import back_transform
+from ..session import pin
 from .keys import key_list, null_safe_join, pinned_side
 from .ranking import exact_quantiles, first_per_key
 from .stats import group_moments
@@ -127,7 +128,9 @@ def count_terms(df: DataFrame, column: str, threshold: int = 0, width: int = 25)
 
 def site_counts(df: DataFrame) -> DataFrame:
     """Sites per identifier, identifiers per accession and distinct sites per
-    accession, on every row of a table with ``accession`` and ``sites``."""
+    accession, on every row of a table with ``accession`` and ``sites``, which is pinned:
+    it is counted and read."""
+    df = pin(df)
     sites = df.select("accession", F.posexplode_outer(F.split("sites", "-")).alias("_at", "_site"))
     per_site = sites.groupBy("accession", "_site").agg(
         F.count_if(F.coalesce("_at", F.lit(0)) == 0).alias("_rows"))

@@ -168,11 +168,12 @@ def occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_terms(spark: SparkSession, sf_dir: str, closed: bool = False) -> DataFrame:
-    """One row per id with two annotation terms, NULL for every ninth id.
-    ``closed`` ends every term with ``;`` instead of separating with ``; ``."""
-    k = F.col("p_partkey")
+    """One row per id with two annotation terms, NULL for every ninth id; further ids have
+    terms but no values. ``closed`` ends every term with ``;`` instead of separating with ``; ``."""
+    parts = table(spark, sf_dir, "part").select(_part_id(F.col("p_partkey")).alias("id"), F.col("p_partkey").alias("k"))
+    others = table(spark, sf_dir, "supplier").select(F.concat(F.lit("X"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_suppkey").alias("k"))
+    k = F.col("k")
     first = F.concat(F.lit("process "), (k % 7).cast("string"))
     second = F.concat(F.lit("process "), (7 + k % 11).cast("string"))
     joined = F.concat(first, F.lit(";"), second, F.lit(";")) if closed else F.concat(first, F.lit("; "), second)
-    return table(spark, sf_dir, "part").select(
-        _part_id(k).alias("id"), F.when(k % 9 != 0, joined).alias("Gene ontology (biological process)"))
+    return parts.unionByName(others).select("id", F.when(k % 9 != 0, joined).alias("Gene ontology (biological process)"))

@@ -314,14 +314,16 @@ view("terms", """
      "annotation")
 view("part_terms", f"""
   SELECT id, unnest(['process ' || (k % 7), 'process ' || (7 + k % 11)]) AS term
-  FROM (SELECT {PART_ID.format(k='p_partkey')} AS id, p_partkey AS k FROM part WHERE p_partkey % 9 <> 0)""")
+  FROM (SELECT {PART_ID.format(k='p_partkey')} AS id, p_partkey AS k FROM part WHERE p_partkey % 9 <> 0
+        UNION ALL SELECT concat('X', s_suppkey), s_suppkey FROM supplier WHERE s_suppkey % 9 <> 0)""")
 
 
 def _frequent_terms(values: str, columns: str, threshold: int) -> str:
     return f"""
 SELECT v.id, {columns}, t.term, c.n, concat(t.term, chr(10), c.n) AS term_n
 FROM {values} v JOIN part_terms t ON v.id = t.id
-JOIN (SELECT term, count(DISTINCT id) AS n FROM part_terms GROUP BY term HAVING count(DISTINCT id) > {threshold}) c
+JOIN (SELECT term, count(DISTINCT id) AS n FROM part_terms WHERE id IN (SELECT id FROM {values})
+      GROUP BY term HAVING count(DISTINCT id) > {threshold}) c
   ON t.term = c.term"""
 
 
@@ -371,6 +373,32 @@ check("log2_transform", LONG.format("round(CASE WHEN abundance > 0 THEN log2(abu
 check("asinh_transform", LONG.format("round(asinh(abundance), 6)", "quant"), "quant")
 check("back_transform", LONG.format("round(pow(2, asinh(abundance)), 4)", "quant"), "quant")
 check("impute_center", LONG.format("round(abundance, 6)", "imputed"), "imputed")
+
+
+def _normal(seed: int) -> str:
+    """Box-Muller on two runs of twelve digits of an MD5."""
+    text = f"md5(concat_ws('|', '{seed}', id, condition, replicate))"
+    u = [f"((('0x' || substr({text}, {at}, 12))::BIGINT + 0.5) / 281474976710656.0::double)" for at in (1, 13)]
+    return f"(sqrt(-2.0::double * ln({u[0]})) * cos(6.283185307179586::double * {u[1]}))"
+
+
+def _spread(source: str) -> str:
+    return f"""(SELECT condition, quantile_cont(s, 0.5) AS sd FROM (
+      SELECT id, condition, stddev_samp(CASE WHEN abundance <> 0 THEN abundance END) AS s FROM {source} GROUP BY id, condition)
+    WHERE s IS NOT NULL GROUP BY condition)"""
+
+
+view("within_draw", f"""
+  SELECT id, m.condition, replicate, CASE WHEN abundance <> 0 THEN abundance
+         ELSE coalesce(mu + coalesce(sd, 0.0) * {_normal(123).replace('condition', 'm.condition')}, 0.0) END AS abundance
+  FROM (SELECT *, avg(CASE WHEN abundance <> 0 THEN abundance END) OVER (PARTITION BY id, condition) AS mu FROM logged) m
+  LEFT JOIN {_spread('logged')} s ON s.condition = m.condition""", "logged")
+check("impute_draw", f"""
+SELECT id, w.condition, replicate, round(CASE WHEN abundance <> 0 THEN abundance
+         ELSE level + coalesce(sd, 0.0) * {_normal(124).replace('condition', 'w.condition')} END, 6) AS abundance
+FROM within_draw w JOIN (
+  SELECT condition, quantile_cont(CASE WHEN abundance <> 0 THEN abundance END, 0.25) AS level FROM within_draw GROUP BY condition) l
+  ON w.condition = l.condition LEFT JOIN {_spread('within_draw')} s ON s.condition = w.condition""", "within_draw")
 check("missingness", """
 SELECT c.id, nullif(string_agg(CASE WHEN total = 0 THEN condition END, '-' ORDER BY condition), '') AS missing
 FROM (SELECT DISTINCT id FROM cleaned) c
@@ -427,6 +455,85 @@ check("sample_distance", """
 SELECT x.sample AS sample1, y.sample AS sample2, round(sqrt(sum((x.v - y.v) * (x.v - y.v))), 5) AS distance
 FROM sample_scaled x JOIN sample_scaled y ON x.id = y.id GROUP BY x.sample, y.sample""", "sample_scaled")
 
+SAMPLE_LIST = "[" + ", ".join(f"'{x}'" for x in SAMPLES) + "]"
+view("sample_covariance", f"""
+  SELECT list(row ORDER BY i) AS m FROM (
+    SELECT i, list(c ORDER BY j) AS row FROM (
+      SELECT list_position({SAMPLE_LIST}, x.sample) AS i, list_position({SAMPLE_LIST}, y.sample) AS j, covar_samp(x.abundance, y.abundance) AS c {PAIRS})
+    GROUP BY i)""", "logged")
+
+
+def _leading(name: str, source: str, steps: int = 45) -> None:
+    """The leading eigenvector of a symmetric matrix: it is squared and scaled again and
+    again, then the column of largest norm is taken."""
+    last = source
+    for step in range(steps // 5):
+        expression = "m"
+        for _ in range(5):
+            trace = f"list_sum(list_transform(range(1, {len(SAMPLES) + 1}), lambda i: m[i][i]))"
+            expression = f"(SELECT list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c) / ({trace} * {trace}))) AS m FROM {expression})" if expression != "m" else f"(SELECT list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c) / ({trace} * {trace}))) AS m FROM {last})"
+        view(f"{name}{step}", f"SELECT m FROM {expression}", last)
+        last = f"{name}{step}"
+    view(name, f"""
+  SELECT list_transform(v, lambda x: x * s) AS v FROM (
+    SELECT v, CASE WHEN list_max(v) < -list_min(v) THEN -1.0 ELSE 1.0 END / sqrt(list_dot_product(v, v)) AS s FROM (
+      SELECT m[list_position(list_transform(range(1, {len(SAMPLES) + 1}), lambda i: m[i][i]),
+               list_max(list_transform(range(1, {len(SAMPLES) + 1}), lambda i: m[i][i])))] AS v FROM {last}))""", last)
+
+
+_leading("component1_", "sample_covariance")
+view("sample_rest", f"""
+  SELECT list_transform(range(1, {len(SAMPLES) + 1}), lambda i: list_transform(range(1, {len(SAMPLES) + 1}), lambda j: m[i][j] - l * v[i] * v[j])) AS m
+  FROM (SELECT m, v, list_dot_product(list_transform(m, lambda r: list_dot_product(r, v)), v) AS l FROM sample_covariance, component1_)""",
+     "sample_covariance", "component1_")
+_leading("component2_", "sample_rest")
+check("pca_loadings", f"""
+SELECT left(s, 1) AS condition, cast(right(s, 1) AS int) AS replicate, CASE left(s, 1) WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS condition_order,
+       round(pc1, 6) AS pc1, round(pc2, 6) AS pc2
+FROM (SELECT unnest({SAMPLE_LIST}) AS s, unnest(component1_.v) AS pc1, unnest(component2_.v) AS pc2 FROM component1_, component2_)""", "component1_", "component2_")
+
+ZS = ", ".join(f"""max(CASE WHEN condition = '{c}' THEN z END) AS "{c}_Z\"""" for c in "ANR")
+QS = ", ".join(f"""cast(round("{c}_Z" * 1000000) AS BIGINT) AS q{i}""" for i, c in enumerate("ANR"))
+view("points0", f"""
+  SELECT *, 0 AS g, {QS} FROM (SELECT id, {ZS} FROM profile GROUP BY id)
+  WHERE "A_Z" IS NOT NULL AND "N_Z" IS NOT NULL AND "R_Z" IS NOT NULL""", "profile")
+
+
+def _distance(centre: str) -> str:
+    d = [f"(cast(q{i} AS DOUBLE) - {centre}{i})" for i in range(3)]
+    return f"({d[0]} * {d[0]} + {d[1]} * {d[1]} + {d[2]} * {d[2]})"
+
+
+def _bisected(new: int, rounds: int = 8) -> None:
+    """``points<new>``: the largest cluster of the points before, split."""
+    before = f"points{new - 1}"
+    view(f"member{new}", f"SELECT * FROM {before} WHERE g = (SELECT g FROM {before} GROUP BY g ORDER BY count(*) DESC, g LIMIT 1)", before)
+    view(f"middle{new}", "SELECT " + ", ".join(f"cast(sum(q{i}) AS DOUBLE) / count(*) AS m{i}" for i in range(3)) + f" FROM member{new}", f"member{new}")
+    view(f"first{new}", f"SELECT {', '.join(f'cast(q{i} AS DOUBLE) AS a{i}' for i in range(3))} FROM member{new}, middle{new} ORDER BY {_distance('m')} DESC, id LIMIT 1",
+         f"member{new}", f"middle{new}")
+    view(f"centres{new}_0", f"SELECT a0, a1, a2, {', '.join(f'cast(q{i} AS DOUBLE) AS b{i}' for i in range(3))} FROM member{new}, first{new} ORDER BY {_distance('a')} DESC, id LIMIT 1",
+         f"member{new}", f"first{new}")
+    for r in range(1, rounds + 1):
+        means = ", ".join(f"coalesce(cast(sum(q{i}) FILTER (WHERE {'' if side == 'b' else 'NOT '}second) AS DOUBLE) / nullif(count(*) FILTER (WHERE {'' if side == 'b' else 'NOT '}second), 0), any_value({side}{i})) AS {side}{i}"
+                          for side in "ab" for i in range(3))
+        view(f"centres{new}_{r}", f"SELECT {means} FROM (SELECT *, {_distance('b')} < {_distance('a')} AS second FROM member{new}, centres{new}_{r - 1})",
+             f"member{new}", f"centres{new}_{r - 1}")
+    view(f"points{new}", f"""
+  SELECT id, "A_Z", "N_Z", "R_Z", q0, q1, q2,
+         CASE WHEN id IN (SELECT id FROM member{new}, centres{new}_{rounds} WHERE {_distance('b')} < {_distance('a')}) THEN {new} ELSE g END AS g
+  FROM {before}""", before, f"member{new}", f"centres{new}_{rounds}")
+
+
+_bisected(1)
+_bisected(2)
+view("clustered", """
+  SELECT id, "A_Z", "N_Z", "R_Z", chr(CAST(64 + o AS INT)) AS cluster FROM points2 p
+  JOIN (SELECT g, row_number() OVER (ORDER BY min(id)) AS o FROM points2 GROUP BY g) l ON p.g = l.g""", "points2")
+check("cluster_profiles", """SELECT id, round("A_Z", 6) AS "A_Z", round("N_Z", 6) AS "N_Z", round("R_Z", 6) AS "R_Z", cluster FROM clustered""", "clustered")
+check("cluster_profile_long", """
+SELECT id, cluster, cluster || chr(10) || count(*) OVER (PARTITION BY cluster, condition) AS cluster_count, condition, condition_order, round(z, 6) AS z
+FROM (SELECT id, cluster, unnest(['A', 'N', 'R']) AS condition, unnest([0, 1, 2]) AS condition_order, unnest(["A_Z", "N_Z", "R_Z"]) AS z FROM clustered)""", "clustered")
+
 # ------------------------------------------------------------ result summaries
 
 check("results_long", "SELECT id, comparison, round(p, 6) AS \"P\", round(fc, 6) AS \"FC\" FROM tested", "tested")

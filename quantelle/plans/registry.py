@@ -233,13 +233,14 @@ def _pca(spark, sf):
 
 @query("cluster_profiles")
 def _clusters(spark, sf):
-    return profiles.cluster_profiles(imputed(spark, sf), DESIGN.conditions, 3)
+    found = profiles.cluster_profiles(imputed(spark, sf), DESIGN.conditions, 3)
+    return rounded(found, *[f"{c}_Z" for c in DESIGN.conditions])
 
 
 @query("cluster_profile_long")
 def _cluster_long(spark, sf):
-    return profiles.cluster_profile_long(
-        profiles.cluster_profiles(imputed(spark, sf), DESIGN.conditions, 3), DESIGN.conditions)
+    found = profiles.cluster_profiles(imputed(spark, sf), DESIGN.conditions, 3)
+    return rounded(profiles.cluster_profile_long(found, DESIGN.conditions), "z")
 
 
 # -------------------------------------------------------- result summaries
@@ -511,8 +512,7 @@ def _reduce_labels(spark, sf):
 
 @query("percent_oxidized")
 def _percent(spark, sf):
-    state = labels.redox_state(tagged_sites(spark, sf))
-    return rounded(labels.percent_oxidized(state, ["s1", "s2"]), "s1", "s2")
+    return rounded(labels.percent_oxidized(tagged_sites(spark, sf), ["s1", "s2"]), "s1", "s2")
 
 
 @query("change_ox")
