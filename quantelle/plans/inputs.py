@@ -145,6 +145,23 @@ def labelled_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
         "scan": F.expr("scan div 10")})
 
 
+def labelled_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The competing labelled peptides with one abundance per sample of the design."""
+    rows = labelled_peptides(spark, sf_dir)
+    for j, sample in enumerate(DESIGN.names):
+        factor = F.when((F.col("scan") % 4 == 0) & (F.lit(j // 4) == 1), 8).otherwise(1)
+        value = F.col("s1") * factor * (10 + (3 * F.col("scan") + 7 * j) % 13)
+        rows = rows.withColumn(sample, F.when((F.col("scan") + j) % 5 == 0, 0.0).otherwise(value))
+    return rows.drop("s1", "s2")
+
+
+def two_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long abundances of two experiments ``x`` and ``y`` with the same ids."""
+    rows = quant(spark, sf_dir)
+    other = F.when(F.col("condition") == "R", F.col("abundance")).otherwise(F.col("abundance") * 3)
+    return rows.withColumn("experiment", F.lit("x")).unionByName(rows.withColumns({"experiment": F.lit("y"), "abundance": other}))
+
+
 def peaks_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Protein table whose score and modification names clash with those of the peptides."""
     s = F.col("s_suppkey")

@@ -504,32 +504,39 @@ def _distance(centre: str) -> str:
     return f"({d[0]} * {d[0]} + {d[1]} * {d[1]} + {d[2]} * {d[2]})"
 
 
-def _bisected(new: int, rounds: int = 8) -> None:
-    """``points<new>``: the largest cluster of the points before, split."""
-    before = f"points{new - 1}"
-    view(f"member{new}", f"SELECT * FROM {before} WHERE g = (SELECT g FROM {before} GROUP BY g ORDER BY count(*) DESC, g LIMIT 1)", before)
-    view(f"middle{new}", "SELECT " + ", ".join(f"cast(sum(q{i}) AS DOUBLE) / count(*) AS m{i}" for i in range(3)) + f" FROM member{new}", f"member{new}")
-    view(f"first{new}", f"SELECT {', '.join(f'cast(q{i} AS DOUBLE) AS a{i}' for i in range(3))} FROM member{new}, middle{new} ORDER BY {_distance('m')} DESC, id LIMIT 1",
-         f"member{new}", f"middle{new}")
-    view(f"centres{new}_0", f"SELECT a0, a1, a2, {', '.join(f'cast(q{i} AS DOUBLE) AS b{i}' for i in range(3))} FROM member{new}, first{new} ORDER BY {_distance('a')} DESC, id LIMIT 1",
-         f"member{new}", f"first{new}")
+def _bisected(new: int, rounds: int = 8, of: str = "") -> None:
+    """``points<new>``: the largest cluster of the points before, split; ``of`` prefixes all names."""
+    before = f"{of}points{new - 1}"
+    view(f"{of}member{new}", f"SELECT * FROM {before} WHERE g = (SELECT g FROM {before} GROUP BY g ORDER BY count(*) DESC, g LIMIT 1)", before)
+    view(f"{of}middle{new}", "SELECT " + ", ".join(f"cast(sum(q{i}) AS DOUBLE) / count(*) AS m{i}" for i in range(3)) + f" FROM {of}member{new}", f"{of}member{new}")
+    view(f"{of}first{new}", f"SELECT {', '.join(f'cast(q{i} AS DOUBLE) AS a{i}' for i in range(3))} FROM {of}member{new}, {of}middle{new} ORDER BY {_distance('m')} DESC, id LIMIT 1",
+         f"{of}member{new}", f"{of}middle{new}")
+    view(f"{of}centres{new}_0", f"SELECT a0, a1, a2, {', '.join(f'cast(q{i} AS DOUBLE) AS b{i}' for i in range(3))} FROM {of}member{new}, {of}first{new} ORDER BY {_distance('a')} DESC, id LIMIT 1",
+         f"{of}member{new}", f"{of}first{new}")
     for r in range(1, rounds + 1):
         means = ", ".join(f"coalesce(cast(sum(q{i}) FILTER (WHERE {'' if side == 'b' else 'NOT '}second) AS DOUBLE) / nullif(count(*) FILTER (WHERE {'' if side == 'b' else 'NOT '}second), 0), any_value({side}{i})) AS {side}{i}"
                           for side in "ab" for i in range(3))
-        view(f"centres{new}_{r}", f"SELECT {means} FROM (SELECT *, {_distance('b')} < {_distance('a')} AS second FROM member{new}, centres{new}_{r - 1})",
-             f"member{new}", f"centres{new}_{r - 1}")
-    view(f"points{new}", f"""
+        view(f"{of}centres{new}_{r}", f"SELECT {means} FROM (SELECT *, {_distance('b')} < {_distance('a')} AS second FROM {of}member{new}, {of}centres{new}_{r - 1})",
+             f"{of}member{new}", f"{of}centres{new}_{r - 1}")
+    view(f"{of}points{new}", f"""
   SELECT id, "A_Z", "N_Z", "R_Z", q0, q1, q2,
-         CASE WHEN id IN (SELECT id FROM member{new}, centres{new}_{rounds} WHERE {_distance('b')} < {_distance('a')}) THEN {new} ELSE g END AS g
-  FROM {before}""", before, f"member{new}", f"centres{new}_{rounds}")
+         CASE WHEN id IN (SELECT id FROM {of}member{new}, {of}centres{new}_{rounds} WHERE {_distance('b')} < {_distance('a')}) THEN {new} ELSE g END AS g
+  FROM {before}""", before, f"{of}member{new}", f"{of}centres{new}_{rounds}")
 
 
 _bisected(1)
 _bisected(2)
-view("clustered", """
+LETTERED = """
   SELECT id, "A_Z", "N_Z", "R_Z", chr(CAST(64 + o AS INT)) AS cluster FROM points2 p
-  JOIN (SELECT g, row_number() OVER (ORDER BY min(id)) AS o FROM points2 GROUP BY g) l ON p.g = l.g""", "points2")
+  JOIN (SELECT g, row_number() OVER (ORDER BY min(id)) AS o FROM points2 GROUP BY g) l ON p.g = l.g"""
+view("clustered", LETTERED, "points2")
+view("differing_points0", "SELECT * FROM points0 WHERE id IN (SELECT id FROM variance_adjusted WHERE q < 0.05)", "points0", "variance_adjusted")
+_bisected(1, of="differing_")
+_bisected(2, of="differing_")
+view("differing_clustered", LETTERED.replace("points2", "differing_points2"), "differing_points2")
 check("cluster_profiles", """SELECT id, round("A_Z", 6) AS "A_Z", round("N_Z", 6) AS "N_Z", round("R_Z", 6) AS "R_Z", cluster FROM clustered""", "clustered")
+check("clustered_analysis", """SELECT id, round("A_Z", 6) AS "A_Z", round("N_Z", 6) AS "N_Z", round("R_Z", 6) AS "R_Z", cluster
+FROM differing_clustered""", "differing_clustered")
 check("cluster_profile_long", """
 SELECT id, cluster, cluster || chr(10) || count(*) OVER (PARTITION BY cluster, condition) AS cluster_count, condition, condition_order, round(z, 6) AS z
 FROM (SELECT id, cluster, unnest(['A', 'N', 'R']) AS condition, unnest([0, 1, 2]) AS condition_order, unnest(["A_Z", "N_Z", "R_Z"]) AS z FROM clustered)""", "clustered")
@@ -751,6 +758,45 @@ FROM site_adjusted t LEFT JOIN (
   SELECT id, string_agg(condition, '-' ORDER BY condition) AS missing
   FROM (SELECT id, condition FROM site_quant GROUP BY id, condition HAVING sum(abundance) = 0) GROUP BY id) m ON m.id = t.id
 LEFT JOIN annotation a ON a.entry = split_part(split_part(t.id, '--', 1), '|', 2)""", "site_adjusted", "site_quant", "annotation")
+LABEL_CELLS = ", ".join(f"""sum(CASE WHEN (scan + {j}) % 5 = 0 THEN 0.0 ELSE
+    s1 * CASE WHEN scan % 4 = 0 THEN {8 if j // 4 == 1 else 1} ELSE 1 END * (10 + (3 * scan + {7 * j}) % 13) END) AS "{s}\"""" for j, s in enumerate(SAMPLES))
+SHARES = ", ".join(f"""coalesce(sum(CASE WHEN h_or_l = 2 THEN "{s}" END) / nullif(sum("{s}"), 0), 0) AS "{s}\"""" for s in SAMPLES)
+view("share_sums", f"""
+  SELECT concat(identifier, '-H') AS id, {SHARES} FROM (
+    SELECT label_identifier, any_value(identifier) AS identifier, any_value(h_or_l) AS h_or_l, any_value(redox_state) AS redox_state, {LABEL_CELLS}
+    FROM best_stated GROUP BY label_identifier HAVING count(lgp) > 0)
+  WHERE redox_state = 2 GROUP BY identifier""", "best_stated")
+view("share_quant", " UNION ALL ".join(
+    f"""SELECT id, '{s[0]}' AS condition, {s[2]} AS replicate, "{s}" AS abundance FROM share_sums""" for s in SAMPLES), "share_sums")
+view("share_logged", _clean("share_quant", 2), "share_quant")  # shares are taken as they are
+for derived, source in (("within", "logged"), ("imputed", "within")):
+    view(f"share_{derived}", VIEWS[derived][1].replace(source, f"share_{source}"), f"share_{source}")
+view("share_moments", _moments("share_imputed"), "share_imputed")
+view("share_tested", _tests("share_moments"), "share_moments", "contrast")
+view("share_adjusted", _adjusted("share_tested", "comparison"), "share_tested")
+check("occupancy_workflow", """
+SELECT id AS identifier, comparison, round(fc, 5) AS change_ox, round(p, 5) AS p_value, round(q, 5) AS fdr FROM share_adjusted""", "share_adjusted")
+EXPERIMENT = "split_part(id, '/', 1)"
+view("both_quant", """
+  SELECT 'x/' || id AS id, condition, replicate, abundance FROM quant UNION ALL
+  SELECT 'y/' || id, condition, replicate, CASE WHEN condition = 'R' THEN abundance ELSE abundance * 3 END FROM quant""", "quant")
+view("both_cleaned", _clean("both_quant", 3), "both_quant")
+view("both_logged", VIEWS["logged"][1].replace("cleaned", "both_cleaned"), "both_cleaned")
+view("both_within", VIEWS["within"][1].replace("logged", "both_logged"), "both_logged")
+view("both_imputed", f"""
+  SELECT w.id, w.condition, w.replicate, CASE WHEN w.abundance <> 0 THEN w.abundance ELSE l.level END AS abundance
+  FROM both_within w JOIN (
+    SELECT {EXPERIMENT} AS e, condition, quantile_cont(CASE WHEN abundance <> 0 THEN abundance END, 0.25) AS level
+    FROM both_within GROUP BY 1, 2) l ON w.condition = l.condition AND split_part(w.id, '/', 1) = l.e""", "both_within")
+view("both_moments", _moments("both_imputed"), "both_imputed")
+view("both_tested", _tests("both_moments"), "both_moments", "contrast")
+view("both_adjusted", _adjusted("both_tested", f"comparison, {EXPERIMENT}"), "both_tested")
+check("analysis_by_experiment", f"""
+SELECT split_part(t.id, '/', 1) AS experiment, split_part(t.id, '/', 2) AS id, comparison, round(fc, 5) AS fc, round(p, 5) AS p_value,
+       round(q, 5) AS fdr, round({EXTREME.format('fc').replace('(fc)', '(fc) OVER (PARTITION BY t.id)')}, 5) AS fc_max, missing
+FROM both_adjusted t LEFT JOIN (
+  SELECT id, string_agg(condition, '-' ORDER BY condition) AS missing
+  FROM (SELECT id, condition FROM both_quant GROUP BY id, condition HAVING sum(abundance) = 0) GROUP BY id) m ON m.id = t.id""", "both_adjusted", "both_quant")
 check("phospho_workflow", _reduced(_identified("best", "best_phospho"), "identifier"), "best", "best_phospho")
 check("redox_workflow", _reduced(_identified("best", "best_redox"), "identifier"), "best", "best_redox")
 

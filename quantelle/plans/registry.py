@@ -655,6 +655,32 @@ def _phospho_analysis(spark, sf):
                    "fc", "p_value", "fdr", digits=5)
 
 
+@query("occupancy_workflow")
+def _occupancy_workflow(spark, sf):
+    """Labelled peptides -> best of each scan, sites, redox state, percent oxidised, change in oxidation."""
+    best_ = workflows.labelled_candidates(inputs.labelled_samples(spark, sf), inputs.peaks_proteins(spark, sf))
+    sites_ = workflows.labelled_sites(best_, inputs.sequences(spark, sf), DESIGN.names, order=["scan"])
+    result = workflows.occupancy_analysis(sites_, DESIGN.names, DESIGN, CONTRASTS, impute="center")
+    return rounded(result.tests.select("identifier", "comparison", F.col("fc").alias("change_ox"), "p_value", "fdr"),
+                   "change_ox", "p_value", "fdr", digits=5)
+
+
+@query("clustered_analysis")
+def _clustered_analysis(spark, sf):
+    """The profiles of the ids that differ between conditions, in three clusters."""
+    result = workflows.analyze(inputs.quant(spark, sf), DESIGN, CONTRASTS, impute="center", clusters=3)
+    return rounded(result.clusters, *[f"{c}_Z" for c in DESIGN.conditions])
+
+
+@query("analysis_by_experiment")
+def _analysis_by_experiment(spark, sf):
+    """Two experiments in one table: every step keeps them apart."""
+    result = workflows.analyze(inputs.two_experiments(spark, sf), DESIGN, CONTRASTS, impute="center", by=["experiment"])
+    told = process.join_results(result.tests, result.extremes, ["experiment", "id"])
+    return rounded(told.select("experiment", "id", "comparison", "fc", "p_value", "fdr", "fc_max", "missing"),
+                   "fc", "p_value", "fdr", "fc_max", digits=5)
+
+
 @query("peaks_reduce_features")
 def _peaks_reduce_features(spark, sf):
     return _labelled_candidates(spark, sf).select("scan", "ordinal", "peptide", "ptm", "lgp", "accession",
