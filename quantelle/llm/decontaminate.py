@@ -257,7 +257,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
 
         def look(batch: pa.RecordBatch, index=index) -> Iterator[pa.RecordBatch]:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            hits = [(keys[low + t], *rest) for low, high in slices(texts, 1_000_000) for t, *rest in search(index.value, texts[low:high], threshold, overlap)]
+            hits = [(keys[low + t], *rest) for low, high in slices(texts, 300_000) for t, *rest in search(index.value, texts[low:high], threshold, overlap)]
             kinds = [pa.int64()] * 4 + [pa.float64()] * 3
             columns = zip(*hits) if hits else [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=[c.split()[0] for c in HIT.split(", ")])

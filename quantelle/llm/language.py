@@ -88,7 +88,7 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", key: str
         langs = batch.column("lang").to_pylist()
         for name in sorted(set(langs)):
             mine = [t for t, x in zip(texts, langs) if x == name and t]
-            for low, high in slices(mine):
+            for low, high in slices(mine, 1_000_000):
                 data, starts = _joined(mine[low:high])
                 found, times = np.unique(_strings(data)[_own(starts, len(data))], return_counts=True)
                 yield pa.RecordBatch.from_pydict({"lang": [name] * len(found), "string": pa.array(found, pa.int64()), "n": pa.array(times, pa.int64())})
@@ -159,7 +159,7 @@ def code_lengths(model: Model, texts: list[str]) -> np.ndarray:
     """Bits of every text in every language, ``len(texts)`` by languages."""
     out = np.zeros((len(texts), len(model.languages)))
     full = [i for i, t in enumerate(texts) if t]
-    for low, high in slices([texts[i] for i in full], 1_000_000):
+    for low, high in slices([texts[i] for i in full], 200_000):  # some 20 MB of arrays
         part = full[low:high]
         data, starts = _joined([texts[i] for i in part])
         cost = byte_costs(model, _strings(data))
@@ -204,7 +204,7 @@ def familiar(text: Column, model: Broadcast, usual: dict[str, float], factor: fl
         known: Model = model.value
         limit = np.array([factor * usual.get(x, np.inf) for x in known.languages])
         out = np.zeros(len(texts), bool)
-        for low, high in slices_of(pc.coalesce(pc.utf8_length(texts), pa.scalar(0, pa.int32())).to_pylist(), 1_000_000):
+        for low, high in slices_of(pc.coalesce(pc.utf8_length(texts), pa.scalar(0, pa.int32())).to_pylist(), 200_000):
             some = texts[low:high].to_pylist()
             asked = [i for i, t in enumerate(some) if t and known.languages and _LETTER.search(t)]
             if asked:

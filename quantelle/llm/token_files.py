@@ -33,8 +33,8 @@ MANIFEST = "shard long, path string, width int, docs long, tokens long"
 #: Pre-tokens of byte-level vocabularies, a public pattern (fixed): contractions, letters, digits and
 #: other characters with the space before them, and white space.
 PRE_TOKEN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Bytes of keys and values that a cache holds before it is emptied.
-MAX_CACHE = 80_000_000
+#: Bytes that a worker's caches hold before they are emptied: a third for pieces, the rest for pre-tokens.
+CACHE_BYTES = 180_000_000
 
 
 class _Unsafe(Exception):
@@ -42,13 +42,14 @@ class _Unsafe(Exception):
 
 
 class _Cache(dict):
-    """Ids by text; emptied when it holds ``MAX_CACHE`` bytes."""
+    """Ids by text; emptied when it holds ``limit`` bytes."""
 
+    limit = CACHE_BYTES
     held = 0
 
     def put(self, text: str, ids: bytes) -> bytes:
-        self.held += len(text) + len(ids) + 150
-        if self.held > MAX_CACHE:
+        self.held += len(text) + len(ids) + 180
+        if self.held > self.limit:
             self.clear()
             self.held = 0
         self[text] = ids
@@ -66,7 +67,7 @@ class PieceEncoder(_Cache):
     another kind.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -81,6 +82,7 @@ class PieceEncoder(_Cache):
         self.plain = spec.get("normalizer") is None and step.get("type") == "ByteLevel" and bool(step.get("use_regex", True)) and not step.get("add_prefix_space")
         self.pre_tokens = regex.compile(PRE_TOKEN)
         self.known = _Cache()
+        self.limit, self.known.limit = cache_bytes // 3, cache_bytes - cache_bytes // 3
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -129,18 +131,19 @@ class PieceEncoder(_Cache):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+def encoder(path: str, cache_bytes: int) -> PieceEncoder:
+    return PieceEncoder(path, cache_bytes)
 
 
-def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end_id: int | None = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
+def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end_id: int | None = 0, key: str = "doc_id", text: str = "text",
+                      cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Encode whole texts, append ``end_id`` to each document and write shards in ascending
     ``key`` order (NULL first, equal keys by text); returns the manifest
     ``(shard, path, width, docs, tokens, base)``, also written beside the shards.
 
     Range partitions are sorted and streamed to files; a task holds one Arrow batch of
     texts. NULL texts are empty. ``base`` is the prefix sum over the manifest, one row per
-    shard. An empty table writes no shard.
+    shard. An empty table writes no shard. ``cache_bytes`` bounds a worker's caches.
     """
     ship(documents.sparkSession)
     rows = documents.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
@@ -154,7 +157,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end_id:
         first = next(waiting, None)
         if first is None:
             return
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, cache_bytes)
         end = b"" if end_id is None else np.array([end_id], encode.dtype).tobytes()
         lengths: list[int] = []
         keys: list[int | None] = []
