@@ -131,7 +131,7 @@ class PieceEncoder(_Cache):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, cache_bytes: int) -> PieceEncoder:
+def encoder(path: str, cache_bytes: int = CACHE_BYTES) -> PieceEncoder:
     return PieceEncoder(path, cache_bytes)
 
 
