@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import pin
 
 
 def attach_sequence(df: DataFrame, database: DataFrame, accession: str = "accession",
@@ -25,9 +26,17 @@ def attach_sequence(df: DataFrame, database: DataFrame, accession: str = "access
 
 def locate_peptides(df: DataFrame, database: DataFrame, accession: str = "accession",
                     sequence: str = "sequence", out: str = "start") -> DataFrame:
-    """1-based start of each peptide in its protein, NULL when it is not found."""
-    joined = attach_sequence(df, database, accession, "_protein")
-    return joined.withColumn(out, text.find(F.col("_protein"), F.col(sequence))).drop("_protein")
+    """1-based start of each peptide in its protein, NULL when it is not found.
+
+    Peptides are looked up once for each protein: the distinct (accession, peptide) pairs
+    meet the protein texts, and only the positions are joined back to the rows, which are
+    pinned. A text is shuffled once, however many rows refer to its protein.
+    """
+    rows = pin(df)
+    pairs = rows.select(accession, sequence).where(F.col(accession).isNotNull() & F.col(sequence).isNotNull()).distinct()
+    db = database.select(F.col("accession").alias(accession), F.col("sequence").alias("_protein"))
+    found = pairs.join(db, accession).select(accession, sequence, text.find(F.col("_protein"), F.col(sequence)).alias(out))
+    return rows.join(found, [accession, sequence], "left").select(*[F.col(f"`{c}`") for c in df.columns], out)
 
 
 def _bracket_position(modification: Column) -> Column:

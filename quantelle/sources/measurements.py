@@ -152,9 +152,16 @@ def read_processed(spark: SparkSession, path: str, samples: Sequence[int] | None
 
 def write_table(df: DataFrame, path: str, format: str = "parquet", by: Sequence[str] = (),
                 mode: str = "errorifexists") -> None:
-    """Parquet or CSV sink, optionally partitioned by experiment keys."""
+    """Parquet or CSV sink, optionally partitioned by experiment keys.
+
+    With keys, rows are rebalanced by them first: adaptive execution puts small keys
+    together and splits large ones at the advisory partition size, so the number of files
+    follows the bytes and the keys, not the tasks that made the rows.
+    """
     if format not in ("parquet", "csv"):
         raise ValueError(f"unknown format {format!r}")
+    if by:
+        df = df.hint("rebalance", *[F.col(f"`{k}`") for k in by])
     writer = df.write.mode(mode)
     if by:
         writer = writer.partitionBy(*by)

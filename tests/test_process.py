@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from helpers import physical, rows
+from helpers import rows
 from quantelle.functions import text
 from quantelle.operators import annotate, labels, process, sites, summaries
 
@@ -142,3 +142,17 @@ def test_counts_and_truncation(spark):
     df = spark.createDataFrame([("a" * 30,)] * 3 + [("b",)] + [(None,)], "v string")
     got = summaries.count_terms(df, "v", 1).collect()
     assert [(r.n, r.freq, r.term) for r in got] == [(3, 0.75, "a" * 22 + "...")]
+
+
+def test_protein_texts_do_not_reach_the_rows(spark):
+    """Only positions are joined to peptide rows, of which equal ones are looked up once."""
+    df = spark.createDataFrame([(i, "P1" if i % 2 else None, "AC" if i % 3 else "GG") for i in range(60)], "feature int, accession string, sequence string")
+    db = spark.createDataFrame([("P1", "MKACAC"), ("P2", "AC")], "accession string, sequence string")
+    found = sites.locate_peptides(df, db)
+    assert {(r.accession, r.sequence, r.start) for r in found.collect()} == {("P1", "AC", 3), ("P1", "GG", None), (None, "AC", None), (None, "GG", None)}
+    assert found.count() == 60 and found.columns == [*df.columns, "start"]
+    plan = found._jdf.queryExecution().optimizedPlan()
+    while "Join" not in plan.nodeName():
+        plan = plan.children().apply(0)
+    sides = [plan.children().apply(i).output().mkString(",") for i in (0, 1)]
+    assert not any("_protein" in s for s in sides) and "start" in sides[1]

@@ -135,3 +135,18 @@ def test_only_needed_columns_are_scanned_and_no_row_is_cut(spark):
     assert "l_linenumber,4)" not in plan  # every line item is read
     scan = registry.QUERIES["select_abundance"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "l_suppkey" not in scan and "l_tax" not in scan
+
+
+def test_files_follow_keys_and_bytes(spark, tmp_path):
+    df = spark.range(0, 30_000, 1, 40).select((F.col("id") % 3).alias("experiment"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    sources.write_table(df, str(tmp_path / "small"), by=["experiment"])
+    files = [f for f in (tmp_path / "small").rglob("part-*")]
+    assert len(files) == 3
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300k")
+    try:
+        sources.write_table(df, str(tmp_path / "large"), by=["experiment"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert 6 <= len([f for f in (tmp_path / "large").rglob("part-*")]) <= 40
+    assert spark.read.parquet(str(tmp_path / "large")).count() == 30_000
