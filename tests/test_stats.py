@@ -171,3 +171,36 @@ def test_spiked_ids_are_recovered(spark):
     tested = stats.calculate_ttest(long_table(spark, table), [Contrast("A", "B")])
     hits = [r.id for r in tested.where("fdr < 0.05 and abs(fc) >= 1").collect()]
     assert sum(h.startswith("P_") for h in hits) == 20 and sum(h.startswith("N_") for h in hits) == 0
+
+
+def test_samples_with_gaps_are_compared_over_common_ids(spark):
+    rng = np.random.default_rng(12)
+    values = rng.normal(size=(200, len(DESIGN.names))) * 3 + 1e6
+    values[:, 1] += values[:, 0] - 1e6
+    holes = rng.uniform(size=values.shape) < 0.2
+    holes[:, -1] = True  # a sample without values
+    rows = [(i, s.condition, s.replicate, None if holes[i, j] else float(values[i, j])) for i in range(200) for j, s in enumerate(DESIGN.samples)]
+    df = spark.createDataFrame(rows, "id int, condition string, replicate int, abundance double").repartition(7)
+    moments = profiles.sample_moments(df, DESIGN)
+    for i in range(3):
+        for j in range(3):
+            both = ~holes[:, i] & ~holes[:, j]
+            assert moments.n[i, j] == both.sum()
+            assert moments.correlation[i, j] == pytest.approx(np.corrcoef(values[both, i], values[both, j])[0, 1], abs=1e-9)
+            assert moments.covariance[i, j] == pytest.approx(np.cov(values[both, i], values[both, j])[0, 1], rel=1e-8)
+    told = {(r.sample1, r.sample2): r.r for r in profiles.sample_correlation(df, DESIGN, moments=moments).collect()}
+    assert told[DESIGN.names[0], DESIGN.names[-1]] is None and told[DESIGN.names[0], DESIGN.names[0]] == pytest.approx(1.0)
+
+
+def test_clusters_do_not_depend_on_placement(spark):
+    rng = np.random.default_rng(2)
+    shapes = np.array([[0, 5, 9], [9, 4, 0], [5, 0, 5]])
+    rows = [(f"p{i:03}", c, r, float(shapes[i % 3][j] + rng.normal() * 0.3)) for i in range(90) for j, c in enumerate("ANR") for r in range(1, 5)]
+    rows += [("flat", c, 1, 1.0) for c in "ANR"]
+    df = spark.createDataFrame(rows, "id string, condition string, replicate int, abundance double")
+    found = [{r.id: r.cluster for r in profiles.cluster_profiles(df.repartition(n), ["A", "N", "R"], 3).collect()} for n in (1, 6)]
+    assert found[0] == found[1] and "flat" not in found[0]
+    assert all(found[0][f"p{i:03}"] == found[0][f"p{i % 3:03}"] for i in range(90)) and len(set(found[0].values())) == 3
+    few = profiles.cluster_profiles(df.where("id IN ('p000', 'p001')"), ["A", "N", "R"], 5)
+    assert sorted(r.cluster for r in few.collect()) == ["A", "B"]
+    assert profiles.cluster_profiles(df.where("id = 'none'"), ["A", "N", "R"], 3).collect() == []
