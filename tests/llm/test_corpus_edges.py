@@ -65,7 +65,7 @@ def test_deep_crowds_get_fresh_tokens(spark, docs, monkeypatch):
         return spark.createDataFrame([], near_dup.MEMBER), spark.createDataFrame([], "a long, b long"), deep
 
     monkeypatch.setattr(near_dup, "grow_trees", grow)
-    signed = near_dup.signatures(docs).where("k is not null and cls is not null").orderBy("k").dropDuplicates(["cls"]).localCheckpoint()
+    signed = near_dup.signatures(docs).where("k is not null and cls is not null").orderBy("k").dropDuplicates(["cls"]).checkpoint()
     near_dup.grow_rounds(signed, docs, "doc_id", "text")
     # 8 levels need two rounds, 20 levels three, 6 levels one
     assert [sorted(k for k in g if k in levels) for g in grown] == [[1, 5, 7], [1, 5], [1]]
