@@ -9,65 +9,38 @@ ids before it.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import filesystem, in_arrow, publish, ship, slices_of, stash
+from .common import filesystem, in_arrow, publish, ship, stash
 
 MANIFEST = "shard long, path string, width int, docs long, tokens long"
-
-
-#: Pre-tokens of byte-level vocabularies, a public pattern (fixed): contractions, letters, digits and
-#: other characters with the space before them, and white space.
-PRE_TOKEN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Bytes that a worker's caches hold before they are emptied: a third for pieces, the rest for pre-tokens.
-CACHE_BYTES = 180_000_000
+MAX_PIECES = 600_000
 
 
 class _Unsafe(Exception):
     """A piece whose neighbours could change its tokens."""
 
 
-class _Cache(dict):
-    """Ids by text; emptied when it holds ``limit`` bytes."""
-
-    limit = CACHE_BYTES
-    held = 0
-
-    def put(self, text: str, ids: bytes) -> bytes:
-        self.held += len(text) + len(ids) + 180
-        if self.held > self.limit:
-            self.clear()
-            self.held = 0
-        self[text] = ids
-        return ids
-
-
-class PieceEncoder(_Cache):
-    """Ids of texts by a byte-level tokenizer, each distinct pre-token encoded once.
+class PieceEncoder(dict):
+    """Ids of texts by a byte-level tokenizer, each distinct piece encoded once.
 
-    A single space between two characters that are no white space always ends a pre-token
-    and belongs to the next one. A text is cut there, and this mapping holds the ids of the
-    pieces, without their spaces. A piece that is not known is cut into pre-tokens, of which
-    only unknown ones go to the library, each alone. A text with special strings goes to the
-    library whole, as does every text where the tokenizer has a normaliser or pre-tokens of
-    another kind.
+    A single space between two characters that are no white space always ends a
+    pre-token, so the library may encode the piece from such a space to the next alone.
+    This mapping holds ids by piece, without its space, and forgets all of them when it
+    has ``MAX_PIECES``. A text with special strings goes to the library whole.
     """
 
-    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -76,74 +49,56 @@ class PieceEncoder(_Cache):
         self.special = sorted(t.content for t in added.values())
         largest = max([self.library.get_vocab_size(with_added_tokens=True) - 1, *added])
         self.dtype = np.dtype("<u2" if largest < 2**16 else "<u4")
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        step = spec.get("pre_tokenizer") or {}
-        self.plain = spec.get("normalizer") is None and step.get("type") == "ByteLevel" and bool(step.get("use_regex", True)) and not step.get("add_prefix_space")
-        self.pre_tokens = regex.compile(PRE_TOKEN)
-        self.known = _Cache()
-        self.limit, self.known.limit = cache_bytes // 3, cache_bytes - cache_bytes // 3
+        self.marks = {sign: self._ids(sign) for sign in ",.;:!?"}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def learn(self, texts: list[str]) -> None:
-        """Take in the pieces of some texts together: the library is much faster on many
-        pre-tokens at once."""
-        if not self.plain:
-            return
-        pieces = [p for p in set().union(*(t.split(" ") for t in texts)) - self.keys() if p and len(p) <= 100 and not p[0].isspace() and not p[-1].isspace()]
-        cut = list(map(self.pre_tokens.findall, map(" ".__add__, pieces)))
-        fresh = list(set().union(*cut) - self.known.keys())
-        code = "H" if self.dtype.itemsize == 2 else "I"
-        for a in range(0, len(fresh), 10_000):
-            part = fresh[a:a + 10_000]
-            for token, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self.known.put(token, array(code, found.ids).tobytes())
-        for piece, tokens in zip(pieces, cut):
-            self.put(piece, b"".join(map(self._pre_token, tokens)))
-
-    def _pre_token(self, token: str) -> bytes:
-        found = self.known.get(token)
-        return self.known.put(token, self._ids(token)) if found is None else found
-
-    def _whole(self, text: str) -> bytes:
-        return b"".join(map(self._pre_token, self.pre_tokens.findall(text)))
-
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Unsafe
-        ids = self._whole(" " + piece)
-        return self.put(piece, ids) if len(piece) <= 100 else ids
+        if len(piece) > 1 and piece[-1] in self.marks and piece[-2].isalpha():
+            found = self[piece[:-1]] + self.marks[piece[-1]]
+        else:
+            found = self._ids(" " + piece)
+        if len(self) >= MAX_PIECES:
+            self.clear()
+        self[piece] = found
+        return found
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of a whole text."""
-        if not self.plain or any(s in text for s in self.special):
+        if any(s in text for s in self.special):
             return self._ids(text)
         pieces = text.split(" ")
         try:
             if pieces[0][-1:].isspace():
                 raise _Unsafe
-            return self._whole(pieces[0]) + b"".join(map(self.__getitem__, pieces[1:]))
+            return self._ids(pieces[0]) + b"".join(map(self.__getitem__, pieces[1:]))
         except _Unsafe:
             pieces = re.split(r"(?<=\S) (?=\S)", text)
-        return self._whole(pieces[0]) + b"".join(self.get(p) or self._whole(" " + p) for p in pieces[1:])
+        return self._ids(pieces[0]) + b"".join(self.get(p) or self._inner(p) for p in pieces[1:])
+
+    def _inner(self, piece: str) -> bytes:
+        try:
+            return self[piece]
+        except _Unsafe:
+            return self._ids(" " + piece)
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, cache_bytes: int = CACHE_BYTES) -> PieceEncoder:
-    return PieceEncoder(path, cache_bytes)
+def encoder(path: str) -> PieceEncoder:
+    return PieceEncoder(path)
 
 
-def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end_id: int | None = 0, key: str = "doc_id", text: str = "text",
-                      cache_bytes: int = CACHE_BYTES) -> DataFrame:
+def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end_id: int | None = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode whole texts, append ``end_id`` to each document and write shards in ascending
     ``key`` order (NULL first, equal keys by text); returns the manifest
     ``(shard, path, width, docs, tokens, base)``, also written beside the shards.
 
     Range partitions are sorted and streamed to files; a task holds one Arrow batch of
     texts. NULL texts are empty. ``base`` is the prefix sum over the manifest, one row per
-    shard. An empty table writes no shard. ``cache_bytes`` bounds a worker's caches.
+    shard. An empty table writes no shard.
     """
     ship(documents.sparkSession)
     rows = documents.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
@@ -157,7 +112,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end_id:
         first = next(waiting, None)
         if first is None:
             return
-        encode = encoder(tokenizer, cache_bytes)
+        encode = encoder(tokenizer)
         end = b"" if end_id is None else np.array([end_id], encode.dtype).tobytes()
         lengths: list[int] = []
         keys: list[int | None] = []
@@ -166,14 +121,10 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end_id:
             batch = first
             while batch is not None:
                 keys.extend(batch.column(0).to_pylist())
-                texts = batch.column(1)
-                for a, b in slices_of(pc.utf8_length(texts).to_pylist()):
-                    some = texts[a:b].to_pylist()
-                    encode.learn(some)
-                    for text_ in some:
-                        ids = encode.encode(text_) + end
-                        lengths.append(len(ids) // encode.dtype.itemsize)
-                        out.write(ids)
+                for value in batch.column(1):
+                    ids = encode.encode(value.as_py()) + end
+                    lengths.append(len(ids) // encode.dtype.itemsize)
+                    out.write(ids)
                 batch = next(waiting, None)
 
         publish(path + ".bin", fill)
