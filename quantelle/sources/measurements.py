@@ -87,7 +87,7 @@ def read_measurements(spark: SparkSession, path: str | Sequence[str], skip: int
     line breaks; ``quoted_breaks=False`` is for files whose quotes do not pair.
     """
     records, names = headed_records(spark, path, skip, quoted_breaks=quoted_breaks, name=unique_names)
-    drop = F.forall("_cells", lambda c: F.coalesce(F.trim(c), F.lit("")) == "")
+    drop = F.trim(F.concat_ws("", "_cells")) == ""
     if is_banner is not None:
         positional = records.withColumns({f"c{i + 1}": F.get("_cells", F.lit(i)) for i in range(len(names))})
         records = positional.where(~F.coalesce(is_banner, F.lit(False))).select(*records.columns)

@@ -150,3 +150,26 @@ def test_files_follow_keys_and_bytes(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     assert 6 <= len([f for f in (tmp_path / "large").rglob("part-*")]) <= 40
     assert spark.read.parquet(str(tmp_path / "large")).count() == 30_000
+
+
+def test_records_are_parsed_once_and_lines_stay_where_they_are_read(spark, tmp_path):
+    write(tmp_path / "a.csv", 'x\ny\nid,d,s\np,"one\ntwo",1\n')
+    write(tmp_path / "b.csv", 'x\ny\nd,id,s\n"three, ""3""",q,2\n')
+    df = sources.read_measurements(spark, str(tmp_path), samples=[3])
+    assert rows(df, "ordinal") == [("p", "one\ntwo", 1.0, 3), ("q", 'three, "3"', 2.0, 8)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1 and plan.count("Join") == 2  # files' splits and headers, both broadcast
+    assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_headers_with_line_breaks_and_beyond_the_first_split(spark, tmp_path):
+    path = write(tmp_path / "a.csv", '"a banner\nof two lines"\n\nid,"d\ne",s\n' + "".join(f'p{i},"one\ntwo",{i}\n' for i in range(50)))
+    want = [(f"p{i}", "one\ntwo", float(i)) for i in range(50)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (before, "7"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            df = sources.read_measurements(spark, path, skip=3, samples=[3])
+            assert df.columns == ["id", "d\ne", "s", "ordinal"] and [tuple(r)[:3] for r in df.orderBy("ordinal").collect()] == want
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
