@@ -20,12 +20,14 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, slices, slices_of
+from .common import in_arrow, ship, slices, slices_of
 
 ORDER = 4  # bytes in the longest string: three of context and the coded one
 _START = b"\n" * (ORDER - 1)
 _LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
+#: Distinct strings that a task holds before it sends their counts on.
+MAX_HELD = 1_000_000
 
 
 @dataclass
@@ -67,35 +69,44 @@ def _own(starts: np.ndarray, total: int) -> np.ndarray:
     return own[ORDER - 1:]
 
 
-def train(labelled: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc_id", documents_per_language: int = 1500, seed: int = 11) -> Model:
-    """Count strings on a bounded sample of the labelled rows.
+def train(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Model:
+    """Count strings in all labelled rows.
 
-    Of each language about ``documents_per_language`` rows (all, where there are fewer),
-    chosen by a hash of their keys, are counted whole on the executors; the driver gets
-    one row per language and distinct string of four bytes of that sample. Rows with
-    NULL labels, texts or empty texts teach nothing; without any the model has no language.
+    Every text is counted whole on the executors, where a task adds up its strings before
+    they are shuffled; the driver gets one row per language and distinct string of four
+    bytes. Rows with NULL labels, texts or empty texts teach nothing; without any the
+    model has no language.
     """
-    rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), F.col(f"`{key}`").alias("k")).where("lang is not null")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return build([], {})
-    share = F.create_map(*[F.lit(x) for lang_, n in counts.items() for x in (lang_, documents_per_language / n)])
-    draw = F.pmod(F.xxhash64(F.lit(seed), "k"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(draw < F.element_at(share, F.col("lang"))).select("lang", "text")
-
-    def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        langs = batch.column("lang").to_pylist()
-        for name in sorted(set(langs)):
-            mine = [t for t, x in zip(texts, langs) if x == name and t]
-            for low, high in slices(mine, 1_000_000):
-                data, starts = _joined(mine[low:high])
-                found, times = np.unique(_strings(data)[_own(starts, len(data))], return_counts=True)
-                yield pa.RecordBatch.from_pydict({"lang": [name] * len(found), "string": pa.array(found, pa.int64()), "n": pa.array(times, pa.int64())})
+    rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")).where("lang is not null and text <> ''")
 
-    seen = in_arrow(sample, count, "lang string, string long, n long").groupBy("lang", "string").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(counts)
-    return build(languages, {x: (g["string"].to_numpy(np.uint32), g["n"].to_numpy(np.float64)) for x, g in seen.groupby("lang")})
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            for name, (found, times) in held.items():
+                yield pa.RecordBatch.from_pydict({"lang": [name] * len(found), "string": pa.array(found, pa.int64()), "n": pa.array(times, pa.int64())})
+            held.clear()
+
+        for batch in batches:
+            langs, sizes = batch.column("lang").to_pylist(), pc.utf8_length(batch.column("text")).to_pylist()
+            for low, high in slices_of(sizes, 1_000_000):
+                texts = batch.column("text").slice(low, high - low).to_pylist()
+                for name in sorted(set(langs[low:high])):
+                    data, starts = _joined([t for t, x in zip(texts, langs[low:high]) if x == name])
+                    found, times = np.unique(_strings(data)[_own(starts, len(data))], return_counts=True)
+                    if name in held:
+                        found, which = np.unique(np.concatenate((held[name][0], found)), return_inverse=True)
+                        sums = np.zeros(len(found), np.int64)
+                        np.add.at(sums, which, np.concatenate((held[name][1], times)))
+                        times = sums
+                    held[name] = found, times
+                if sum(len(f) for f, _ in held.values()) > MAX_HELD:
+                    yield from flushed()
+        yield from flushed()
+
+    ship(labelled.sparkSession)
+    seen = rows.mapInArrow(count, "lang string, string long, n long").groupBy("lang", "string").agg(F.sum("n").alias("n")).toPandas()
+    return build(sorted(seen["lang"].unique()), {x: (g["string"].to_numpy(np.uint32), g["n"].to_numpy(np.float64)) for x, g in seen.groupby("lang")})
 
 
 def build(languages: list[str], seen: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
@@ -168,27 +179,26 @@ def code_lengths(model: Model, texts: list[str]) -> np.ndarray:
     return out
 
 
-def bits_per_byte(labelled: DataFrame, model: Broadcast, lang: str = "lang", text: str = "text", key: str = "doc_id", documents_per_language: int = 300,
-                  seed: int = 12) -> dict[str, float]:
-    """Mean code length of a byte in the model's languages, on about so many labelled rows of
-    each, chosen by a hash of their keys and another seed than those that it learned from."""
-    rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), F.col(f"`{key}`").alias("k")).where("lang is not null and text <> ''")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts or not model.value.languages:
+def bits_per_byte(labelled: DataFrame, model: Broadcast, lang: str = "lang", text: str = "text") -> dict[str, float]:
+    """Mean code length of a byte of all labelled rows in their own language, one for each
+    language of the model. Rows are added up as whole thousandths of a bit, so that the means
+    do not depend on how rows are placed."""
+    rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")).where("lang is not null and text <> ''")
+    if not model.value.languages:
         return {}
-    share = F.create_map(*[F.lit(x) for lang_, n in counts.items() for x in (lang_, documents_per_language / n)])
-    draw = F.pmod(F.xxhash64(F.lit(seed), "k"), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
     def cost(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         known: Model = model.value
-        rows_ = [(x, t) for x, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()) if x in known.languages]
-        bits = code_lengths(known, [t for _, t in rows_])
-        own = [float(b[known.languages.index(x)]) for (x, _), b in zip(rows_, bits)]
-        yield pa.RecordBatch.from_pydict({"lang": pa.array([x for x, _ in rows_], pa.string()), "bits": pa.array(own, pa.float64()),
-                                          "n": pa.array([len(t.encode("utf-8", "surrogatepass")) for _, t in rows_], pa.int64())})
-
-    found = in_arrow(rows.where(draw < F.element_at(share, F.col("lang"))).select("lang", "text"), cost, "lang string, bits double, n long")
-    return {r.lang: r.bits / r.n for r in found.groupBy("lang").agg(F.sum("bits").alias("bits"), F.sum("n").alias("n")).collect()}
+        langs = batch.column("lang").to_pylist()
+        for low, high in slices_of(pc.utf8_length(batch.column("text")).to_pylist(), 200_000):
+            rows_ = [(x, t) for x, t in zip(langs[low:high], batch.column("text").slice(low, high - low).to_pylist()) if x in known.languages]
+            bits = code_lengths(known, [t for _, t in rows_])
+            own = [round(1000 * float(b[known.languages.index(x)])) for (x, _), b in zip(rows_, bits)]
+            yield pa.RecordBatch.from_pydict({"lang": pa.array([x for x, _ in rows_], pa.string()), "bits": pa.array(own, pa.int64()),
+                                              "n": pa.array([len(t.encode("utf-8", "surrogatepass")) for _, t in rows_], pa.int64())})
+
+    found = in_arrow(rows, cost, "lang string, bits long, n long")
+    return {r.lang: r.bits / 1000 / r.n for r in found.groupBy("lang").agg(F.sum("bits").alias("bits"), F.sum("n").alias("n")).collect()}
 
 
 def familiar(text: Column, model: Broadcast, usual: dict[str, float], factor: float = 1.5, slack: float = 64.0) -> Column:

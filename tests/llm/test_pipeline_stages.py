@@ -2,10 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from quantelle.llm import language
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, `a.b` int, copies int, mixed_id string, place int, _gone int, `copy` int"
@@ -48,3 +50,21 @@ def test_stages_keep_columns_and_decide(spark, docs):
 def test_texts_do_not_come_back_from_the_language_stage(spark, docs):
     plan = corpus_pipeline.identify_language(spark, docs.withColumn("text", F.col("text")), SF)._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+
+
+def test_model_and_thresholds_are_of_all_labelled_rows(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [f"{words(rng, 'etaoinshr')} {i}" for i in range(1700)]
+    rows = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(5)
+    starts = [("\n\n\n" + t).encode() for t in texts]
+    want = {}
+    for raw in starts:
+        for i in range(3, len(raw)):
+            want[raw[i - 3:i + 1]] = want.get(raw[i - 3:i + 1], 0) + 1
+    full = language.build(["en"], {"en": (np.array([int.from_bytes(k, "big") for k in want], np.uint32), np.array(list(want.values()), float))})
+    for held in (language.MAX_HELD, 10):  # counts sent on at the end, and early
+        monkeypatch.setattr(language, "MAX_HELD", held)
+        model = language.train(rows)
+        assert all((a == b).all() for a, b in zip(model.keys + model.bits, full.keys + full.bits))
+    usual = language.bits_per_byte(rows, spark.sparkContext.broadcast(full))
+    assert usual["en"] == pytest.approx(language.code_lengths(full, texts).sum() / sum(len(t.encode()) for t in texts), rel=1e-6)
