@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..session import pin
 from .keys import key_list, strict_sum
+from .process import reduce_identifiers
 from .sites import locate_peptides
 
 LIGHT, HEAVY = 1, 2
@@ -66,6 +67,29 @@ def redox_state(df: DataFrame, identifier: str = "identifier", by: Sequence[str]
     return df.join(means, keys, "left").withColumn("redox_state", F.when(both, F.lit(2)).otherwise(F.lit(1)))
 
 
+def reduce_labelled(df: DataFrame, samples: Sequence[str], score: str = "lgp", order: Sequence[str] = ("scan",),
+                    identifier: str = "identifier", by: Sequence[str] = ()) -> DataFrame:
+    """:func:`redox_state` of all rows, then one row per labelled site as by
+    :func:`process.reduce_identifiers`.
+
+    The rows are collapsed first, with their number: a site has two labels at most, so its
+    mean label state follows from two rows, and the wide rows are neither written nor
+    joined for it. Sites without a scored row count before they are left out.
+    """
+    keys = key_list(by, "label_identifier")
+    rows = reduce_identifiers(df, samples, "label_identifier", score, order, by, counted="_rows")
+    heavy = F.col("label_identifier").endswith("-H")  # also where the attributes are NULL
+    site = F.expr("left(label_identifier, length(label_identifier) - 2)")
+    state = rows.withColumns({"_site": site, "_state": F.when(heavy, F.lit(HEAVY)).otherwise(F.lit(LIGHT))})
+    per_site = Window.partitionBy(*by, "_site")
+    mean = F.sum(F.col("_state") * F.col("_rows")).over(per_site) / F.sum("_rows").over(per_site)
+    both = (F.col("mean_modification") > LIGHT) & (F.col("mean_modification") < HEAVY)
+    done = state.withColumn("mean_modification", mean).withColumn("redox_state", F.when(both, F.lit(2)).otherwise(F.lit(1))).where(F.col(score).isNotNull())
+    attributes = [c for c in df.columns if c not in samples and c not in keys]
+    return done.select(*keys, *[F.col(f"`{a}`") if a != identifier else F.col("_site").alias(identifier) for a in attributes], "mean_modification", "redox_state",
+                       *[F.col(f"`{s}`") for s in samples])
+
+
 def split_reduced_oxidized(df: DataFrame, single_state_only: bool = True) -> DataFrame:
     """Label rows ``Reduced`` (light) or ``Oxidized`` (heavy), by default only
     for sites seen in a single state."""

@@ -123,19 +123,22 @@ def reduce_features(df: DataFrame, feature: str = "feature", sequence: str = "se
 
 
 def reduce_identifiers(df: DataFrame, samples: Sequence[str], identifier: str = "identifier", score: str = "score",
-                       order: Sequence[str] = ("ordinal", "feature"), by: Sequence[str] = ()) -> DataFrame:
+                       order: Sequence[str] = ("ordinal", "feature"), by: Sequence[str] = (), counted: str | None = None) -> DataFrame:
     """One row per identifier: attributes of its best-scoring row (ties: first in
     ``order``), abundances summed over all its rows (NULL if any is NULL).
 
     A single partially aggregated exchange, so popular identifiers are combined
     before they are shuffled. Rows without a score count in the sums but cannot be the
-    best row; an identifier without any scored row is left out.
+    best row; an identifier without any scored row is left out. With ``counted``, a column
+    of this name holds the number of rows, and identifiers without a scored row stay, with
+    NULL attributes.
     """
     keys = key_list(by, identifier)
     attributes = [c for c in df.columns if c not in samples and c not in keys]
     rank = F.when(F.col(score).isNotNull(), F.struct(-F.col(score), *order))
     reduced = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*attributes), rank).alias("_best"), F.count(score).alias("_scored"),
-        *[strict_sum(F.col(f"`{s}`")).alias(s) for s in samples]).where("_scored > 0")
-    return reduced.select(*keys, *[F.col(f"_best.`{a}`").alias(a) for a in attributes],
-                          *[F.col(f"`{s}`") for s in samples])
+        F.min_by(F.struct(*attributes), rank).alias("_best"), F.count(score).alias("_scored"), F.count(F.lit(1)).alias("_rows"),
+        *[strict_sum(F.col(f"`{s}`")).alias(s) for s in samples])
+    kept = reduced if counted else reduced.where("_scored > 0")
+    return kept.select(*keys, *[F.col(f"_best.`{a}`").alias(a) for a in attributes],
+                       *[F.col(f"`{s}`") for s in samples], *([F.col("_rows").alias(counted)] if counted else []))

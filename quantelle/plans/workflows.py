@@ -132,7 +132,7 @@ def labelled_sites(peptides: DataFrame, database: DataFrame, samples: Sequence[s
     scored = labels.explode_site_scores(labels.add_bare_sequence(peptides))
     located, _ = sites.split_located(labels.locate_site(scored, database))
     tagged = labels.tag_label_state(located)
-    return process.reduce_identifiers(labels.redox_state(tagged), samples, "label_identifier", score, order)
+    return labels.reduce_labelled(tagged, samples, score, order)
 
 
 def occupancy_analysis(labelled: DataFrame, samples: Sequence[str], design: Design, contrasts: Sequence[Contrast],

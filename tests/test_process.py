@@ -156,3 +156,16 @@ def test_protein_texts_do_not_reach_the_rows(spark):
         plan = plan.children().apply(0)
     sides = [plan.children().apply(i).output().mkString(",") for i in (0, 1)]
     assert not any("_protein" in s for s in sides) and "start" in sides[1]
+
+
+def test_labelled_sites_as_by_state_and_reduction(spark):
+    df = spark.createDataFrame([
+        ("A--C1", "A--C1-H", 2, 5.0, 1, 1.0), ("A--C1", "A--C1-L", 1, None, 2, 2.0),  # light without a score: both states, one row
+        ("A--C2", "A--C2-H", 2, 3.0, 3, None), ("A--C2", "A--C2-H", 2, 4.0, 4, 1.0), ("A--C2", "A--C2-L", 1, 4.0, 5, 1.0), ("A--C2", "A--C2-L", 1, 4.0, 6, 3.0),
+        ("A--C3", "A--C3-L", 1, 1.0, 7, 4.0), ("A--C4", "A--C4-H", 2, None, 8, 4.0)],
+        "identifier string, label_identifier string, h_or_l int, lgp double, scan long, s1 double")
+    want = process.reduce_identifiers(labels.redox_state(df), ["s1"], "label_identifier", "lgp", ["scan"])
+    got = labels.reduce_labelled(df, ["s1"])
+    assert got.columns == want.columns and rows(got, "label_identifier") == rows(want, "label_identifier") and got.count() == 4
+    assert {r.label_identifier: r.redox_state for r in got.collect()}["A--C1-H"] == 2
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString() and "checkpoint" not in got._jdf.queryExecution().executedPlan().toString()
