@@ -14,7 +14,6 @@ from ..design import Design
 from ..functions.noise import gaussian
 from ..session import pin
 from .keys import key_list, null_safe_join
-from .process import keep_tested
 from .ranking import exact_quantiles
 
 
@@ -134,6 +133,6 @@ def missing_conditions(raw: DataFrame, design: Design, id: str = "id", by: Seque
 
 def add_missingness(tested: DataFrame, raw: DataFrame, design: Design, id: str = "id",
                     by: Sequence[str] = ()) -> DataFrame:
-    """Attach the list of completely unobserved conditions to tested ids."""
-    keys = key_list(by, id)
-    return tested.join(missing_conditions(keep_tested(raw, tested, keys), design, id, by), keys, "left")
+    """Attach the list of completely unobserved conditions to tested ids. The raw rows are
+    summed up before they meet the tested ids, so only one row per id is joined."""
+    return tested.join(missing_conditions(raw, design, id, by), key_list(by, id), "left")

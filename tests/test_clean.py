@@ -111,3 +111,13 @@ def test_analysis_runs_end_to_end(observed):
     assert result.tests.where("p_value between 0 and 1 and fdr between p_value and 1").count() == len(n)
     assert result.extremes.where("missing is not null").count() > 0
     assert 0 < result.clusters.count() <= len(n)
+
+
+def test_missingness_sums_raw_rows_before_the_join(spark):
+    design = Design.from_counts({"A": 2, "N": 2})
+    raw = spark.createDataFrame([(i, c, r, 0.0 if (i, c) in ((1, "A"), (3, "N"), (2, "A"), (2, "N")) else 5.0)
+                                 for i in range(4) for c in "AN" for r in (1, 2)], "id int, condition string, replicate int, abundance double")
+    tested = spark.createDataFrame([(0,), (1,), (2,), (9,)], "id int")
+    found = clean.add_missingness(tested, raw, design)
+    assert sorted(map(tuple, found.collect())) == [(0, None), (1, "A"), (2, "A-N"), (9, None)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
