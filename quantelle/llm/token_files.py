@@ -21,10 +21,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .bpe_count import byte_symbols
 from .common import filesystem, in_arrow, publish, ship, stash
 
 MANIFEST = "shard long, path string, width int, docs long, tokens long"
-MAX_PIECES = 600_000
+MAX_PIECES = 200_000
+MAX_MARKS = 10_000
+#: A word in Latin, Greek or Cyrillic letters is one pre-token, a run of ASCII punctuation behind it another.
+_WORD = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ʯΑ-ΡΣ-ώЀ-ҁҊ-ԯ]+)([!-/:-@\[-`{-~]*)")
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
 
 class _Unsafe(Exception):
@@ -34,56 +39,84 @@ class _Unsafe(Exception):
 class PieceEncoder(dict):
     """Ids of texts by a byte-level tokenizer, each distinct piece encoded once.
 
-    A single space between two characters that are no white space always ends a
-    pre-token, so the library may encode the piece from such a space to the next alone.
-    This mapping holds ids by piece, without its space, and forgets all of them when it
-    has ``MAX_PIECES``. A text with special strings goes to the library whole.
+    A pre-token has white space only at its start, so a text may be cut before a space or
+    line feed that follows another character, and the library may encode each piece alone.
+    This mapping holds ids by piece, a single space at its start left out; with
+    ``MAX_PIECES`` they become the ``older`` ones, which are forgotten when the next are
+    full. Words go to the library's model at once, other pieces through its pre-tokenizer.
+    A text with special strings, and every text of a tokenizer that normalises or splits
+    otherwise, goes to the library whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         added = self.library.get_added_tokens_decoder()
         self.special = sorted(t.content for t in added.values())
         largest = max([self.library.get_vocab_size(with_added_tokens=True) - 1, *added])
         self.dtype = np.dtype("<u2" if largest < 2**16 else "<u4")
-        self.marks = {sign: self._ids(sign) for sign in ",.;:!?"}
+        split, self.model = self.library.pre_tokenizer, self.library.model
+        self.by_piece = (self.library.normalizer is None and isinstance(self.model, models.BPE) and isinstance(split, pre_tokenizers.ByteLevel)
+                         and split.use_regex and not split.add_prefix_space)
+        self.symbols = byte_symbols()
+        self.space = self.symbols[ord(" ")]
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _mark(self, text: str) -> bytes:
+        if text not in self.marks:
+            if len(self.marks) >= MAX_MARKS:
+                self.marks.clear()
+            self.marks[text] = self._ids(text)
+        return self.marks[text]
+
+    def _word(self, word: str, before: str = "") -> bytes:
+        shown = before + (word if word.isascii() else "".join([self.symbols[b] for b in word.encode()]))
+        width = self.dtype.itemsize
+        return b"".join([t.id.to_bytes(width, "little") for t in self.model.tokenize(shown)])
+
     def __missing__(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
+        if not piece or piece[-1].isspace() or piece[0].isspace() and piece[0] not in " \n":
             raise _Unsafe
-        if len(piece) > 1 and piece[-1] in self.marks and piece[-2].isalpha():
-            found = self[piece[:-1]] + self.marks[piece[-1]]
-        else:
-            found = self._ids(" " + piece)
+        found = self.older.get(piece)
+        if found is None:
+            word = _WORD.fullmatch(piece)
+            if word is None:
+                found = self._ids(piece if piece[0].isspace() else " " + piece)
+            elif word[1]:
+                found = self._mark("\n") + self._word(word[2])
+            else:
+                found = (word[3] and self.get(word[2])) or self._word(word[2], self.space)
+            if word is not None and word[3]:
+                found += self._mark(word[3])
         if len(self) >= MAX_PIECES:
+            self.older = dict(self)
             self.clear()
         self[piece] = found
         return found
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of a whole text."""
-        if any(s in text for s in self.special):
+        if not self.by_piece or any(s in text for s in self.special):
             return self._ids(text)
-        pieces = text.split(" ")
+        pieces = text.replace("\n", " \n").split(" ")
         try:
             if pieces[0][-1:].isspace():
                 raise _Unsafe
             return self._ids(pieces[0]) + b"".join(map(self.__getitem__, pieces[1:]))
         except _Unsafe:
-            pieces = re.split(r"(?<=\S) (?=\S)", text)
-        return self._ids(pieces[0]) + b"".join(self.get(p) or self._inner(p) for p in pieces[1:])
+            pieces = _CUT.split(text)
+        return self._ids(pieces[0]) + b"".join(map(self._inner, pieces[1:]))
 
     def _inner(self, piece: str) -> bytes:
-        try:
-            return self[piece]
-        except _Unsafe:
-            return self._ids(" " + piece)
+        if piece[-1].isspace():
+            return self._ids(piece)
+        return self[piece[1:] if piece[0] == " " and not piece[1].isspace() else piece]
 
 
 @lru_cache(maxsize=2)
