@@ -18,8 +18,8 @@ from quantelle.llm import decontaminate, language, mixing, near_dup, token_files
 from quantelle.llm.common import checked, free_name, read_table, scratch, ship, stash, without
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Rows that go to a Python worker at once; texts are long, so fewer than Spark's default.
-BATCH_ROWS = "2000"
+#: Rows and bytes that go to a Python worker at once; texts are long, so fewer than Spark's defaults.
+BATCH_ROWS, BATCH_BYTES = "2000", "1m"
 
 
 def _as_given(df: DataFrame, docs: DataFrame) -> DataFrame:
@@ -28,6 +28,7 @@ def _as_given(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,16 @@ def test_model_and_thresholds_are_of_all_labelled_rows(spark, monkeypatch):
         assert all((a == b).all() for a, b in zip(model.keys + model.bits, full.keys + full.bits))
     usual = language.bits_per_byte(rows, spark.sparkContext.broadcast(full))
     assert usual["en"] == pytest.approx(language.code_lengths(full, texts).sum() / sum(len(t.encode()) for t in texts), rel=1e-6)
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    corpus_pipeline._small_batches(spark)
+    long = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    found = long.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in found) == 200 and max(r["bytes"] for r in found) < 1_500_000
