@@ -36,7 +36,8 @@ class Model:
 
     ``keys[k]`` holds the seen strings of ``k + 1`` bytes as sorted big-endian numbers,
     ``bits[k][:, l]`` the code length of their last byte after the others in language
-    ``l``, ``escapes[k][:, l]`` the cost of an escape in the string as a context.
+    ``l``, ``escapes[k][:, l]`` the cost of an escape in the string as a context (strings
+    of ``ORDER`` bytes are none).
     """
 
     languages: list[str]
@@ -105,8 +106,13 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Model:
         yield from flushed()
 
     ship(labelled.sparkSession)
-    seen = rows.mapInArrow(count, "lang string, string long, n long").groupBy("lang", "string").agg(F.sum("n").alias("n")).toPandas()
-    return build(sorted(seen["lang"].unique()), {x: (g["string"].to_numpy(np.uint32), g["n"].to_numpy(np.float64)) for x, g in seen.groupby("lang")})
+    counts = rows.mapInArrow(count, "lang string, string long, n long").groupBy("lang", "string").agg(F.sum("n").alias("n"))
+    table = counts.toArrow()  # arrays, as an object for each row and value takes the driver some 600 bytes a row
+    seen = {}
+    for name in pc.unique(table["lang"]).to_pylist():
+        own = table.filter(pc.equal(table["lang"], name))
+        seen[name] = own["string"].to_numpy().astype(np.uint32), own["n"].to_numpy().astype(np.float64)
+    return build(sorted(seen), seen)
 
 
 def build(languages: list[str], seen: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
@@ -115,11 +121,12 @@ def build(languages: list[str], seen: dict[str, tuple[np.ndarray, np.ndarray]])
     union = np.unique(np.concatenate([seen[x][0] for x in languages])) if languages else np.empty(0, np.uint32)
     # both what is coded and the contexts before it, some of which hold start bytes only
     keys = [np.unique(np.concatenate((union, union >> np.uint32(8))) & np.uint32(2**(8 * k) - 1)) for k in range(1, ORDER)] + [union]
-    bits = [np.empty((len(k), len(languages))) for k in keys]
-    escapes = [np.zeros((len(k), len(languages))) for k in keys]
+    bits = [np.empty((len(k), len(languages)), np.float32) for k in keys]
+    escapes = [np.zeros((len(k), len(languages)), np.float32) for k in keys[:-1]]
     root = np.full(len(languages), 8.0)
     for at, name in enumerate(languages):
         strings, times = seen[name]
+        below = np.empty(0)  # code lengths of the strings of one byte less
         for k in range(ORDER):
             size = len(keys[k])
             tail = strings & np.uint32(2**(8 * (k + 1)) - 1)
@@ -131,14 +138,15 @@ def build(languages: list[str], seen: dict[str, tuple[np.ndarray, np.ndarray]])
                 escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
                 own = -np.log2(n / (total[which] + kinds[which]))
             if k:  # where unseen: escape, then the same byte after a context without its first byte
-                back = bits[k - 1][np.searchsorted(keys[k - 1], keys[k] & np.uint32(2**(8 * k) - 1)), at]
+                back = below[np.searchsorted(keys[k - 1], keys[k] & np.uint32(2**(8 * k) - 1))]
                 place = np.searchsorted(keys[k - 1], groups)
                 known = (place < len(keys[k - 1])) & (keys[k - 1][np.minimum(place, len(keys[k - 1]) - 1)] == groups)
                 escapes[k - 1][place[known], at] = escape[known]
             else:
                 back, root[at] = 8.0, 8.0 + escape[0]
-            bits[k][:, at] = np.where(n > 0, own, escape[which] + back)
-    return Model(languages, keys, [b.astype(np.float32) for b in bits], [e.astype(np.float32) for e in escapes], root)
+            below = np.where(n > 0, own, escape[which] + back)
+            bits[k][:, at] = below
+    return Model(languages, keys, bits, escapes, root)
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
