@@ -110,6 +110,25 @@ def test_sentences_in_runs(spark, empty):
     assert line_dedup.repeated_units(empty, kind="sentence", min_words=1, run_words=40).count() == 0
 
 
+def test_occurrences_of_a_frequent_sentence_are_split(spark):
+    rows = [(i, f"Own words number {i % 3000}. Seen all over.", None) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = line_dedup.repeated_units(docs, kind="sentence", min_words=1)
+        got = sorted((r.doc_id, r.unit, r.first_doc) for r in found.collect())
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == sorted([(i, 0, i - 3000) for i in range(3000, 6000)] + [(i, 1, 0) for i in range(1, 6000)])
+    assert "skew=true" in plan.split("Initial Plan")[0]
+
+
 def test_contamination(spark, empty):
     item = "How many birds sat upon the old stone bridge that day? There were seventeen grey herons on it."
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "Tiny item.")], "item_id long, text string")
