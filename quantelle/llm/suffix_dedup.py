@@ -33,7 +33,7 @@ An empty table gives an empty result, and other columns play no part.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +84,17 @@ def _bounds(row: dict) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(row["sizes"], dtype=np.int64)))
 
 
+def bytes_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a block and where its texts begin and end."""
+    return np.frombuffer(row["data"], np.uint8), _bounds(row)
+
+
+def keys_at(row: dict, bounds: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """Keys of the texts that hold these places of a block; NULL is the largest."""
+    keys = np.array([_LAST if k is None else k for k in row["keys"]], np.int64)
+    return keys[np.searchsorted(bounds, where, "right") - 1]
+
+
 # ---------------------------------------------------------------------- anchors
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -162,16 +173,15 @@ def _firsts(*order: np.ndarray) -> np.ndarray:
     return change
 
 
-def _anchor_rows(length: int, parts: int):
+def _anchor_rows(length: int, parts: int, units: Callable[[dict], tuple[np.ndarray, np.ndarray]]):
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
-            data, bounds = np.frombuffer(row["data"], np.uint8), _bounds(row)
+            data, bounds = units(row)
             found = list(anchors(data, bounds, length))
             if not found:
                 continue
             gram, stretch, place = (np.concatenate(c) for c in zip(*found))
-            keys = np.array([_LAST if k is None else k for k in row["keys"]], np.int64)
-            key = keys[np.searchsorted(bounds, place >> 16, "right") - 1]
+            key = keys_at(row, bounds, place >> 16)
             order = np.lexsort((place, key, stretch, gram))
             gram, stretch, key, place = gram[order], stretch[order], key[order], place[order]
             again = ~_firsts(gram, stretch)
@@ -200,6 +210,19 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(_FOUND, block, place, np.arange(len(place)) < len(place) - len(compared))])
 
 
+def met(blocks: DataFrame, length: int, total: int, units: Callable[[dict], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """``(block, place, repeated)`` for runs of windows of ``length`` units that are repeats or to be compared."""
+    parts = total // PART_BYTES + 1
+    found = in_arrow(blocks.select("block", "keys", "sizes", "data"), _anchor_rows(length, parts, units), _ANCHOR)
+    return stash(found.groupBy("part").applyInArrow(_meet, _FOUND), "found")
+
+
+def placed(blocks: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Blocks with the list of the places among ``rows`` that lie in them."""
+    lists = rows.groupBy("block").agg(F.collect_list("place").alias("places"))
+    return blocks.join(lists, "block", how).select("block", "keys", "sizes", "data", "places")
+
+
 # ----------------------------------------------------------------- suffix array
 
 def _suffix_rows(length: int):
@@ -207,8 +230,7 @@ def _suffix_rows(length: int):
         for row in batch.to_pylist():
             data, bounds, place = row["data"], _bounds(row), np.sort(np.array(row["places"], np.int64))
             first, anchor, width = place >> 16, (place >> 8) & 255, place & 255
-            keys = np.array([_LAST if k is None else k for k in row["keys"]], np.int64)
-            key = keys[np.searchsorted(bounds, first, "right") - 1]
+            key = keys_at(row, bounds, first)
             for a in range(0, len(place), 20_000):
                 s = slice(a, a + 20_000)
                 cut = list(zip(first[s].tolist(), (first[s] + anchor[s]).tolist(), (first[s] + width[s] + length).tolist()))
@@ -364,15 +386,8 @@ def remove_repeats(documents: DataFrame, length: int = 100, key: str = "doc_id",
     ship(documents.sparkSession)
     total = documents.select(F.sum(F.octet_length(f"`{text}`"))).first()[0] or 0
     blocks = text_blocks(documents, key, text, total)
-    parts = total // PART_BYTES + 1
-    found = in_arrow(blocks.select("block", "keys", "sizes", "data"), _anchor_rows(length, parts), _ANCHOR)
-    found = stash(found.groupBy("part").applyInArrow(_meet, _FOUND), "found")
-
-    def placed(rows: DataFrame, how: str) -> DataFrame:
-        lists = rows.groupBy("block").agg(F.collect_list("place").alias("places"))
-        return blocks.join(lists, "block", how).select("block", "keys", "sizes", "data", "places")
-
-    suffixes = stash(in_arrow(placed(found.where("not repeated"), "inner"), _suffix_rows(length), _SUFFIX), "suffixes")
+    found = met(blocks, length, total, bytes_of)
+    suffixes = stash(in_arrow(placed(blocks, found.where("not repeated"), "inner"), _suffix_rows(length), _SUFFIX), "suffixes")
     cuts = splitters(suffixes, suffixes.count())
     dealt = in_arrow(suffixes, _dealt(cuts), _SUFFIX) if cuts else suffixes
     compared = stash(dealt.groupBy("bucket").applyInArrow(_compared(length, cuts), _REPEAT), "compared")
@@ -381,5 +396,5 @@ def remove_repeats(documents: DataFrame, length: int = 100, key: str = "doc_id",
     later = asked.join(earliest, "digest").where("_at > _first")
     repeats = (found.where("repeated").select("block", "place")
                .unionByName(compared.where("digest IS NULL").select("block", "place")).unionByName(later.select("block", "place")))
-    out = in_arrow(placed(repeats, "left"), _cuts(length), _CUT)
+    out = in_arrow(placed(blocks, repeats, "left"), _cuts(length), _CUT)
     return out.withColumnRenamed("key", key)
