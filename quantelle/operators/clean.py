@@ -84,16 +84,19 @@ def impute_within(df: DataFrame, mode: str = "draw", seed: int = 123, id: str =
 
 
 def impute_absent(df: DataFrame, mode: str = "draw", q: float = 0.25, seed: int = 123, id: str = "id",
-                  by: Sequence[str] = ()) -> DataFrame:
+                  by: Sequence[str] = (), pinned: bool = False) -> DataFrame:
     """Fill cells that are still missing (the id was not observed in that
-    condition at all) around the condition's ``q`` quantile of present values."""
+    condition at all) around the condition's ``q`` quantile of present values.
+
+    The quantiles are pinned, so the result can be read again at the cost of reading ``df``.
+    ``pinned`` says that ``df`` is a written table, whose values need no copy."""
     keys = key_list(by, id)
     seen = observed(F.col("abundance"))
-    level = exact_quantiles(df.withColumn("_seen", seen), "_seen", [*by, "condition"], {"_level": q})
+    level = pin(exact_quantiles(df.withColumn("_seen", seen), "_seen", [*by, "condition"], {"_level": q}, pinned=pinned))
     filled = null_safe_join(df, _per_condition(level, by), [*by, "condition"], "left")
     fill = F.col("_level")
     if mode == "draw":
-        filled = null_safe_join(filled, _per_condition(_spread(df, keys, by), by), [*by, "condition"], "left")
+        filled = null_safe_join(filled, _per_condition(pin(_spread(df, keys, by)), by), [*by, "condition"], "left")
         fill = fill + F.coalesce("_sd", F.lit(0.0)) * _noise(keys, seed + 1)
     elif mode != "center":
         raise ValueError(f"unknown mode {mode!r}")
@@ -108,7 +111,7 @@ def impute(df: DataFrame, mode: str = "draw", q: float = 0.25, seed: int = 123,
     The second step takes a quantile of the first one's output, so it reads that
     output three times: it is pinned rather than sorted and computed again.
     """
-    return impute_absent(pin(impute_within(df, mode, seed, id, by)), mode, q, seed, id, by)
+    return impute_absent(pin(impute_within(df, mode, seed, id, by)), mode, q, seed, id, by, pinned=True)
 
 
 def _spread(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:

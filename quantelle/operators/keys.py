@@ -34,8 +34,8 @@ def strict_sum(c: Column) -> Column:
     return F.when(F.count(c) == F.count(F.lit(1)), F.sum(c))
 
 
-def pinned_side(df: DataFrame) -> DataFrame:
+def pinned_side(df: DataFrame, limit: int | None = None) -> DataFrame:
     """A narrow join side, written once, and broadcast if it was counted to have at most
-    ``MAX_BROADCAST_ROWS`` rows; a larger one is joined by a shuffle."""
+    ``limit`` rows (``MAX_BROADCAST_ROWS``); a larger one is joined by a shuffle."""
     side = pin(df)
-    return F.broadcast(side) if side.count() <= MAX_BROADCAST_ROWS else side
+    return F.broadcast(side) if side.count() <= (MAX_BROADCAST_ROWS if limit is None else limit) else side

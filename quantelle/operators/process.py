@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .keys import key_list, strict_sum
+from .keys import key_list, pinned_side, strict_sum
 from .ranking import first_per_key
 
+#: Largest table of protein statistics that is broadcast: an accession and a few numbers a row.
+MAX_PROTEINS = 1_000_000
+
 
 # ---------------------------------------------------------------- row filters
 
@@ -86,6 +89,14 @@ def attach_proteins_inner(peptides: DataFrame, proteins: DataFrame, accession: s
     return peptides.join(kept, accession, "inner")
 
 
+def best_statistics(proteins: DataFrame, accession: str = "accession", peptides: str = "peptide_count",
+                    unique: str = "unique_peptides", confidence: str = "confidence_score") -> DataFrame:
+    """One row per accession, the one that :func:`reduce_features` would prefer of those that
+    candidates of the accession meet. Written once, and broadcast unless there are very many."""
+    order = [F.col(c).desc_nulls_last() for c in (unique, confidence, peptides)]
+    return pinned_side(first_per_key(proteins, [accession], order), MAX_PROTEINS)
+
+
 def join_results(df: DataFrame, other: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """LEFT JOIN a per-id result (statistics, clusters, missingness) onto a table."""
     return df.join(other, list(keys), "left")

@@ -79,7 +79,7 @@ def adjust_bh_small(df: DataFrame, p: str = "p_value", family: Sequence[str] = (
 
 
 def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Mapping[str, float],
-                    limit: int = 100_000, bins: int = 4096) -> DataFrame:
+                    limit: int = 100_000, bins: int = 4096, pinned: bool = False) -> DataFrame:
     """Exact linearly interpolated quantiles (R type 7) per group.
 
     ``probs`` maps an output column to a probability. Every quantile starts with the range
@@ -90,13 +90,15 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Map
     each, is ordered. Counts are combined before they are shuffled, so no group is ever
     merged or sorted as a whole, whatever its size and its ties.
 
-    Values are written once and read by every pass. NaN counts as the largest value.
+    Values are written once and read by every pass; with ``pinned``, the caller says that
+    ``df`` is little more than a written table, and it is read itself. NaN counts as the largest value.
     Groups without a value are left out; without groups there is one row.
     """
     groups = list(groups)
     names = list(probs)
     key = [*groups, "_i"]
-    values = pin(df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v")))
+    values = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
+    values = values if pinned else pin(values)
     wanted = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(probs[n])).alias("_at")) for i, n in enumerate(names)])
     sizes = values.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     at = F.col("_at") * (F.col("_n") - 1)

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import drop_finished, ensure_checkpoint_dir
 from ..sources.measurements import PEPTIDE_EXPORT, PROTEIN_EXPORT
 from . import inputs
 
@@ -37,18 +37,18 @@ def _quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
 
 
-def _under_headers(lines: DataFrame, head: list[str], path: str) -> str:
-    """Text files that begin with the lines of ``head`` each."""
+def _under_headers(lines: DataFrame, head: list[str], path: str, compression: str = "none") -> str:
+    """Text files that begin with the lines of ``head`` each. Compressed files are read by one task each."""
     def each(batches):
         yield pa.RecordBatch.from_pydict({"value": head})
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0)], ["value"])
 
-    lines.mapInArrow(each, "value string").write.text(path)
+    lines.mapInArrow(each, "value string").write.options(**{"compression": compression, "zlib.compress.level": "BEST_SPEED"}).text(path)
     return path
 
 
-def _in_order(df: DataFrame, *keys: str) -> DataFrame:
+def _in_order(df: DataFrame, *keys: str | Column) -> DataFrame:
     """Rows in ascending order over the files that will be written."""
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
@@ -86,14 +86,17 @@ def measurements(spark: SparkSession, sf_dir: str) -> list[str]:
     return paths
 
 
-def peptides(spark: SparkSession, sf_dir: str, samples: Sequence[str], table: DataFrame | None = None) -> str:
-    """The peptide view as files with two banner lines and a header, in the order of ``ordinal``."""
-    rows = _in_order(inputs.peptides(spark, sf_dir) if table is None else table, "ordinal", "feature")
+def peptides(spark: SparkSession, sf_dir: str, samples: Sequence[str], view: Callable[[DataFrame], DataFrame] = inputs.as_peptides) -> str:
+    """The peptide view as compressed files with two banner lines and a header, in the order of
+    ``ordinal``. The table rows are put in order before the view makes its wide columns of them."""
+    rows = view(_in_order(inputs.peptide_rows(spark, sf_dir), F.expr(inputs.PEPTIDE_ORDINAL), F.col("l_orderkey")))
     names = {v: k for k, v in PEPTIDE_EXPORT.items()}
     head = ["exported", "", ",".join([*names.values(), *samples])]
     cells = [_quoted(F.col(c).cast("string")) if c in ("modifications", "description") else F.col(c).cast("string") for c in names]
     line = _row([*cells, *[F.col(f"`{s}`").cast("string") for s in samples]])
-    return _under_headers(rows.select(line.alias("value")), head, folder(spark, "peptides"))
+    path = _under_headers(rows.select(line.alias("value")), head, folder(spark, "peptides"), "gzip")
+    drop_finished(spark)
+    return path
 
 
 def proteins(spark: SparkSession, sf_dir: str) -> str:

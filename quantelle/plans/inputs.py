@@ -55,14 +55,21 @@ def _tag(suppkey: Column) -> Column:
     return F.when(suppkey % 17 == 0, F.lit("cRAP")).otherwise(F.lit("protein"))
 
 
-def peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Peptide candidates: several per feature, tied scores, ``---``, NULL modifications."""
-    rows = table(spark, sf_dir, "lineitem").join(
+#: Position of a peptide row in its export.
+PEPTIDE_ORDINAL = "l_partkey * 10000000 + l_linenumber * 1000000 + l_suppkey"
+
+
+def peptide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table rows that :func:`as_peptides` turns into peptide candidates."""
+    return table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+
+
+def as_peptides(rows: DataFrame) -> DataFrame:
     n = F.col("l_linenumber")
     return rows.select(
         F.col("l_orderkey").alias("feature"),
-        (F.col("l_partkey") * 10000000 + n * 1000000 + F.col("l_suppkey")).alias("ordinal"),
+        F.expr(PEPTIDE_ORDINAL).alias("ordinal"),
         F.when(F.col("l_tax") == 0, F.lit("---")).otherwise(F.col("l_quantity").cast("int").cast("string"))
         .alias("score"),
         _protein(F.col("l_suppkey")).alias("accession"),
@@ -74,10 +81,15 @@ def peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("s1"), F.col("l_quantity").alias("s2"), F.col("l_discount").alias("s3"))
 
 
-def peptide_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peptide candidates: several per feature, tied scores, ``---``, NULL modifications."""
+    return as_peptides(peptide_rows(spark, sf_dir))
+
+
+def as_peptide_samples(rows: DataFrame) -> DataFrame:
     """The peptides with one abundance per sample of the design, every fifth one missing;
     those of every fourth supplier differ between conditions."""
-    rows = peptides(spark, sf_dir)
+    rows = as_peptides(rows)
     for j, sample in enumerate(DESIGN.names):
         factor = F.when((F.col("ordinal") % 4 == 0) & (F.lit(j // 4) == 1), 8).otherwise(1)
         value = F.col("s1") * factor * (10 + (F.col("ordinal") + 7 * j) % 13)

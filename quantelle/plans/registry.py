@@ -630,9 +630,9 @@ def _redox_workflow(spark, sf):
                    "s1", "s2", "s3", digits=2)
 
 
-def _site_inputs(spark, sf, samples, table=None):
+def _site_inputs(spark, sf, samples, view=inputs.as_peptides):
     first = len(PEPTIDE_EXPORT) + 1
-    return workflows.read_site_inputs(spark, exports.peptides(spark, sf, samples, table), exports.proteins(spark, sf),
+    return workflows.read_site_inputs(spark, exports.peptides(spark, sf, samples, view), exports.proteins(spark, sf),
                                       exports.database(spark, sf), range(first, first + len(samples)))
 
 
@@ -647,7 +647,7 @@ def _peptide_files(spark, sf):
 @query("phospho_analysis")
 def _phospho_analysis(spark, sf):
     """Files -> phosphorylation sites -> clean, log2, impute, test -> missing conditions, accession, annotation."""
-    read, proteins, database = _site_inputs(spark, sf, DESIGN.names, inputs.peptide_samples(spark, sf))
+    read, proteins, database = _site_inputs(spark, sf, DESIGN.names, inputs.as_peptide_samples)
     abundance = workflows.phospho_abundance(read, proteins, database, DESIGN.names)
     annotation = sources.read_annotation(spark, exports.annotation(spark, sf), out="entry")
     told, _ = workflows.site_analysis(abundance, annotation, DESIGN, CONTRASTS, impute="center")

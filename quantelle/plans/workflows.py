@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .. import sources
 from ..design import Contrast, Design
-from ..operators import annotate, clean, labels, process, profiles, reshape, sites, stats
-from ..session import pin
+from ..operators import annotate, clean, labels, late, process, profiles, reshape, sites, stats
+from ..session import drop_finished, pin
 from ..sources.measurements import PEPTIDE_EXPORT, PROTEIN_EXPORT
 
 
@@ -37,16 +37,18 @@ def analyze(long: DataFrame, design: Design, contrasts: Sequence[Contrast], nonz
 
     ``long`` should come partitioned by id (``densify`` leaves it so); all per-id
     steps then share that one exchange. ``transform=None`` analyses occupancies
-    without a logarithm. The imputed table is pinned: five results read it.
+    without a logarithm. Five results read the imputed table; all but its last step, which
+    works on single rows, is pinned by the imputation.
     """
     ready = clean.clean_min(long, nonzero, id, by)
     if transform:
         ready = clean.transform_data(ready, transform)
-    ready = pin(clean.impute(ready, impute, seed=seed, id=id, by=by))
+    ready = clean.impute(ready, impute, seed=seed, id=id, by=by)
     tests = stats.calculate_ttest(ready, contrasts, id, by)
     variance = stats.calculate_1anova(ready, design.conditions, id, by)
     keys = [*by, id]
     extremes = clean.add_missingness(stats.add_fc_max(tests, id=id, by=by), long, design, id, by)
+    drop_finished(ready.sparkSession)
     grouped = None
     if clusters:
         significant = variance.where(F.col("fdr") < alpha).select(*keys)
@@ -61,41 +63,64 @@ def protein_abundance(proteins: DataFrame, samples: Sequence[str]) -> DataFrame:
     return process.select_abundance(kept, "accession", samples)
 
 
-def _best_peptides(peptides: DataFrame, proteins: DataFrame, threshold: float) -> DataFrame:
-    scored = process.drop_contaminants(process.filter_score(peptides, threshold=threshold))
-    joined = process.attach_protein_stats(scored, process.explode_accessions(proteins))
+def _scored(peptides: DataFrame, threshold: float) -> DataFrame:
+    return process.drop_contaminants(process.filter_score(peptides, threshold=threshold))
+
+
+def _best_peptides(scored: DataFrame, proteins: DataFrame) -> DataFrame:
+    joined = process.attach_protein_stats(scored, process.best_statistics(process.explode_accessions(proteins)))
     return process.reduce_features(joined)
 
 
+def _summed(identified: DataFrame, source: DataFrame, samples: Sequence[str]) -> DataFrame:
+    """Identifiers with summed abundances, which ``source`` has if the rows have none."""
+    keys = [c for c in source.columns if c not in samples]
+    order = ["score", "ordinal", "feature"]
+    if any(s not in identified.columns for s in samples):
+        identified = late.fetch(identified.select(*keys, "identifier"), source, samples, keys, ["ordinal"])
+    rows = identified.select("identifier", *order, *[F.col(f"`{s}`") for s in samples])
+    return process.select_abundance(process.reduce_identifiers(rows, samples), "identifier", samples)
+
+
 def peptide_abundance(peptides: DataFrame, proteins: DataFrame, samples: Sequence[str], threshold: float = 13
                       ) -> DataFrame:
     """Peptide export -> ``Accession--Sequence`` identifiers with summed abundances."""
-    identified = process.peptide_identifier(_best_peptides(peptides, proteins, threshold))
-    return process.select_abundance(process.reduce_identifiers(identified, samples), "identifier", samples)
+    scored = _scored(peptides, threshold)
+    return _summed(process.peptide_identifier(_best_peptides(_without(scored, samples), proteins)), scored, samples)
+
+
+def _without(df: DataFrame, samples: Sequence[str]) -> DataFrame:
+    """Candidates as they are chosen from: without their samples if these are many."""
+    return df.drop(*samples) if len(samples) > late.FEW_SAMPLES else df
 
 
 def phospho_abundance(peptides: DataFrame, proteins: DataFrame, database: DataFrame, samples: Sequence[str],
                       threshold: float = 13, mod: str = "Phospho") -> DataFrame:
     """Peptide export -> modification-site identifiers with summed abundances."""
-    modified = process.filter_modified(_best_peptides(peptides, proteins, threshold), mod)
+    scored = _scored(peptides, threshold)
+    modified = process.filter_modified(_best_peptides(_without(scored, samples), proteins), mod)
     located, _ = sites.split_located(sites.phospho_identifier(modified, database, mod))
-    return process.select_abundance(process.reduce_identifiers(located, samples), "identifier", samples)
+    return _summed(located, scored, samples)
 
 
 def redox_abundance(peptides: DataFrame, proteins: DataFrame, database: DataFrame, samples: Sequence[str],
                     threshold: float = 13, reduced: str = "Nethylmaleimide") -> DataFrame:
     """Peptide export -> free-cysteine identifiers with summed abundances."""
-    free = process.filter_redox(_best_peptides(peptides, proteins, threshold), reduced)
+    scored = _scored(peptides, threshold)
+    free = process.filter_redox(_best_peptides(_without(scored, samples), proteins), reduced)
     located, _ = sites.split_located(sites.redox_identifier(free, database, reduced))
-    return process.select_abundance(process.reduce_identifiers(located, samples), "identifier", samples)
+    return _summed(located, process.filter_redox(scored, reduced), samples)
 
 
 def site_analysis(abundance: DataFrame, annotation: DataFrame, design: Design, contrasts: Sequence[Contrast], **options
                   ) -> tuple[DataFrame, Analysis]:
     """Site identifiers with abundances -> the analysis, and its tests with the conditions
     in which a site was not seen, its accession and sites, and the accession's annotation.
-    The design's positions count the identifier as column 1."""
-    long = reshape.to_long(design.rename(abundance), design, "identifier")
+    The design's positions count the identifier as column 1. The abundances, which two steps
+    read, are pinned."""
+    held = pin(abundance)
+    drop_finished(held.sparkSession)
+    long = reshape.to_long(design.rename(held.repartition(*options.get("by", ()), "identifier")), design, "identifier", options.get("by", ()))
     result = analyze(long, design, contrasts, id="identifier", **options)
     by = list(options.get("by", ()))
     told = process.join_results(result.tests, result.extremes.select(*by, "identifier", "missing"), [*by, "identifier"])
