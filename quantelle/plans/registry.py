@@ -658,9 +658,9 @@ def _phospho_analysis(spark, sf):
 @query("occupancy_workflow")
 def _occupancy_workflow(spark, sf):
     """Labelled peptides -> best of each scan, sites, redox state, percent oxidised, change in oxidation."""
-    best_ = workflows.labelled_candidates(inputs.labelled_samples(spark, sf), inputs.peaks_proteins(spark, sf))
-    best_ = best_.select("scan", "accession", "peptide", "ascore", "lgp", *[F.col(f"`{s}`") for s in DESIGN.names])  # written and shuffled from here on
-    sites_ = workflows.labelled_sites(best_, inputs.sequences(spark, sf), DESIGN.names, order=["scan"])
+    peptides = inputs.labelled_samples(spark, sf)
+    best_ = workflows.labelled_candidates(peptides, inputs.peaks_proteins(spark, sf), samples=DESIGN.names)
+    sites_ = workflows.labelled_sites(best_, inputs.sequences(spark, sf), DESIGN.names, order=["scan"], source=peptides)
     result = workflows.occupancy_analysis(sites_, DESIGN.names, DESIGN, CONTRASTS, impute="center")
     return rounded(result.tests.select("identifier", "comparison", F.col("fc").alias("change_ox"), "p_value", "fdr"),
                    "change_ox", "p_value", "fdr", digits=5)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import sources
 from ..design import Contrast, Design
 from ..operators import annotate, clean, labels, late, process, profiles, reshape, sites, stats
+from ..operators.keys import pinned_side
 from ..session import drop_finished, pin
 from ..sources.measurements import PEPTIDE_EXPORT, PROTEIN_EXPORT
 
@@ -137,26 +138,41 @@ def read_site_inputs(spark: SparkSession, peptides: str | Sequence[str], protein
     return read, stats_, sources.read_fasta(spark, database)
 
 
-def labelled_candidates(peptides: DataFrame, proteins: DataFrame, score: str = "lgp", ordinal: str = "ordinal") -> DataFrame:
+def labelled_candidates(peptides: DataFrame, proteins: DataFrame, score: str = "lgp", ordinal: str = "ordinal", samples: Sequence[str] = ()) -> DataFrame:
     """Heavy/light peptides with all proteins they support -> one row per scan.
 
     Of equal peptides the protein with most unique peptides, then the highest protein
-    score wins; then the best-scoring peptide of the scan.
+    score wins; then the best-scoring peptide of the scan. If many ``samples`` are named,
+    the rows compete without them, and :func:`labelled_sites` brings them back.
     """
-    joined = process.attach_proteins_inner(peptides, proteins)
+    held = pinned_side(proteins, process.MAX_PROTEINS)
+    joined = process.attach_proteins_inner(_without(peptides, samples), held)
     return process.reduce_features(joined, "scan", "peptide", "ptm", score, "unique_peptides", f"{score}_protein", ordinal)
 
 
 def labelled_sites(peptides: DataFrame, database: DataFrame, samples: Sequence[str], score: str = "lgp",
-                   order: Sequence[str] = ("scan",)) -> DataFrame:
+                   order: Sequence[str] = ("scan",), source: DataFrame | None = None, near: Sequence[str] = ("scan", "ordinal")) -> DataFrame:
     """Heavy/light peptides -> one row per labelled site with its redox state.
 
     The state is derived from all rows, unscored ones included, before they are
-    collapsed to (site, label).
+    collapsed to (site, label). Peptides without their ``samples`` get those of the row of
+    ``source`` that has the same other columns, once they are located; ``near`` are columns
+    that few rows of it share. Of the columns, then, only those of the site and the label
+    and the ordering ones remain.
     """
+    late_ = any(s not in peptides.columns for s in samples)
+    if late_:  # a row's scores are split into sites below
+        whole = F.xxhash64("ascore")
+        source = source.withColumn("_scores", whole).drop("ascore")
+        keys = [c for c in source.columns if c not in samples]
+        peptides = peptides.withColumn("_scores", whole).select(*keys, "ascore")
     scored = labels.explode_site_scores(labels.add_bare_sequence(peptides))
     located, _ = sites.split_located(labels.locate_site(scored, database))
     tagged = labels.tag_label_state(located)
+    if late_:
+        site = ["identifier", "label_identifier", "h_or_l", "modification"]
+        found = late.fetch(tagged.select(*keys, *site), source, samples, keys, near)
+        tagged = found.select(*dict.fromkeys([score, *order]), *site, *[F.col(f"`{s}`") for s in samples])
     return labels.reduce_labelled(tagged, samples, score, order)
 
 

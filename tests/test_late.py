@@ -90,3 +90,24 @@ def test_the_export_is_compressed_and_ordered_before_it_is_wide(spark, tmp_path)
     want = inputs.as_peptide_samples(inputs.peptide_rows(spark, str(tmp_path)))
     columns = ["feature", "score", "sequence", "modifications", "accession", "description", *[f"`{s}`" for s in samples]]
     assert rows(read.orderBy("ordinal").select(*columns)) == rows(want.orderBy("ordinal").select(*columns)) and read.count() == 40
+
+
+def test_labelled_candidates_compete_without_many_samples(spark):
+    heavy, light = "C2:N-ethylmaleimide(D5):99.0;M1:Oxidation:1.0", "C2:N-ethylmaleimide:99.0;C4:N-ethylmaleimide:9.0"
+    peptides = spark.createDataFrame([
+        (1, 1, "P", "K.ACDE.F", None, heavy, 10.0, 1.0), (1, 2, "P", "K.ACDE.F", None, heavy, 5.0, 64.0),  # the worse one of a scan
+        (2, 3, "P", "K.ACDC.F", "x", light, 20.0, 9.0), (2, 3, "P", "K.ACDC.F", "x", light, 20.0, 9.0),  # the same row twice
+        (3, 4, "P", "M.A(+1)CDE.F", "x", light, 30.0, 0.0), (4, 5, "R", "K.ACDE.F", "x", light, 30.0, 5.0)],  # R: no statistics
+        "scan int, ordinal int, accession string, peptide string, ptm string, ascore string, lgp double, s double",
+    ).withColumns({s: F.col("s") * (j + 1) for j, s in enumerate(SAMPLES)}).drop("s")
+    proteins = spark.createDataFrame([("P", 7.0, 2, "kinase"), ("R", None, 1, "kinase"), ("Q", 1.0, 1, "cRAP")],
+                                     "accession string, lgp double, unique_peptides int, description string")
+    database = spark.createDataFrame([("P", "MACDEFACDCK"), ("R", "MACDE")], "accession string, sequence string")
+    whole = workflows.labelled_sites(workflows.labelled_candidates(peptides, proteins), database, SAMPLES)
+    best = workflows.labelled_candidates(peptides, proteins, samples=SAMPLES)
+    assert not set(SAMPLES) & set(best.columns)
+    got = workflows.labelled_sites(best, database, SAMPLES, source=peptides)
+    columns = ["label_identifier", "identifier", "scan", "lgp", "h_or_l", "redox_state", *[f"`{s}`" for s in SAMPLES]]
+    assert rows(got.select(columns), "label_identifier") == rows(whole.select(columns), "label_identifier")
+    assert [(r.label_identifier, r["s 1"]) for r in got.orderBy("label_identifier").collect()] == [
+        ("P--C10-L", 18.0), ("P--C3-H", 2.0), ("P--C3-L", 0.0), ("P--C5-L", 0.0), ("P--C8-L", 18.0)]
